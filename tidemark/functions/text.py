@@ -41,9 +41,12 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(col(c), _EDGE_SPACE, "")
 
 
-@F.pandas_udf("string")
-def _nfkc_arrow(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFKC")
+def _nfkc_arrow(text: Column) -> Column:
+    @F.pandas_udf("string")
+    def normalized(s: pd.Series) -> pd.Series:
+        return s.str.normalize("NFKC")
+
+    return normalized(text)
 
 
 def _has_jvm_nfkc() -> bool:

@@ -157,7 +157,7 @@ def resolve_watchlist(watch: DataFrame, master: DataFrame) -> DataFrame:
     open_rows = rows.filter(blank("card_id") == "").select("query", "_cname").distinct()
 
     c, q = _prepared_cards(master), _prepared_queries(open_rows)
-    rank = lambda score, first: F.struct(-score, first)
+    rank = lambda score, first: F.struct((-score).alias("order"), first.alias("card"))
     texts = _text_hits(q, _card_groups(c)).select(
         "query", "_name", F.col("_cards").alias("_n"), rank(F.col("_score"), F.col("_first")).alias("_rank"))
     ids = _id_hits(q, c).select(
@@ -177,7 +177,7 @@ def resolve_watchlist(watch: DataFrame, master: DataFrame) -> DataFrame:
     chosen = found.select(
         "query", "_cname", F.coalesce("_both", "_all").alias("_hits"),
         F.coalesce("_best_both", "_best_all").alias("_best"))
-    best = F.col("_best")["col2"]
+    best = F.col("_best")["card"]
     is_open, found_one = blank("card_id") == "", F.col("_hits").isNotNull()
     head, tail = V.MEMO_CANDIDATES
     memo = (F.when(is_open & ~found_one, V.MEMO_NOT_FOUND)

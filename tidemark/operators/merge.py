@@ -1,9 +1,8 @@
 """Keyed merge (upsert) and positional write-back as plain DataFrame plans.
 
-Row order is a column, ``_pos``. Existing rows are matched to the batch by position,
-which is unique, after the position of each key's first row has been found by an
-aggregation. So a key repeated any number of times, in the table or in the batch,
-never gathers in one task.
+Row order is a column, ``_pos``. The position of each key's first row is found by an
+aggregation; existing rows are then matched on position and key together. So a key
+repeated any number of times, in the table or in the batch, never gathers in one task.
 """
 
 from __future__ import annotations
@@ -19,10 +18,13 @@ from tidemark.functions.text import upsert_key
 APPEND, UPDATE, UNCHANGED = "append", "update", "unchanged"
 
 
+def _key(keys: Sequence[str]) -> Column:
+    return F.array(*[upsert_key(F.col(f"`{k}`")) for k in keys])
+
+
 def with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``_key`` (array of key parts) and drop rows whose parts are all blank."""
-    parts = F.array(*[upsert_key(F.col(f"`{k}`")) for k in keys])
-    return df.withColumn("_key", parts).filter(F.exists("_key", lambda p: p != ""))
+    return df.withColumn("_key", _key(keys)).filter(F.exists("_key", lambda p: p != ""))
 
 
 def last_of_batch(batch: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
@@ -59,14 +61,14 @@ def plan_upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], seq:
                .groupBy("_key").agg(F.min("_pos").alias("_pos")))
     matched = new.join(targets, "_key", "left")
 
-    overlay = matched.filter(F.col("_pos").isNotNull()).select("_pos", "_new")
+    overlay = matched.filter(F.col("_pos").isNotNull()).select("_pos", "_key", "_new")
     old = lambda c: F.col(f"`{c}`") if c in types else F.lit(None).cast(header[c])
     fresh = lambda c: F.col(f"_new.`{c}`").cast(header[c])
     hit = F.col("_new").isNotNull()
     changed = F.lit(False)
     for c in incoming:
         changed = changed | ~_same(old(c), fresh(c), header[c])
-    kept = (existing.join(overlay, "_pos", "left").select(
+    kept = (existing.withColumn("_key", _key(keys)).join(overlay, ["_pos", "_key"], "left").select(
         *[(F.when(hit, fresh(c)).otherwise(old(c)) if c in incoming else old(c)).alias(c) for c in header],
         "_pos", F.when(hit & changed, UPDATE).otherwise(UNCHANGED).alias("_action")))
 

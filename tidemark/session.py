@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,7 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
@@ -45,3 +48,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         base = _local_scratch.setdefault(
             spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: tasks import its walkers."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), "tidemark_package")
+    context.addPyFile(shutil.make_archive(target, "zip", root, "tidemark"))
+    _shipped.add(context.applicationId)

@@ -83,3 +83,44 @@ def tree(html: str | None) -> Node:
     builder.feed(html or "")
     builder.close()
     return builder.root
+
+
+def _with_class(name: str):
+    return lambda n: name in n.classes
+
+
+def listing(html: str):
+    """(pos, name, grade, price, stock, closed, image) of the items of a listing page."""
+    root = tree(html)
+    boxes = (root.first(lambda n, i=wanted: n.attrs.get("id") == i) for wanted in ("cardList", "listView"))
+    box = next((b for b in boxes if b is not None), None)
+    items = (n for n in box.walk() if n.tag == "li" and "item" in n.classes) if box else ()
+    for pos, item in enumerate(items):
+        fields = [item.first(_with_class(c)) for c in ("name", "tag", "price", "stock")]
+        # the item itself may be the .card that holds the image
+        cards = (n for n in (item, *item.walk()) if "card" in n.classes)
+        image = next((i for card in cards for i in card.walk() if i.tag == "img"), None)
+        yield (pos, *[n.text() if n else "" for n in fields], "closed" in item.classes,
+               image.attrs.get("src", "") if image else "")
+
+
+def anchors_inside(list_class: str):
+    """(pos, href, text) of the links inside any element whose class contains ``list_class``."""
+    def expand(html: str):
+        root = tree(html)  # held: nodes are told apart by identity
+        seen: set[int] = set()
+        boxes = (n for n in root.walk() if list_class in (n.attrs.get("class") or ""))
+        for n in (a for box in boxes for a in box.walk()):
+            if n.tag == "a" and n.attrs.get("href") and id(n) not in seen:
+                seen.add(id(n))
+                yield len(seen) - 1, n.attrs["href"], n.text()
+    return expand
+
+
+def first_texts(tests):
+    """Text of the first element per (attribute, token) test, in one row."""
+    def expand(html: str):
+        root = tree(html)
+        firsts = [root.first(lambda n, a=attr, t=token: t in (n.attrs.get(a) or "")) for attr, token in tests]
+        yield ([n.text() if n else "" for n in firsts],)
+    return expand

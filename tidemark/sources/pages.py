@@ -13,7 +13,7 @@ from tidemark.functions.text import (
     blank, digits_only, extract_code, first_match, status_from_stock, strip)
 from tidemark.functions.urls import absolute_url, clean_url, slug_from_url
 from tidemark.operators.items import first_per_key
-from tidemark.sources.html_nodes import tree
+from tidemark.sources import html_nodes
 from tidemark.sources.rowwise import expand_text
 
 _ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
@@ -42,30 +42,13 @@ def page_text(html: Column | str) -> Column:
     return strip(F.regexp_replace(body, r"(?U)\s+", " "))
 
 
-def _listing(html: str):
-    root = tree(html)
-    by_id = lambda wanted: root.first(lambda n: n.attrs.get("id") == wanted)
-    box = by_id("cardList") or by_id("listView")
-    if box is None:
-        return
-    items = (n for n in box.walk() if n.tag == "li" and "item" in n.classes)
-    for pos, item in enumerate(items):
-        has = lambda name: (lambda n: name in n.classes)
-        text = lambda name: (lambda n: n.text() if n else "")(item.first(has(name)))
-        # the item itself counts as an ancestor when looking for an image inside .card
-        cards = [n for n in (item, *item.walk()) if "card" in n.classes]
-        image = next((i for card in cards for i in card.walk() if i.tag == "img"), None)
-        yield (pos, text("name"), text("tag"), text("price"), text("stock"),
-               "closed" in item.classes, image.attrs.get("src", "") if image else "")
-
-
 def extract_listing_items(pages: DataFrame, base: str, html: str = "html", page: str = "page") -> DataFrame:
     """Items of listing pages: page, pos, name, grade, price, stock, accept_status, image_url.
 
     ``#cardList`` is read, or ``#listView`` without one, never both.
     """
     found = expand_text(pages.withColumnRenamed(page, "page") if page != "page" else pages,
-                        html, ["page"], _ITEM_OUT, _listing)
+                        html, ["page"], _ITEM_OUT, html_nodes.listing)
     items = found.select(
         "page", "pos", "name", "grade", digits_only("price_text").alias("price"), "stock",
         status_from_stock("stock", "closed").alias("accept_status"),
@@ -111,16 +94,8 @@ def _anchors(html: Column | str) -> Column:
     return F.filter(pairs, lambda x: slug_from_url(x["href"]) != "")
 
 
-def _anchors_inside(list_class: str):
-    def expand(html: str):
-        root = tree(html)
-        seen: set[int] = set()
-        for box in (n for n in root.walk() if list_class in (n.attrs.get("class") or "")):
-            for n in box.walk():
-                if n.tag == "a" and n.attrs.get("href") and id(n) not in seen:
-                    seen.add(id(n))
-                    yield (len(seen) - 1, n.attrs["href"], n.text())
-    return expand
+def _linking(links: str, test: str) -> Column:
+    return F.filter(links, lambda x: x["href"].rlike(test))
 
 
 _LINK_OUT = T.StructType([T.StructField("pos", T.LongType()), T.StructField("href", T.StringType()),
@@ -137,28 +112,20 @@ def extract_catalog(pages: DataFrame, origin: str, link_tests: Sequence[str] = t
     links = pages.select(F.col(page).alias("page"), F.col(html).alias("html"), _anchors(html).alias("_all"))
     chosen = F.array().cast(links.schema["_all"].dataType)
     for test in reversed(list(link_tests)):
-        hits = F.filter("_all", lambda x, t=test: x["href"].rlike(t))
+        hits = _linking("_all", test)
         chosen = F.when(F.size(hits) > 0, hits).otherwise(chosen)
     tested = links.withColumn("_links", chosen)
     by_test = (tested.select("page", F.explode("_links").alias("x"))
                .select("page", "x.pos", "x.href", page_text("x.inner").alias("card_name")))
     rest = tested.filter(F.size("_links") == 0).filter(F.contains("html", F.lit(list_class)))
     by_class = expand_text(rest.select("page", "html"), "html", ["page"], _LINK_OUT,
-                           _anchors_inside(list_class))
+                           html_nodes.anchors_inside(list_class))
     found = by_test.unionByName(by_class).withColumn("card_id", slug_from_url("href"))
     first = first_per_key(found.filter(F.col("card_id") != ""), ["card_id"], ["page", "pos"])
     return first.select("card_id", "card_name", extract_code("card_name").alias("hinban"),
                         absolute_url("href", origin).alias("url"), "page", "pos")
 
 
-def _product_texts(tests: Sequence[tuple[str, str]]):
-    def expand(html: str):
-        root = tree(html)
-        firsts = [root.first(lambda n, a=attr, t=token: t in (n.attrs.get(a) or "")) for attr, token in tests]
-        yield ([n.text() if n else "" for n in firsts],)
-    return expand
-
-
 def extract_numbers(pages: DataFrame, classes: Mapping[str, Sequence[tuple[str, str]]] = V.PRODUCT_NUMBER_CLASSES,
                     patterns: Mapping[str, Sequence[str]] = V.PRODUCT_NUMBER_PATTERNS,
                     page: str = "page", html: str = "html") -> DataFrame:
@@ -170,7 +137,7 @@ def extract_numbers(pages: DataFrame, classes: Mapping[str, Sequence[tuple[str,
     tests = [test for label in classes for test in classes[label]]
     out = T.StructType([T.StructField("_found", T.ArrayType(T.StringType()))])
     texts = expand_text(pages.select(F.col(page), page_text(html).alias("_text"), F.col(html).alias("_html")),
-                        "_html", [page, "_text"], out, _product_texts(tests))
+                        "_html", [page, "_text"], out, html_nodes.first_texts(tests))
     columns, offset = [], 0
     for label in classes:
         candidates = [digits_only(F.get("_found", F.lit(offset + k))) for k in range(len(classes[label]))]

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.session import ship_package
+
 _ROWS_PER_BATCH = 8192
 
 
@@ -19,6 +21,7 @@ def expand_text(df: DataFrame, text: str, keys: Sequence[str], out: T.StructType
     so one long document does not hold back or inflate a whole input batch.
     """
     keys = list(keys)
+    ship_package(df.sparkSession)
     schema = T.StructType([df.schema[k] for k in keys] + list(out.fields))
     names = schema.names
 
