@@ -45,7 +45,15 @@ def observed_points(rows: DataFrame, keys: Sequence[str], keep_keys: bool = Fals
 
 
 def dedup_last(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("seq",)) -> DataFrame:
-    """One row per key and date: the last one in input order (``seq``)."""
+    """One row per key and date: the last one in input order (``seq``).
+
+    A single ``seq`` column is the row's place in the input and unique; values then come
+    from hash aggregation with fixed-width buffers. Several columns, or ties, need the
+    sort-based struct maximum.
+    """
+    if len(seq) == 1:
+        return rows.groupBy(*keys, "date").agg(
+            F.max_by("price", seq[0]).alias("price"), F.max_by("trade_count", seq[0]).alias("trade_count"))
     last = F.max(F.struct(*seq, "price", "trade_count"))
     return (rows.groupBy(*keys, "date").agg(last.alias("_last"))
             .select(*keys, "date", F.col("_last.price").alias("price"),
@@ -64,20 +72,23 @@ def has_trade_count(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _flag(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``counted`` (the series has trade counts), ``record_count`` and ``imputed_suspect``."""
     counted = F.max(F.col("trade_count").isNotNull() & F.col("date").isNotNull()).over(_whole(keys))
-    days = F.count("date").over(_whole(keys))
     points = (points
-              .withColumn("_counted", counted)
+              .withColumn("counted", counted)
               .withColumn("_prev", F.lag("price").over(_by_date(keys)))
-              .withColumn("record_count", days))
+              .withColumn("record_count", F.count("date").over(_whole(keys)))
+              .withColumn("_j", F.count("date").over(_upto(keys))))
     repeat = F.coalesce(F.col("price") == F.col("_prev"), F.lit(False))
     untraded = F.coalesce(F.col("trade_count") <= 0, F.lit(True))
-    basis = (F.when(F.col("_counted"), V.BASIS_COUNT)
-             .when(F.col("record_count") > 0, V.BASIS_REPEAT).otherwise(V.BASIS_NONE))
     return (points
-            .withColumn("imputation_basis", basis)
-            .withColumn("imputed_suspect", F.when(F.col("_counted"), untraded).otherwise(repeat))
-            .drop("_counted", "_prev"))
+            .withColumn("imputed_suspect", F.when(F.col("counted"), untraded).otherwise(repeat))
+            .drop("_prev"))
+
+
+def _basis() -> Column:
+    return (F.when(F.col("counted"), V.BASIS_COUNT)
+            .when(F.col("record_count") > 0, V.BASIS_REPEAT).otherwise(V.BASIS_NONE))
 
 
 def mark_imputed(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("seq",),
@@ -88,7 +99,7 @@ def mark_imputed(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("se
     whose price equals the previous record's.
     """
     points = _one_per_date(rows.filter(F.col("date").isNotNull()), keys, seq, unique_dates)
-    return _flag(points, keys).drop("record_count")
+    return _flag(points, keys).withColumn("imputation_basis", _basis()).drop("record_count", "counted", "_j")
 
 
 def _profile_rows(points: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -100,7 +111,6 @@ def _profile_rows(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     marked = (marked
               .withColumn("_i", F.count("_obs").over(_upto(keys)))
               .withColumn("valid_days", F.count("_obs").over(_whole(keys)))
-              .withColumn("_j", F.count("date").over(_upto(keys)))
               # previous *valid* price: skips imputed days instead of filtering them out
               .withColumn("_obs_prev", F.expr(
                   f"lag(_obs) IGNORE NULLS OVER (PARTITION BY {part} ORDER BY date)")))
@@ -117,6 +127,7 @@ def series_metrics(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("
 
     ``trail`` > 0 adds ``price_trail``, the last records with imputed ones starred.
     """
+    # every aggregate below keeps a fixed-width buffer, so the last step is a hash aggregation
     keys = list(keys)
     points = _one_per_date(rows, keys, seq, unique_dates)
     p = _profile_rows(points, keys)
@@ -134,7 +145,7 @@ def series_metrics(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("
     measures = [
         F.max("valid_days").alias("valid_days"),
         F.max("record_count").alias("record_count"),
-        F.max("imputation_basis").alias("imputation_basis"),
+        F.max("counted").alias("counted"),
         F.max(on(is_obs, F.col("date"))).alias("last_date"),
         F.max("date").alias("latest_date"),
         F.max(on(is_latest, F.col("price"))).alias("latest_price"),
@@ -169,7 +180,7 @@ def series_metrics(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("
         streak.cast("bigint").alias("streak"),
         F.when(total >= 2, F.col("_vol")).alias("vol20"),
         F.col("_avg_down").alias("avg_down"),
-        "valid_days", "imputation_basis", "last_date",
+        "valid_days", _basis().alias("imputation_basis"), "last_date",
         "record_count", "latest_date", "latest_price", "latest_imputed",
     ]
     if trail:

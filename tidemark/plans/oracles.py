@@ -11,14 +11,14 @@ HISTORY = """h AS (
   SELECT CAST(l_partkey AS VARCHAR) AS card_id, l_returnflag AS condition, CAST(l_shipdate AS DATE) AS date,
          CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS price,
          CASE WHEN l_discount = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS trade_count,
-         l_linestatus, l_orderkey, l_linenumber, l_suppkey
+         l_linestatus, l_orderkey * 8 + l_linenumber AS seq
   FROM lineitem)"""
 CODE = "lpad(CAST(p_size AS VARCHAR), 3, '0') || '/' || p_brand"
 NAMED = f"""{HISTORY}, n AS (
   SELECT h.*, coalesce({CODE}, '') AS hinban,
          CASE WHEN l_linestatus = 'F' THEN '' ELSE coalesce(p_name, '') END AS card_name
   FROM h LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = card_id)"""
-ORDER = "l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, price DESC, trade_count DESC"
+ORDER = "seq DESC"
 INDEX = """ix AS (
   SELECT event_type AS index_type, CAST(ts AS DATE) AS date,
          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) // count(*) AS value
@@ -119,9 +119,8 @@ ORACLES["trend_group_set"] = (
     f"WITH {NAMED}, ns AS (SELECT *, split_part(hinban, '/', -1) AS card_set FROM n), "
     f"{_group('card_set', 'set:', 'ns', '')}, {metrics('scope, key')} {trends()}")
 
-_LAST_NAME = """SELECT {k}, arg_max(card_name, ord) FILTER (WHERE card_name <> '') AS card_name,
-    arg_max(hinban, ord) FILTER (WHERE hinban <> '') AS hinban
-  FROM (SELECT *, row(l_orderkey, l_linenumber, l_suppkey) AS ord FROM n) GROUP BY {k}"""
+_LAST_NAME = """SELECT {k}, arg_max(card_name, seq) FILTER (WHERE card_name <> '') AS card_name,
+    arg_max(hinban, seq) FILTER (WHERE hinban <> '') AS hinban FROM n GROUP BY {k}"""
 ORACLES["trend_all_scopes"] = f"""WITH {NAMED}, {INDEX},
 ns AS (SELECT *, split_part(hinban, '/', -1) AS card_set FROM n),
 {_group('condition', 'condition:', 'n', '', 'g1')}, {_group('card_set', 'set:', 'ns', '', 'g2')},
@@ -178,8 +177,8 @@ ORACLES["status_board"] = _BOARD.format(head=f"WITH {NAMED}, src AS (SELECT * FR
 ORACLES["status_watched"] = _BOARD.format(head=f"""WITH {NAMED}, src AS (
   SELECT * FROM n WHERE card_id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_type = 'SMALL'))""")
 ORACLES["card_report"] = f"""WITH {NAMED}, kc AS (
-  SELECT card_id, min(l_orderkey * 8 + l_linenumber) AS seq,
-         arg_min(card_name, row(l_orderkey * 8 + l_linenumber, card_name, hinban)) AS card_name FROM n GROUP BY 1),
+  SELECT card_id, min(seq) AS seq,
+         arg_min(card_name, row(seq, card_name, hinban)) AS card_name FROM n GROUP BY 1),
 hit AS (SELECT card_id, CASE WHEN card_name = 'red widget' THEN 80 ELSE 40 END AS score FROM kc
   WHERE contains(card_name, 'red widget') ORDER BY score DESC, card_name, seq LIMIT {V.REPORT_HITS}),
 src AS (SELECT n.* FROM n JOIN hit USING (card_id)),
@@ -211,7 +210,7 @@ up AS (
   LEFT JOIN l ON l.o_custkey = t.o_custkey AND l.o_orderpriority = t.o_orderpriority
   UNION ALL
   SELECT l.o_custkey, l.o_orderpriority, st, tp, NULL, seen,
-         (SELECT max(pos) FROM e) + 1 + first - (SELECT min(first) FROM l), 'append'
+         (SELECT max(pos) FROM e) + 1 + first, 'append'
   FROM l LEFT JOIN t USING (o_custkey, o_orderpriority) WHERE t.pos IS NULL)"""
 ORACLES["upsert_plan"] = f"WITH {_HALVES} SELECT * FROM up"
 ORACLES["upsert_stats"] = f"WITH {_HALVES} SELECT action, count(*) AS rows FROM up GROUP BY action"

@@ -56,11 +56,11 @@ def shown_trends(df: DataFrame) -> DataFrame:
 def card_series(spark, sf):
     return I.card_history(spark, sf).select(
         F.lit("card").alias("scope"), F.concat("card_id", F.lit("|"), "condition").alias("key"),
-        "date", "price", "trade_count", *I.HISTORY_SEQ)
+        "date", "price", "trade_count", "seq")
 
 
 def card_trends(spark, sf):
-    metrics = series.series_metrics(card_series(spark, sf), SCOPE_KEYS, I.HISTORY_SEQ)
+    metrics = series.series_metrics(card_series(spark, sf), SCOPE_KEYS)
     return trend.trend_rows(metrics, AS_OF)
 
 
@@ -97,10 +97,7 @@ def trend_group_set(spark, sf):
 
 @query
 def trend_all_scopes(spark, sf):
-    index = I.index_history(spark, sf).select(
-        "index_type", "date", "value", *[F.lit(0).cast(t).alias(c) for c, t in
-                                         zip(I.HISTORY_SEQ, ("bigint", "int", "bigint"))])
-    return shown_trends(trend.trend_all_scopes(index, I.named_history(spark, sf), AS_OF, seq=I.HISTORY_SEQ))
+    return shown_trends(trend.trend_all_scopes(I.index_history(spark, sf), I.named_history(spark, sf), AS_OF))
 
 
 @query
@@ -111,13 +108,13 @@ def group_series(spark, sf):
 
 @query
 def dedup_last(spark, sf):
-    return series.dedup_last(I.card_history(spark, sf), CARD_KEYS, I.HISTORY_SEQ).select(
+    return series.dedup_last(I.card_history(spark, sf), CARD_KEYS).select(
         *CARD_KEYS, I.day("date"), "price", "trade_count")
 
 
 @query
 def mark_imputed_count(spark, sf):
-    return series.mark_imputed(I.card_history(spark, sf), CARD_KEYS, I.HISTORY_SEQ).select(
+    return series.mark_imputed(I.card_history(spark, sf), CARD_KEYS).select(
         *CARD_KEYS, I.day("date"), "price", "trade_count", "imputation_basis", flag("imputed_suspect", "imputed"))
 
 
@@ -149,25 +146,25 @@ def index_diff(spark, sf):
 
 @query
 def last_n_days(spark, sf):
-    daily = series.dedup_last(I.card_history(spark, sf), CARD_KEYS, I.HISTORY_SEQ)
+    daily = series.dedup_last(I.card_history(spark, sf), CARD_KEYS)
     return series.last_n(daily, CARD_KEYS, 5).select(*CARD_KEYS, I.day("date"), "price", "trade_count")
 
 
 @query
 def price_trail(spark, sf):
-    return series.price_trail(I.card_history(spark, sf), CARD_KEYS, seq=I.HISTORY_SEQ)
+    return series.price_trail(I.card_history(spark, sf), CARD_KEYS)
 
 
 @query
 def latest_per_key(spark, sf):
-    daily = series.dedup_last(I.card_history(spark, sf), CARD_KEYS, I.HISTORY_SEQ)
+    daily = series.dedup_last(I.card_history(spark, sf), CARD_KEYS)
     return series.latest_per_key(daily, CARD_KEYS, ["date"], ["date", "price", "trade_count"]).select(
         *CARD_KEYS, I.day("date"), "price", "trade_count")
 
 
 @query
 def carried_names(spark, sf):
-    return series.carried(I.named_history(spark, sf), ["card_id"], ["card_name", "hinban"], I.HISTORY_SEQ)
+    return series.carried(I.named_history(spark, sf), ["card_id"], ["card_name", "hinban"])
 
 
 def shown_board(board: DataFrame) -> DataFrame:
@@ -182,14 +179,14 @@ def shown_board(board: DataFrame) -> DataFrame:
 
 @query
 def status_board(spark, sf):
-    return shown_board(trend.order_board(trend.status_board(I.named_history(spark, sf), seq=I.HISTORY_SEQ)))
+    return shown_board(trend.order_board(trend.status_board(I.named_history(spark, sf))))
 
 
 @query
 def status_watched(spark, sf):
     watched = I.table(spark, sf, "part").filter("p_type = 'SMALL'").select(
         F.col("p_partkey").cast("string").alias("card_id"))
-    return shown_board(trend.status_board(I.named_history(spark, sf), watched=watched, seq=I.HISTORY_SEQ))
+    return shown_board(trend.status_board(I.named_history(spark, sf), watched=watched))
 
 
 @query
@@ -388,8 +385,7 @@ def plan_targets(spark, sf):
 
 @query
 def card_report(spark, sf):
-    history = I.named_history(spark, sf).withColumn("seq", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    summary, _ = match.card_report(history, "red widget", seq=I.HISTORY_SEQ)
+    summary, _ = match.card_report(I.named_history(spark, sf), "red widget")
     return summary.select("card_id", "condition", "score", "trend", *[r4(m) for m in METRICS], "streak",
                           "valid_days", "record_count", "price_trail")
 

@@ -8,6 +8,8 @@ since the merge is idempotent a repeated batch does no harm. One writer per tabl
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from tidemark.operators.merge import plan_upsert
 from tidemark.schemas import Table
 
 PARTITION = "_month"
+HEADER = "_header.json"
 
 
 # --- files ------------------------------------------------------------------
@@ -48,52 +51,81 @@ def _staging(path: str) -> str:
     return path.rstrip("/") + "__staged"
 
 
+def _write_header(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """The table's columns, like the header row of a sheet: reads need no file footers."""
+    fs, p = _fs(spark, f"{path}/{HEADER}")
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json().encode("utf-8")))
+    out.close()
+
+
+def _read_header(spark: SparkSession, path: str) -> T.StructType | None:
+    if not path_exists(spark, f"{path}/{HEADER}"):
+        return None
+    fs, p = _fs(spark, f"{path}/{HEADER}")
+    stream = fs.open(p)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
 def finish_move(spark: SparkSession, path: str) -> None:
     """Move a completed staging folder in; also the recovery after a crash."""
     staged = _staging(path)
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        _delete(spark, staged)
-        return
-    fs, p = _fs(spark, staged)
-    parts = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    if parts and all(name.startswith(f"{PARTITION}=") for name in parts):
-        for name in parts:
-            _replace(spark, f"{staged}/{name}", f"{path}/{name}")
-    elif not path_exists(spark, f"{staged}/_PARTED"):
-        _replace(spark, staged, path)
+    if path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, f"{staged}/{HEADER}"):
+        header = _read_header(spark, staged)
+        if PARTITION in header.names:
+            fs, p = _fs(spark, staged)
+            for status in fs.listStatus(p):
+                if status.isDirectory():
+                    name = status.getPath().getName()
+                    _replace(spark, f"{staged}/{name}", f"{path}/{name}")
+            _write_header(spark, path, header)
+        else:
+            _replace(spark, staged, path)
     _delete(spark, staged)
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str, parted: bool) -> None:
+def _stage(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Complete the new data next to the table. The header, written last, marks it complete."""
     staged = _staging(path)
     _delete(spark, staged)
-    if parted:
+    if PARTITION in df.columns:
         # rebalance splits a month that is too big for one task and merges small ones
         df.hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(staged)
-        fs, p = _fs(spark, f"{staged}/_PARTED")
-        fs.create(p).close()
     else:
         df.hint("rebalance").write.parquet(staged)
+    _write_header(spark, staged, df.schema)
 
 
 # --- reads ------------------------------------------------------------------
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns by name: existing ones in place, missing required ones as nulls at the end."""
+    """Columns by name: existing ones in place, missing required ones as nulls before ``_pos``."""
     missing = [f for f in schema.fields if f.name not in df.columns]
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+    present = [c for c in df.columns if c != "_pos"]
+    return df.select(*[F.col(f"`{c}`") for c in present],
+                     *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing],
+                     *[c for c in df.columns if c == "_pos"])
 
 
-def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """A stored table, or an empty one with its schema if nothing was written yet."""
+def _read(spark: SparkSession, path: str, table: Table, months: list[str] | None = None) -> DataFrame:
     if not path_exists(spark, path):
-        return spark.createDataFrame([], table.schema.add("_pos", T.LongType())
-                                     if "_pos" not in table.schema.names else table.schema)
-    # months may differ in extra columns people added, so footers are merged
-    stored = spark.read.option("mergeSchema", "true").parquet(path)
-    stored = stored.drop(PARTITION) if PARTITION in stored.columns else stored
-    tail = [c for c in ("_pos",) if c in stored.columns]
-    aligned = align(stored.drop(*tail), table.schema)
-    return stored.select("*") if not tail else align(stored, table.schema).select(*aligned.columns, *tail)
+        return spark.createDataFrame([], T.StructType([*table.schema.fields, T.StructField("_pos", T.LongType())]))
+    header = _read_header(spark, path)
+    reader = spark.read if header is None else spark.read.schema(header)
+    stored = reader.parquet(path)
+    if PARTITION in stored.columns:
+        if months is not None:
+            stored = stored.filter(F.col(PARTITION).isin(months))
+        stored = stored.drop(PARTITION)
+    return align(stored, table.schema)
+
+
+def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """A stored table by header name, or an empty one with its schema if nothing was written yet."""
+    return _read(spark, path, table)
 
 
 def load_watchlist(spark: SparkSession, stored: DataFrame, seed_path: str | None = None) -> DataFrame:
@@ -102,8 +134,8 @@ def load_watchlist(spark: SparkSession, stored: DataFrame, seed_path: str | None
     if seed_path is None or not named.isEmpty() or not path_exists(spark, seed_path):
         return named
     seed = spark.read.csv(seed_path, sep="\t", header=True, encoding="UTF-8")
-    return align(seed, T.StructType([f for f in stored.schema.fields if f.name != "_pos"])).filter(
-        (blank("品番") != "") | (blank("名前") != ""))
+    wanted = T.StructType([f for f in stored.schema.fields if f.name != "_pos"])
+    return align(seed, wanted).filter((blank("品番") != "") | (blank("名前") != ""))
 
 
 # --- writes -----------------------------------------------------------------
@@ -119,7 +151,7 @@ def write_snapshot(df: DataFrame, path: str, stamp_column: str, load_time: Colum
     """
     spark = df.sparkSession
     finish_move(spark, path)
-    _stage(spark, df.withColumn(stamp_column, load_time), path, parted=False)
+    _stage(spark, df.withColumn(stamp_column, load_time), path)
     if spark.read.parquet(_staging(path)).isEmpty():
         _delete(spark, _staging(path))
         return False
@@ -135,22 +167,20 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, table: Table,
     """Merge a batch into a stored table; history is never truncated. False for an empty batch.
 
     Dated tables are partitioned by month, and only months the batch touches are read
-    and rewritten. ``batch`` is used several times: persist it if it is costly.
+    and rewritten. ``batch`` is used more than once: persist it if it is costly.
     """
     finish_move(spark, path)
-    if batch.isEmpty():
-        return False
-    existing = read_table(spark, path, table)
     if table.dated_by is None:
-        _stage(spark, plan_upsert(existing, batch, table.key, seq).drop("_action"), path, parted=False)
+        if batch.isEmpty():
+            return False
+        merged = plan_upsert(_read(spark, path, table), batch, table.key, seq).drop("_action")
     else:
         # one value per month of dates: small whatever the size of the batch
         months = [r[0] for r in batch.select(_month(table.dated_by)).distinct().collect()]
-        if path_exists(spark, path):
-            stored = spark.read.option("mergeSchema", "true").parquet(path)
-            existing = align(stored.filter(F.col(PARTITION).cast("string").isin(months)).drop(PARTITION),
-                             table.schema)
-        merged = plan_upsert(existing, batch, table.key, seq).drop("_action")
-        _stage(spark, merged.withColumn(PARTITION, _month(table.dated_by)), path, parted=True)
+        if not months:
+            return False
+        merged = (plan_upsert(_read(spark, path, table, months), batch, table.key, seq).drop("_action")
+                  .withColumn(PARTITION, _month(table.dated_by)))
+    _stage(spark, merged, path)
     finish_move(spark, path)
     return True

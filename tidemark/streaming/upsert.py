@@ -66,5 +66,9 @@ def refresh_card_trends(spark: SparkSession, history_path: str, trend_path: str,
 def _merge_trends(spark, points, trend_path, as_of, limits) -> None:
     # the history is keyed by date, so the metrics need a single shuffle
     metrics = series_metrics(points, ["scope", "key"], unique_dates=True)
-    rows = trend_rows(metrics, as_of, limits, F.current_timestamp())
-    upsert_table(spark, trend_path, rows.withColumn("seq", F.lit(0).cast("bigint")), TREND)
+    rows = trend_rows(metrics, as_of, limits, F.current_timestamp()).withColumn("seq", F.lit(0).cast("bigint"))
+    rows = rows.persist()  # the merge looks at its batch more than once
+    try:
+        upsert_table(spark, trend_path, rows, TREND)
+    finally:
+        rows.unpersist()
