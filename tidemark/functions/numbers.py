@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
-from tidemark.functions.text import col, nfkc, strip
+from tidemark.functions.text import col, let, nfkc, strip
 
 _MINUS = "[" + re.escape(V.MINUS_SIGNS) + "]"
 _SIGN = "[" + re.escape(V.MINUS_SIGNS) + "+]"
@@ -27,9 +27,11 @@ def _clean(c: Column | str) -> Column:
 
 def parse_price(c: Column | str) -> Column:
     """Whole number in a text: ``152,443円`` -> 152443, ``-`` -> null, ``0`` -> 0."""
-    text = _clean(c)
-    digits = F.regexp_replace(text, "[^0-9]", "").try_cast("bigint")
-    return F.when(text.rlike("^" + _MINUS), -digits).otherwise(digits)
+    def number(text: Column) -> Column:
+        digits = F.regexp_replace(text, "[^0-9]", "").try_cast("bigint")
+        return F.when(text.rlike("^" + _MINUS), -digits).otherwise(digits)
+
+    return let(_clean(c), number)
 
 
 def whole_number(c: Column | str) -> Column:
@@ -44,32 +46,33 @@ def _signed(text: Column, pattern: str, as_type: str) -> Column:
 
 def parse_pct(c: Column | str) -> Column:
     """First percentage in a text; ▲ and △ are minus signs."""
-    return _signed(_clean(c), _PCT, "double")
+    return let(_clean(c), lambda text: _signed(text, _PCT, "double"))
 
 
 def parse_diff(c: Column | str) -> Column:
     """Struct(amount, pct): the number before 円, else the first one before "("."""
-    text = _clean(c)
-    head = F.split_part(text, F.lit("("), F.lit(1))
-    amount = (F.when(text.rlike(_YEN), _signed(text, _YEN, "bigint"))
-              .otherwise(_signed(head, _PLAIN, "bigint")))
-    return F.struct(amount.alias("amount"), _signed(text, _PCT, "double").alias("pct"))
-
+    def both(text: Column) -> Column:
+        head = F.split_part(text, F.lit("("), F.lit(1))
+        amount = (F.when(text.rlike(_YEN), _signed(text, _YEN, "bigint"))
+                  .otherwise(_signed(head, _PLAIN, "bigint")))
+        return F.struct(amount.alias("amount"), _signed(text, _PCT, "double").alias("pct"))
 
-def _date_of(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("date")
+    return let(_clean(c), both)
 
 
 def parse_date(c: Column | str, default_year: int | Column | None = None) -> Column:
     """Date in a text; without a year only if ``default_year`` is given; impossible -> null."""
-    text = _clean(c)
-    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
-    full = _date_of(part(_FULL_DATE, 1), part(_FULL_DATE, 2), part(_FULL_DATE, 3))
-    if default_year is None:
-        return F.when(text.rlike(_FULL_DATE), full)
-    year = (F.lit(default_year) if isinstance(default_year, int) else default_year).cast("string")
-    short = _date_of(F.lpad(year, 4, "0"), part(_DAY_OF_YEAR, 1), part(_DAY_OF_YEAR, 2))
-    return F.when(text.rlike(_FULL_DATE), full).when(text.rlike(_DAY_OF_YEAR), short)
+    def dated(text: Column) -> Column:
+        full = F.regexp_extract(text, _FULL_DATE, 0)
+        result = F.when(full != "", F.regexp_replace(full, _FULL_DATE, "$1-$2-$3"))
+        if default_year is not None:
+            year = (F.lit(default_year) if isinstance(default_year, int) else default_year).cast("string")
+            short = F.regexp_extract(text, _DAY_OF_YEAR, 0)
+            result = result.when(short != "", F.concat_ws(
+                "-", F.lpad(year, 4, "0"), F.regexp_replace(short, _DAY_OF_YEAR, "$1-$2")))
+        return result.try_cast("date")
+
+    return let(_clean(c), dated)
 
 
 def epoch_date(c: Column | str) -> Column:

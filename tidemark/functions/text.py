@@ -7,7 +7,7 @@ dash inside a code and a letter inside a name.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
 
-_SPACE = r"(?U)[\s\x1c-\x1f]+"
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_ASCII_ONLY = r"^[\x00-\x7F]*$"
+# Unicode white space and the ASCII separators other than the plain space.
+_ODD_SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_SPACES = " " + _ODD_SPACES
+_ASCII_MARKS = "!\"#$%&'()*+,-./:;<=>?@\\^_`{|}~"
 _NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 _jvm_nfkc: dict[str, bool] = {}
@@ -38,7 +40,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim every Unicode space (``trim`` removes only U+0020)."""
-    return F.regexp_replace(col(c), _EDGE_SPACE, "")
+    return F.btrim(col(c), F.lit(_SPACES))
 
 
 def _nfkc_arrow(text: Column) -> Column:
@@ -76,31 +78,43 @@ def nfkc(c: Column | str) -> Column:
     if not _has_jvm_nfkc():
         return _nfkc_arrow(text)
     composed = F.java_method(F.lit(_NORMALIZER), F.lit("compose"), text, F.lit(True))
-    return F.when(text.rlike(_ASCII_ONLY), text).otherwise(composed)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(composed)
 
 
-def _dash(c: Column, dashes: str) -> Column:
-    return F.translate(c, dashes, "-" * len(dashes))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _translate(c: Column, *pairs: tuple[str, str]) -> Column:
+    """One pass over the text: each character set to one character, or to nothing (given last)."""
+    found = "".join(chars for chars, _ in pairs)
+    return F.translate(c, found, "".join(to * len(chars) for chars, to in pairs))
 
 
 def normalize_code(c: Column | str) -> Column:
     """NFKC, every dash and long-vowel mark to "-", no spaces, upper case."""
-    dashed = _dash(nfkc(c), V.COMMON_HYPHENS + V.LONG_VOWEL_MARKS)
-    return F.upper(F.regexp_replace(dashed, _SPACE, ""))
+    return F.upper(_translate(nfkc(c), (V.COMMON_HYPHENS + V.LONG_VOWEL_MARKS, "-"), (_SPACES, "")))
 
 
 def normalize_name(c: Column | str) -> Column:
     """NFKC, common dashes to "-", space runs to one space. Long vowels survive."""
-    return _tidy_spaces(_dash(nfkc(c), V.COMMON_HYPHENS))
+    return _squeeze(_translate(nfkc(c), (V.COMMON_HYPHENS, "-"), (_ODD_SPACES, " ")))
+
+
+def squeeze_spaces(c: Column) -> Column:
+    """Every run of white space to one plain space, none at the ends."""
+    return _squeeze(_translate(c, (_ODD_SPACES, " ")))
 
 
-def _tidy_spaces(c: Column) -> Column:
-    return strip(F.regexp_replace(c, _SPACE, " "))
+def _squeeze(c: Column) -> Column:
+    """Runs of plain spaces to one, none at the ends; most texts have no run to look for."""
+    return F.trim(let(c, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, "  +", " ")).otherwise(t)))
 
 
 def code_view(c: Column | str) -> Column:
     """Comparison form of a name under the code dash rule; never shown."""
-    return F.upper(_dash(nfkc(c), V.COMMON_HYPHENS + V.LONG_VOWEL_MARKS))
+    return F.upper(_translate(nfkc(c), (V.COMMON_HYPHENS + V.LONG_VOWEL_MARKS, "-")))
 
 
 _OPEN, _CLOSE = r"[（(\[【]", r"[)）\]】]"
@@ -110,24 +124,31 @@ _EMPTY_BRACKETS = rf"(?U){_OPEN}\s*{_CLOSE}"
 
 def strip_store_memo(c: Column | str) -> Column:
     without = F.regexp_replace(blank(c), _MEMO, " ")
-    return _tidy_spaces(F.regexp_replace(without, _EMPTY_BRACKETS, " "))
+    return squeeze_spaces(F.regexp_replace(without, _EMPTY_BRACKETS, " "))
 
 
 def build_search_key(code: Column | str, name: Column | str) -> Column:
     """Code and name in one key; the name alone when it already holds the code."""
-    c = normalize_code(code)
-    n = strip_store_memo(normalize_name(name))
-    return (F.when(c == "", n)
-            .when(n == "", c)
-            .when(F.contains(code_view(n), c), n)
-            .otherwise(F.concat_ws(" ", c, n)))
+    def joined(pair: Column) -> Column:
+        c, n = pair["c"], pair["n"]
+        return (F.when(c == "", n)
+                .when(n == "", c)
+                .when(F.contains(code_view(n), c), n)
+                .otherwise(F.concat_ws(" ", c, n)))
+
+    return let(F.struct(normalize_code(code).alias("c"),
+                        strip_store_memo(normalize_name(name)).alias("n")), joined)
 
 
 def compact_name(c: Column | str) -> Column:
-    """Letters and digits only, bracketed parts dropped - for containment tests."""
-    lowered = F.lower(normalize_name(c))
-    return F.regexp_replace(
-        F.regexp_replace(lowered, r"\[[^\]]*\]", ""), r"[^0-9a-zぁ-んァ-ヶ一-龠々]+", "")
+    """Letters and digits only, bracketed parts dropped - for containment tests.
+
+    The dashes and spaces that a name is tidied of are dropped here in any case.
+    """
+    lowered = F.lower(nfkc(c))
+    bare = F.regexp_replace(lowered, r"\[[^\]]*\]", "")
+    # the common marks go in one plain pass, which leaves the pattern little to replace
+    return F.regexp_replace(_translate(bare, (_SPACES + _ASCII_MARKS, "")), r"[^0-9a-zぁ-んァ-ヶ一-龠々]+", "")
 
 
 def compact_overlap(a: Column | str, b: Column | str) -> Column:
@@ -150,12 +171,14 @@ def set_of_code(c: Column | str) -> Column:
 
 def guess_condition(c: Column | str) -> Column:
     """Condition named by the first hint group found in the path."""
-    path = F.lower(blank(c))
-    result = F.lit(V.CONDITION_UNKNOWN)
-    for label, hints in reversed(V.CONDITION_HINTS):
-        hit = path.rlike("|".join(re.escape(h.lower()) for h in hints))
-        result = F.when(hit, F.lit(label)).otherwise(result)
-    return result
+    def pick(path: Column) -> Column:
+        result = F.lit(V.CONDITION_UNKNOWN)
+        for label, hints in reversed(V.CONDITION_HINTS):
+            hit = path.rlike("|".join(re.escape(h.lower()) for h in hints))
+            result = F.when(hit, F.lit(label)).otherwise(result)
+        return result
+
+    return let(F.lower(blank(c)), pick)
 
 
 def status_from_stock(stock: Column | str, closed_flag: Column | str) -> Column:

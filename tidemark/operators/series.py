@@ -72,18 +72,16 @@ def has_trade_count(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _flag(points: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``counted`` (the series has trade counts), ``record_count`` and ``imputed_suspect``."""
+    """Add ``counted`` (the series has trade counts), ``record_count``, ``_j`` and ``imputed_suspect``."""
     counted = F.max(F.col("trade_count").isNotNull() & F.col("date").isNotNull()).over(_whole(keys))
-    points = (points
-              .withColumn("counted", counted)
-              .withColumn("_prev", F.lag("price").over(_by_date(keys)))
-              .withColumn("record_count", F.count("date").over(_whole(keys)))
-              .withColumn("_j", F.count("date").over(_upto(keys))))
+    seen = points.select(
+        "*", counted.alias("counted"), F.lag("price").over(_by_date(keys)).alias("_prev"),
+        F.count("date").over(_whole(keys)).alias("record_count"),
+        F.count("date").over(_upto(keys)).alias("_j"))
     repeat = F.coalesce(F.col("price") == F.col("_prev"), F.lit(False))
     untraded = F.coalesce(F.col("trade_count") <= 0, F.lit(True))
-    return (points
-            .withColumn("imputed_suspect", F.when(F.col("counted"), untraded).otherwise(repeat))
-            .drop("_prev"))
+    suspect = F.when(F.col("counted"), untraded).otherwise(repeat)
+    return seen.select(*[c for c in seen.columns if c != "_prev"], suspect.alias("imputed_suspect"))
 
 
 def _basis() -> Column:
@@ -103,22 +101,33 @@ def mark_imputed(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("se
 
 
 def _profile_rows(points: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per-row helper columns, all over one partitioning and one sort."""
+    """Per-row helper columns from two window passes over one partitioning and one sort.
+
+    ``_obs`` is the price of an observed day, ``_i`` its place among ``valid_days``, ``_chg``
+    the change from the previous observed day (skipping imputed ones), ``_c`` its place
+    among ``_changes``. A change is undefined after a price of 0, so the places of changes
+    follow from those of observations and a count of zeros.
+    """
     marked = _flag(points, keys)
     observed = F.col("date").isNotNull() & ~F.col("imputed_suspect") & F.col("price").isNotNull()
+    marked = marked.select("*", F.when(observed, F.col("price").cast("double")).alias("_obs"))
     part = ", ".join(f"`{k}`" for k in keys)
-    marked = marked.withColumn("_obs", F.when(observed, F.col("price").cast("double")))
-    marked = (marked
-              .withColumn("_i", F.count("_obs").over(_upto(keys)))
-              .withColumn("valid_days", F.count("_obs").over(_whole(keys)))
-              # previous *valid* price: skips imputed days instead of filtering them out
-              .withColumn("_obs_prev", F.expr(
-                  f"lag(_obs) IGNORE NULLS OVER (PARTITION BY {part} ORDER BY date)")))
-    marked = marked.withColumn(
-        "_chg", F.when(F.col("_obs").isNotNull(), pct_change("_obs", "_obs_prev")))
-    return (marked
-            .withColumn("_c", F.count("_chg").over(_upto(keys)))
-            .withColumn("_changes", F.count("_chg").over(_whole(keys))))
+    zero = F.when(F.col("_obs") == 0, 1)
+    placed = marked.select(
+        "*",
+        F.count("_obs").over(_upto(keys)).alias("_i"),
+        F.count(zero).over(_upto(keys)).alias("_z"),
+        F.expr(f"lag(_obs) IGNORE NULLS OVER (PARTITION BY {part} ORDER BY date)").alias("_obs_prev"),
+        F.count("_obs").over(_whole(keys)).alias("valid_days"),
+        F.count(zero).over(_whole(keys)).alias("_zeros"),
+        F.last("_obs", ignorenulls=True).over(_whole(keys)).alias("_obs_last"))
+    one_if = lambda cond: F.when(cond, 1).otherwise(0)
+    return placed.select(
+        "*",
+        F.when(F.col("_obs").isNotNull(), pct_change("_obs", "_obs_prev")).alias("_chg"),
+        (F.col("_i") - 1 - F.col("_z") + one_if(F.col("_obs") == 0)).alias("_c"),
+        F.when(F.col("valid_days") > 0, F.col("valid_days") - 1 - F.col("_zeros")
+               + one_if(F.col("_obs_last") == 0)).otherwise(0).alias("_changes"))
 
 
 def series_metrics(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("seq",),

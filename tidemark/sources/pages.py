@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark import fixed_values as V
 from tidemark.functions.text import (
-    blank, digits_only, extract_code, first_match, status_from_stock, strip)
+    blank, digits_only, extract_code, first_match, squeeze_spaces, status_from_stock)
 from tidemark.functions.urls import absolute_url, clean_url, slug_from_url
 from tidemark.operators.items import first_per_key
 from tidemark.sources import html_nodes
@@ -39,7 +39,7 @@ def page_text(html: Column | str) -> Column:
     """Visible text of a page: scripts, styles, comments and tags out, spaces squeezed."""
     body = F.regexp_replace(blank(html), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ")
     body = decode_entities(F.regexp_replace(body, r"(?s)<[^>]*>", " "))
-    return strip(F.regexp_replace(body, r"(?U)\s+", " "))
+    return squeeze_spaces(body)
 
 
 def extract_listing_items(pages: DataFrame, base: str, html: str = "html", page: str = "page") -> DataFrame:
