@@ -54,7 +54,8 @@ def dedup_last(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("seq"
     if len(seq) == 1:
         return rows.groupBy(*keys, "date").agg(
             F.max_by("price", seq[0]).alias("price"), F.max_by("trade_count", seq[0]).alias("trade_count"))
-    last = F.max(F.struct(*seq, "price", "trade_count"))
+    order = [F.col(c).alias(f"_seq{i}") for i, c in enumerate(seq)]
+    last = F.max(F.struct(*order, "price", "trade_count"))
     return (rows.groupBy(*keys, "date").agg(last.alias("_last"))
             .select(*keys, "date", F.col("_last.price").alias("price"),
                     F.col("_last.trade_count").alias("trade_count")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -135,8 +136,10 @@ def extract_numbers(pages: DataFrame, classes: Mapping[str, Sequence[tuple[str,
     text has digits), then the patterns over the page text.
     """
     tests = [test for label in classes for test in classes[label]]
+    # a page without any of the marks needs no parsing
+    marked = F.when(F.col(html).rlike("|".join(re.escape(token) for _, token in tests)), F.col(html))
     out = T.StructType([T.StructField("_found", T.ArrayType(T.StringType()))])
-    texts = expand_text(pages.select(F.col(page), page_text(html).alias("_text"), F.col(html).alias("_html")),
+    texts = expand_text(pages.select(F.col(page), page_text(html).alias("_text"), marked.alias("_html")),
                         "_html", [page, "_text"], out, html_nodes.first_texts(tests))
     columns, offset = [], 0
     for label in classes:
