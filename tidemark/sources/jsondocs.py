@@ -132,11 +132,13 @@ def extract_item_records(docs: DataFrame, keys: Sequence[str], base: str, json:
 SOURCE_ORDER = ("api", "embedded", "decoded")
 
 
-def series_candidates(docs: DataFrame, page: str = "page") -> DataFrame:
-    """All series of a page from its JSON documents, ranked by length (longest first, stable).
+def series_candidates(docs: DataFrame, page: str = "page", top: int | None = V.SERIES_PER_PAGE) -> DataFrame:
+    """The ``top`` longest series of each page from its JSON documents (ties in document order).
 
     ``docs``: page, kind (api, embedded, decoded), doc_no, json. Wide charts are read from
     decoded documents only. Output: page, rank, source, n_points, idx, date, price, trade_count.
+    The limit is applied in every task before the shuffle, so a page with any number of
+    documents sends on few series. ``top=None`` gives all series, without a rank.
     """
     keys = [page, "kind", "doc_no"]
     generic = extract_series(docs, keys).select(
@@ -148,20 +150,23 @@ def series_candidates(docs: DataFrame, page: str = "page") -> DataFrame:
         "n_points", "idx", "date", "price", "trade_count")
     order = F.array_position(F.array(*[F.lit(k) for k in SOURCE_ORDER]), F.col("kind"))
     found = generic.unionByName(wide).withColumn("_kind", order)
+    columns = ["source", "n_points", "idx", "date", "price", "trade_count"]
+    if top is None:
+        return found.select(page, *columns)
     ranked = Window.partitionBy(page).orderBy(
         F.col("n_points").desc(), "_kind", "doc_no", "_chart", "series_no", "_cond")
-    return found.withColumn("rank", F.dense_rank().over(ranked)).select(
-        page, "rank", "source", "n_points", "idx", "date", "price", "trade_count")
+    return (found.withColumn("rank", F.dense_rank().over(ranked)).filter(F.col("rank") <= top)
+            .select(page, "rank", *columns))
 
 
 def card_records(candidates: DataFrame, cards: DataFrame, days: int = V.DAILY_DAYS,
-                 top: int = V.SERIES_PER_PAGE, page: str = "page") -> DataFrame:
+                 page: str = "page") -> DataFrame:
     """History rows of cards: the longest series of each page, their last ``days`` points.
 
     ``cards``: page, card_id, card_name, hinban. ``seq`` orders rows for the merge, where the
     later of two series with the same condition wins.
     """
-    kept = candidates.filter((F.col("rank") <= top) & (F.col("idx") >= F.col("n_points") - days))
+    kept = candidates.filter(F.col("idx") >= F.col("n_points") - days)
     kept = kept.withColumn("condition", guess_condition("source")).withColumn(
         "seq", F.col("rank").cast("bigint") * 1_000_000 + F.col("idx"))
     marked = mark_imputed(kept, [page, "rank", "condition"], ["seq"])
