@@ -200,12 +200,14 @@ def series_metrics(rows: DataFrame, keys: Sequence[str], seq: Sequence[str] = ("
     return g.select(*out)
 
 
-def group_series(rows: DataFrame, group: str, also_by: Sequence[str] = ()) -> DataFrame:
-    """Mean price and summed trades per group and date.
+def group_series(rows: DataFrame, group: str | Column, also_by: Sequence[str] = ()) -> DataFrame:
+    """Mean price and summed trades per group and date. ``group``: a column or an expression, then named group.
 
     Days with a count of 0 or less are left out before averaging; a missing count
     is kept and counts as one trade, so a group series always has counts.
     """
+    if isinstance(group, Column):
+        rows, group = rows.withColumn("group", group), "group"
     eligible = (F.col(group).isNotNull() & (F.col(group) != "") & F.col("date").isNotNull()
                 & F.col("price").isNotNull()
                 & (F.col("trade_count").isNull() | (F.col("trade_count") > 0)))

@@ -96,6 +96,13 @@ def poll(root: str, rows: DataFrame, product_pages: DataFrame, load_time: Column
 
 
 # --- history and trends -------------------------------------------------------
+def index_points(normal: DataFrame, graded: DataFrame, days: int = V.DAILY_DAYS) -> DataFrame:
+    """Index records of the normal and the graded page (candidates of each) under their labels."""
+    kinds = (("normal", normal), ("graded", graded))
+    first, second = (jsondocs.index_records(found, V.INDEX_LABELS[kind], days) for kind, found in kinds)
+    return first.unionByName(second)
+
+
 def store_index(spark: SparkSession, root: str, records: DataFrame, fetched_at: Column | str) -> bool:
     """Merge index points (date, index_type, value, seq); differences look back over the stored history."""
     old = read_table(spark, _at(root, INDEX_HISTORY), INDEX_HISTORY).join(

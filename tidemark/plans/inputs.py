@@ -168,6 +168,14 @@ def chart_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_json(F.struct("data")).alias("json")))
 
 
+def index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document per index type with its whole series."""
+    points = F.array_sort(F.collect_list(F.struct("date", "value")))
+    return (index_history(spark, sf_dir).groupBy("index_type").agg(points.alias("data"))
+            .select(F.col("index_type").alias("page"), F.lit("api").alias("kind"), F.lit(0).alias("doc_no"),
+                    F.to_json(F.struct("data")).alias("json")))
+
+
 def item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item records of 20 parts each, nested under their ids."""
     p = table(spark, sf_dir, "part").withColumn("page", F.expr(f"p_partkey div {PAGE_SIZE}"))

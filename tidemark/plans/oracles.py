@@ -185,6 +185,15 @@ src AS (SELECT n.* FROM n JOIN hit USING (card_id)),
 {daily('src', 'card_id, condition', ORDER)}, {metrics('card_id, condition')}, {_TRAIL}
 SELECT card_id, condition, score, trend, {ROUNDED}, round(vol20, 4) AS vol20, CAST(streak AS BIGINT) AS streak, valid_days,
   record_count, price_trail FROM mt JOIN hit USING (card_id) JOIN tr USING (card_id, condition)"""
+_TWO = "coalesce(regexp_replace(printf('%.2f', {0}), '0$', ''), '') AS {0}"
+_ONE = "coalesce(printf('%.1f', {0}), '') AS {0}"
+ORACLES["export_trends"] = f"""{CARD_TRENDS} SELECT CAST(coalesce(last_date, DATE '1970-01-01') AS VARCHAR) AS date, scope, key,
+  key AS label, {', '.join(_TWO.format(c) for c in ('d1', 'd3', 'd7', 'vol20'))},
+  {', '.join(_ONE.format(c) for c in ('ma5', 'ma20', 'suggested_buffer_pct'))},
+  CAST(CAST(streak AS BIGINT) AS VARCHAR) AS streak, CAST(valid_days AS VARCHAR) AS valid_days, trend, imputation_basis FROM mt"""
+ORACLES["group_by_expression"] = f"""WITH {HISTORY} SELECT 'd' || length(card_id) AS "group", condition, CAST(date AS VARCHAR) AS date,
+  round(avg(price), 4) AS price, CAST(sum(coalesce(trade_count, 1)) AS BIGINT) AS trade_count
+FROM h WHERE {GROUPED} GROUP BY 1, 2, h.date"""
 ORACLES["trend_summary"] = f"""{CARD_TRENDS} SELECT trend, count(*) AS series,
   count(*) FILTER (WHERE imputation_basis = 'price_repeat') AS on_price_repeat,
   string_agg(DISTINCT imputation_basis, ',' ORDER BY imputation_basis) AS bases FROM mt GROUP BY trend"""
@@ -379,6 +388,8 @@ SELECT page, condition, count(*) OVER (PARTITION BY page, condition) AS n_points
 FROM lg WHERE price IS NOT NULL"""
 ORACLES["item_records"] = """SELECT 's' || p_partkey AS card_id, p_name || ' [' || p_brand || ' ' || lpad(CAST(p_size AS VARCHAR), 3, '0') || '/165]' AS card_name,
   lpad(CAST(p_size AS VARCHAR), 3, '0') || '/165' AS hinban, 'https://cards.example/s' || p_partkey || '/' AS url FROM part"""
+ORACLES["index_records"] = f"""WITH {INDEX} SELECT index_type, CAST(date AS VARCHAR) AS date, value FROM ix
+QUALIFY row_number() OVER (PARTITION BY index_type ORDER BY ix.date DESC) <= 20"""
 _CONDITION = "CASE condition WHEN 'R' THEN '美品' WHEN 'A' THEN 'キズあり' ELSE 'psa10' END"
 ORACLES["card_records"] = f"""{_NUMBERED}, kp AS (SELECT * FROM nb WHERE n_points >= 2 AND idx >= n_points - {V.DAILY_DAYS}),
 {marked('card_id, condition', 'kp')}

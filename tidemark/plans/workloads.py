@@ -189,6 +189,19 @@ def status_watched(spark, sf):
     return shown_board(trend.status_board(I.named_history(spark, sf), watched=watched))
 
 
+@query
+def export_trends(spark, sf):
+    return trend.export_trend(card_trends(spark, sf))
+
+
+@query
+def group_by_expression(spark, sf):
+    """Series per length of the card number and condition: the group is an expression."""
+    digits = F.concat(F.lit("d"), F.length("card_id").cast("string"))
+    return series.group_series(I.card_history(spark, sf), digits, ["condition"]).select(
+        "group", "condition", I.day("date"), r4("price"), "trade_count")
+
+
 @query
 def trend_summary(spark, sf):
     return trend.trend_summary(card_trends(spark, sf))
@@ -612,6 +625,13 @@ def item_records(spark, sf):
     return jsondocs.extract_item_records(I.item_docs(spark, sf), ["page"], "https://cards.example")
 
 
+@query
+def index_records(spark, sf):
+    found = jsondocs.series_candidates(I.index_docs(spark, sf))
+    return jsondocs.index_records(found, F.col("page"), 20).select(
+        "index_type", I.day("date"), F.col("value").cast("bigint").alias("value"))
+
+
 @query
 def card_records(spark, sf):
     blobs = jsondocs.extract_json_blobs(I.series_pages(spark, sf), ["page"]).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import unicodedata
@@ -39,6 +40,7 @@ def scan(text: str, attempts: int = V.JSON_SCAN_ATTEMPTS) -> Iterator[str]:
         at = _OPENING.search(text, end)
 
 
+@functools.lru_cache(4096)  # documents repeat few names
 def _plain(key: str) -> str:
     return re.sub(r"[_\-\s]", "", key).lower()
 
@@ -65,7 +67,12 @@ def day(value) -> date | None:
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         seconds = value / 1000.0 if value > 1e11 else value
         return datetime.fromtimestamp(seconds, _ZONE).date() if 1e8 < seconds < 2e11 else None
-    found = _FULL_DATE.search(unicodedata.normalize("NFKC", str(value or "")))
+    return _day_in(str(value or ""))
+
+
+@functools.lru_cache(65536)  # and few dates
+def _day_in(text: str) -> date | None:
+    found = _FULL_DATE.search(unicodedata.normalize("NFKC", text))
     try:
         return date(*map(int, found.groups())) if found else None
     except ValueError:
