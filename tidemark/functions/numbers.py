@@ -17,8 +17,8 @@ _SIGN_OR_EITHER = "[" + re.escape(V.MINUS_SIGNS) + "+±]"
 _PCT = rf"(?U)({_SIGN}?)\s*([0-9][0-9,]*(?:\.[0-9]+)?)\s*%"
 _YEN = rf"(?U)({_SIGN_OR_EITHER}?)\s*([0-9][0-9,]*)\s*円"
 _PLAIN = rf"(?U)({_SIGN_OR_EITHER}?)\s*([0-9][0-9,]*)"
-_FULL_DATE = r"(?U)([0-9]{4})\s*[-/.年]\s*([0-9]{1,2})\s*[-/.月]\s*([0-9]{1,2})"
-_DAY_OF_YEAR = r"(?U)([0-9]{1,2})\s*[-/.月]\s*([0-9]{1,2})"
+_FULL_DATE = "(?U)" + V.FULL_DATE_PATTERN
+_DAY_OF_YEAR = "(?U)" + V.DAY_OF_YEAR_PATTERN
 
 
 def _clean(c: Column | str) -> Column:

@@ -160,7 +160,7 @@ def compact_overlap(a: Column | str, b: Column | str) -> Column:
 
 def extract_code(c: Column | str) -> Column:
     """First ``NNN/NNN`` code in the text, "" if none."""
-    found = F.regexp_extract(nfkc(c), r"(?U)\b(\d{1,3}\s*/\s*\d{1,3}[A-Za-z\-]*)\b", 1)
+    found = F.regexp_extract(nfkc(c), "(?U)" + V.CODE_PATTERN, 1)
     return F.replace(found, F.lit(" "), F.lit(""))
 
 

@@ -123,7 +123,7 @@ def trend_all_scopes(index: DataFrame, cards: DataFrame, as_of: Column | str,
     card_pts = cards.select(
         F.lit("card").alias("scope"), card_key.alias("key"), "date",
         F.col("price").cast("double").alias("price"), F.col("trade_count").cast("bigint"), *place)
-    keys = ["scope", "key"]
+    keys = ["key", "scope"]  # the varied column first: sorting compares its prefix
     raw = observed_points(index_pts.unionByName(card_pts), keys, keep_keys=True)
     if not unique_dates:
         # one row per date first: the group scopes below are unique by construction
@@ -176,8 +176,12 @@ def status_board(cards: DataFrame, limits: TrendLimits = TrendLimits(), watched:
 
 
 def order_board(board: DataFrame) -> DataFrame:
-    """Most urgent class first, then code, then condition."""
-    return board.orderBy(trend_urgency("傾向"), "品番", "状態")
+    """Most urgent class first, then code, then condition.
+
+    A global sort samples its input first. The shuffle before it keeps that from computing
+    the board twice; a board is small next to the history it comes from.
+    """
+    return board.repartition("card_id", "状態").orderBy(trend_urgency("傾向"), "品番", "状態")
 
 
 def _text_columns(df: DataFrame, one_place: set[str], two_places: set[str]) -> list[Column]:

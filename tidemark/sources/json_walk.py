@@ -13,7 +13,7 @@ from zoneinfo import ZoneInfo
 from tidemark import fixed_values as V
 
 _ZONE = ZoneInfo(V.ZONE)
-_FULL_DATE = re.compile(r"(\d{4})\s*[-/.年]\s*(\d{1,2})\s*[-/.月]\s*(\d{1,2})")
+_FULL_DATE = re.compile(V.FULL_DATE_PATTERN)
 _DECODER = json.JSONDecoder()
 _OPENING = re.compile(r"[\[{]")
 
@@ -118,23 +118,27 @@ def series(value, path: str = "", depth: int = 0) -> Iterator[tuple[str, list[tu
 _CHART_PRICES = [column for _, column in V.CHART_PRICE_COLUMNS]
 
 
+def _is_wide(rows) -> bool:
+    """A list of dicts of which one has a date next to a wide price column."""
+    names = [r.keys() for r in rows if isinstance(r, dict)] if isinstance(rows, list) else []
+    complete = bool(names) and len(names) == len(rows)
+    return complete and any("date" in n and not n.isdisjoint(_CHART_PRICES) for n in names)
+
+
 def charts(value, path: str = "", depth: int = 0) -> Iterator[tuple[str, list[dict]]]:
     """(path, rows) of arrays of dicts with a date and wide price columns, nested ones too."""
-    if depth > V.JSON_SERIES_DEPTH:
-        return
-    if isinstance(value, list) and value and all(isinstance(v, dict) for v in value):
-        if any("date" in v and any(p in v for p in _CHART_PRICES) for v in value):
-            yield path, value
-    for name, child in _children(value, path):
-        yield from charts(child, name, depth + 1)
+    if _is_wide(value):
+        yield path, value
+    if depth < V.JSON_SERIES_DEPTH:
+        for name, child in _children(value, path):
+            yield from charts(child, name, depth + 1)
 
 
 def item_records(value, depth: int = 0) -> Iterator[dict]:
     """Dicts with a slug and a name; a match is not searched further."""
-    if depth > V.JSON_RECORD_DEPTH:
-        return
-    if isinstance(value, dict) and value.get("strSlug") and value.get("strName"):
-        yield value
-        return
-    for _, child in _children(value, ""):
-        yield from item_records(child, depth + 1)
+    fields = value if isinstance(value, dict) else {}
+    if fields.get("strSlug") and fields.get("strName"):
+        yield fields
+    elif depth < V.JSON_RECORD_DEPTH:
+        for _, child in _children(value, ""):
+            yield from item_records(child, depth + 1)

@@ -16,9 +16,8 @@ from tidemark.operators.series import mark_imputed
 from tidemark.sources import json_walk
 from tidemark.sources.rowwise import expand_text
 
-_SCRIPT = (r'(?s)<script[^>]*(?:id="__NEXT_DATA__"|type="application/(?:json|ld\+json)")[^>]*>'
-           r"(.*?)</script>")
-_PUSHED = r'(?s)self\.__next_f\.push\(\s*\[\s*\d+\s*,\s*("(?:[^"\\]|\\.)*")\s*\]\s*\)'
+_SCRIPT = "(?s)" + V.JSON_SCRIPT_PATTERN
+_PUSHED = "(?s)" + V.JSON_PUSH_PATTERN
 
 _L, _S, _DATE = T.LongType(), T.StringType(), T.DateType()
 
