@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bottomk import near_duplicates
 from tidemark.llm.common import table
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
@@ -22,6 +23,10 @@ def op9_token_id_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksums(read_token_files(spark, path))
 
 
+def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_cost_balanced_packing, op9_token_id_parquet)}
+    f.__name__: f for f in (op2_cost_balanced_packing, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
