@@ -11,6 +11,7 @@ from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
+from tidemark.llm.toxicity import toxicity
 from tidemark.session import scratch_dir
 
 
@@ -22,6 +23,10 @@ def op5_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> Dat
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_id_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path)
@@ -33,5 +38,6 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_cost_balanced_packing, op5_prefix_filtered_decontamination, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
+    f.__name__: f for f in (op2_cost_balanced_packing, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
+    op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
