@@ -16,11 +16,16 @@ def tokenizer_path(name: str = DEFAULT) -> str:
     return public_tokenizers.path(name)
 
 
+#: Full stop, comma and line break cut off from the letters before them.
+_SIGNS = ("\0.", "\0,", "\0\n")
+
+
 class Memory:
     """Two generations of at most ``limit`` entries: what is not asked for during one generation is forgotten."""
 
     def __init__(self, limit: int):
         self.limit, self.new, self.old = limit, {}, {}
+        self.flagged, self.old_flagged = set(), set()
 
     def missing(self, keys: set) -> list:
         """Keys that are not known; known ones are in ``new`` afterwards."""
@@ -28,14 +33,17 @@ class Memory:
         unseen = [k for k in keys if k not in new]
         if len(new) + len(unseen) > self.limit:
             self.old, self.new = new, {}
+            self.old_flagged, self.flagged = self.flagged, set()
             unseen = keys
-        out, old = [], self.old
+        out, old, flagged = [], self.old, self.old_flagged
         for key in unseen:
             value = old.get(key, False)
             if value is False:
                 out.append(key)
             else:
                 self.new[key] = value
+                if key in flagged:
+                    self.flagged.add(key)
         return out
 
 
@@ -43,12 +51,13 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to encoding each whole text.
 
     The pre-tokenizer of a byte-level BPE never joins across a single space between two non-space
-    characters, nor across the end of a run of letters, so texts are cut there, the parts not seen lately
-    are encoded together, and ids are put together again. A text with any other white space next to a cut
-    is encoded whole. Memory is bounded by ``limit`` parts, whatever the texts.
+    characters, around a single line break, nor around a lone full stop or comma, so plain texts are cut there:
+    a part after a space stands as it is, one that follows nothing is marked with ``\\1``, a stop, comma or line
+    break with ``\\0``. Parts not seen lately are encoded together. Texts where a cut might not be one (other
+    white space, marks side by side) are encoded whole. Memory is bounded by ``limit`` parts, whatever the texts.
     """
 
-    _simple = re.compile(r"([^\W\d_]+)([.,;:!?]?)(?:\n([^\W\d_]+)([.,;:!?]?))?", re.S)
+    _marked = re.compile(r"([^\W\d_]+)([^\w\s]+)").fullmatch
 
     def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,18 +66,16 @@ class Encoder:
         self.tool = Tokenizer.from_file(path)
         if type(self.tool.pre_tokenizer).__name__ != "ByteLevel" or self.tool.normalizer is not None:
             raise ValueError("a byte-level tokenizer without a normalizer is expected")
-        self.chunks, self.spaced, self.bare = Memory(limit), Memory(limit // 2), Memory(limit // 2)
+        self.memory = Memory(limit)
         size = self.tool.get_vocab_size(with_added_tokens=True)
         self.leads = np.array([(self.tool.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
         self.newline = int(np.frombuffer(self.whole("\n"), "<u4")[0])
-        self.marks = {m: self.whole(m) for m in ["", "\n", *".,;:!?"]}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, memory: Memory, words: set, lead: str) -> None:
+    def _learn(self, words: list[str], keys: list[str], lead: str) -> None:
         """Ids of runs of letters, each with a leading space or none, found by encoding them as one text."""
-        words = memory.missing(words)
         if not words:
             return
         text = lead + (lead or "\n").join(words)
@@ -81,31 +88,42 @@ class Encoder:
             cuts = list(zip((4 * np.append(0, at + 1)).tolist(), (4 * np.append(at, len(ids))).tolist()))
         raw = ids.tobytes()
         if len(cuts) == len(words):
-            memory.new.update((w, raw[a:b]) for w, (a, b) in zip(words, cuts))
+            self.memory.new.update((k, raw[a:b]) for k, (a, b) in zip(keys, cuts))
         else:
-            memory.new.update((w, self.whole(lead + w)) for w in words)
-
-    def _learn_chunks(self, chunks: set) -> None:
-        found, spaced, bare = {}, set(), set()
-        match = self._simple.fullmatch
-        for chunk in self.chunks.missing(chunks):
-            m = match(chunk)
-            if m is not None:
-                word, mark, after, mark_after = m.groups()
-                if word.isalpha() and (after is None or after.isalpha()):
-                    found[chunk] = (word, mark, after, mark_after)
-                    spaced.add(word)
-                    if after:
-                        bare.add(after)
-                    continue
-            odd = not chunk or chunk[0].isspace() or chunk[-1].isspace()
-            self.chunks.new[chunk] = None if odd else self.whole(" " + chunk)
-        self._learn(self.spaced, spaced, " ")
-        self._learn(self.bare, bare, "")
-        words, bares, marks, line = self.spaced.new, self.bare.new, self.marks, self.marks["\n"]
-        self.chunks.new.update(
-            (chunk, words[a] + marks[b] if c is None else words[a] + marks[b] + line + bares[c] + marks[d or ""])
-            for chunk, (a, b, c, d) in found.items())
+            self.memory.new.update((k, self.whole(lead + w)) for k, w in zip(keys, words))
+
+    def _learn_parts(self, parts: set) -> None:
+        spaced, bare, other, marked, memory = [], [], [], {}, self.memory
+        for part in memory.missing(parts):
+            if part.isalpha():
+                spaced.append(part)
+            elif part[:1] == "\1" and part[1:].isalpha():
+                bare.append(part)
+            elif not _stands_alone(part):
+                memory.new[part] = None
+            else:
+                if not part[-1].isalnum() and part not in _SIGNS:
+                    memory.flagged.add(part)
+                m = self._marked(part)
+                if m and m[1].isalpha():
+                    marked[part] = (m[1], m[2])
+                else:
+                    other.append(part)
+        if marked:
+            have = set(spaced)
+            spaced += [w for w in {w for w, _ in marked.values()} if w not in memory.new and w not in have]
+        self._learn(spaced, spaced, " ")
+        self._learn([p[1:] for p in bare], bare, "")
+        tails = list({m for _, m in marked.values()})
+        texts = [p[1:] if p[0] in "\0\1" else " " + p for p in other]
+        made = self._encode_all(texts + tails)
+        memory.new.update(zip(other, made))
+        ends = dict(zip(tails, made[len(other):]))
+        memory.new.update((p, memory.new[w] + ends[m]) for p, (w, m) in marked.items())
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
+        made = self.tool.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in made]
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; null and empty texts have none. Long texts go in runs of bounded size."""
@@ -119,24 +137,35 @@ class Encoder:
         return out + self._run(held)
 
     def _run(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
-        self._learn_chunks({c for chunks in cut for c in chunks[1:]})
-        known, out = self.chunks.new, []
-        for text, chunks in zip(texts, cut):
-            if not text:
-                out.append(b"")
-                continue
-            first = chunks[0]
-            if not first or first[0].isspace() or first[-1].isspace():
-                out.append(self.whole(text))
-                continue
+        cut = [_cut(t) if t else () for t in texts]
+        self._learn_parts({c for parts in cut if parts for c in parts})
+        known, flagged, out, entire = self.memory.new, self.memory.flagged, [], []
+        for i, parts in enumerate(cut):
+            if parts and flagged and not flagged.isdisjoint(parts) and any(
+                    b[:2] in ("\0.", "\0,") and a in flagged for a, b in zip(parts, parts[1:])):
+                parts = None
             try:
-                out.append(self.whole(first) + b"".join(map(known.__getitem__, chunks[1:])))
-            except TypeError:  # a part that cannot be taken alone
-                out.append(self.whole(text))
+                out.append(b"".join(map(known.__getitem__, parts)))
+            except TypeError:  # not cut, or a part that does not stand alone
+                out.append(None)
+                entire.append(i)
+        for i, ids in zip(entire, self._encode_all([texts[i] for i in entire])):
+            out[i] = ids
         return out
 
 
+def _cut(text: str) -> list[str] | None:
+    for marks in ("\0", "\1", "..", ",,", ".,", ",."):
+        if marks in text:
+            return None
+    return ("\1" + text.replace(".", " \0.").replace(",", " \0,").replace("\n", " \0\n \1")).split(" ")
+
+
+def _stands_alone(part: str) -> bool:
+    """Whether a part is no sign of white space next to other white space; if it ends with a mark, what follows counts too."""
+    return part in _SIGNS or part not in ("", "\1") and not any(c.isspace() for c in part)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
