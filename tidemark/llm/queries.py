@@ -12,6 +12,7 @@ from tidemark.llm.decontaminate import contamination
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
 from tidemark.llm.toxicity import toxicity
+from tidemark.llm.warc import read_archives, write_archives
 from tidemark.session import scratch_dir
 
 
@@ -27,6 +28,12 @@ def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_zstandard_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_token_id_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path)
@@ -39,5 +46,5 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_cost_balanced_packing, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
-    op9_token_id_parquet, op10_bottom_k_near_duplicates)}
+    op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
