@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bottomk import near_duplicates
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm.grid_join import similar_vectors
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
 from tidemark.llm.toxicity import toxicity
@@ -20,6 +21,10 @@ def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_epsilon_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_prefix_filtered_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +50,6 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_cost_balanced_packing, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
+    f.__name__: f for f in (op2_cost_balanced_packing, op3_epsilon_grid_order_join, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
     op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
