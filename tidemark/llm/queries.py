@@ -10,6 +10,7 @@ from tidemark.llm.bottomk import near_duplicates
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.grid_join import similar_vectors
+from tidemark.llm.line_runs import deduplicate_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
 from tidemark.llm.toxicity import toxicity
@@ -33,6 +34,11 @@ def op6_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_run_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_zstandard_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
@@ -51,5 +57,5 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_cost_balanced_packing, op3_epsilon_grid_order_join, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
-    op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
+    op7_line_run_suffix_array, op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
