@@ -5,19 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.bottomk import near_duplicates
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.grid_join import similar_vectors
-from tidemark.llm.line_runs import deduplicate_lines
+from tidemark.llm.line_runs import deduplicate_lines, without_lines
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.paragraphs import repeated_paragraphs
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.warc import read_archives, write_archives
 from tidemark.session import scratch_dir
 
 
+def op1_paragraph_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later copies of paragraphs; ``clusters`` lists the clusters that a document's paragraphs are in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeated_paragraphs(docs)
+    clusters = found.groupBy(F.col("doc").alias("doc_id")).agg(
+        F.count("*").alias("n_repeated"), F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
+    return without_lines(docs, found.where("NOT kept").select("doc", "mark", "pos")).join(clusters, "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), "n_removed", "clusters", "text")
+
+
 def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -56,6 +68,8 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_cost_balanced_packing, op3_epsilon_grid_order_join, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
+    f.__name__: f for f in (
+        op1_paragraph_minhash_dedup, op2_cost_balanced_packing, op3_epsilon_grid_order_join,
+        op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
     op7_line_run_suffix_array, op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
 ORACLES: dict[str, str] = {}
