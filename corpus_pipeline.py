@@ -3,17 +3,52 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.bottomk import BROADCAST_ROWS, near_duplicates
 from tidemark.llm.common import store, table
+from tidemark.llm.decontaminate import without_contaminated
+from tidemark.llm.line_runs import deduplicate_lines
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.toxicity import score_texts, train, training_rows
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half. The model learns from the labelled rows of ``docs``."""
+    model = train(*training_rows(docs, table(spark, sf_dir, "labels")))
+    return score_texts(docs, model).where("score < 0.5").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated line runs; a document of which nothing is left goes."""
+    left = deduplicate_lines(docs)
+    emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
+    own = [F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
+           if c == "n_chars" else F.col(c) for c in docs.columns]
+    return left.where(~F.coalesce(emptied, F.lit(False))).select(*own)
+
+
+def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one of smallest id."""
+    gone, _ = store(near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 1024 tokens."""
+    """What is left in sequences of 1024 tokens."""
     return pack_documents(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("toxicity", toxicity), ("line dedup", line_dedup), ("near duplicates", near_duplicate_groups),
+          ("decontamination", decontamination), ("packing", packing)]
+
+#: SQL expresses neither the classifier nor the tokenizer; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
@@ -21,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs, _ = store(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, _ = store(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
