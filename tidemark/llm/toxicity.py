@@ -11,6 +11,7 @@ from itertools import combinations, groupby
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.tokens import Memory
 from tidemark.session import ship_package
@@ -288,9 +289,8 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     base = docs.drop("score")
-    place = base.columns.index("text")
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
+    names = base.columns
+    place = names.index("text")
     schema = StructType([*base.schema.fields, StructField("score", DoubleType())])
 
     def run(batches: Iterator) -> Iterator:
@@ -306,7 +306,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
                     scores += score(held)
                     held, size = [], 0
             scores += score(held)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*base.columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
 
     return base.mapInArrow(run, schema)
 
