@@ -172,38 +172,44 @@ class _Landmarks:
         return np.concatenate([[0.0], (self.table @ coefficients)[1:]])[self.index].astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
-    """Learns which words make a labelled text toxic (multiple instances: one such word is enough).
-
-    Landmarks are half the words that speak most for the toxic class, half the commonest of the clean one. Each
-    toxic text stands by the word of highest decision value, clean texts by all common words and by those that
-    came nearest; the machine is fitted anew a few times. A fifth of the texts is kept for the probability.
+def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 3, share: float = 0.6) -> Model:
+    """Learns which words make a labelled text toxic.
+
+    A label speaks of a whole text, so words stand for texts: a toxic one has the word of most evidence (root of
+    the likelihood ratio) at first, later the one of highest decision value; words of at least ``share`` of the
+    usual evidence always take part. Landmarks are the words of most evidence and the commonest clean words.
+    The other side are common clean words and, after the first round, the word of each clean text that came
+    nearest. A fifth of the texts is kept for the probability.
     """
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return Model(None, 0.0, 0.0, float(np.clip(8 * (y.mean() if len(y) else 0) - 4, -4, 4)))
     bags = [[p for p in {q for t in tokens_of(text) for q in pieces(plain(t))} if len(p) >= ORDER] for text in texts]
-    held = np.arange(len(y)) % 5 == 0
-    if len({*y[~held]}) < 2 or len({*y[held]}) < 2:
+    held = np.zeros(len(y), bool)
+    for k in (0, 1):  # every fifth of either class
+        held[np.flatnonzero(y == k)[4::5]] = True
+    if len({*y[held]}) < 2:
         held[:] = False
     seen = [Counter(w for bag, c, h in zip(bags, y, held) if c == k and not h for w in bag) for k in (0, 1)]
-    n0, n1 = ((y == k) & ~held for k in (0, 1))
-    n0, n1 = n0.sum(), n1.sum()
-    odds = {w: np.log((c + 0.1) / (n1 + 1)) - np.log((seen[0][w] + 0.1) / (n0 + 1)) for w, c in seen[1].items()}
-    speaking = sorted((w for w in odds if odds[w] > 1), key=lambda w: (-odds[w] * np.sqrt(seen[1][w]), w))
+    n0, n1 = (int(((y == k) & ~held).sum()) for k in (0, 1))
+    strength = {w: _evidence(c, n1, seen[0][w], n0) for w, c in seen[1].items() if c > 1}
+    witness = [max((w for w in bag if w in strength), key=lambda w: (strength[w], w), default=None)
+               for bag, c, h in zip(bags, y, held) if c == 1 and not h]
+    counted = Counter(w for w in witness if w is not None)
+    least = share * float(np.median([strength[w] for w in witness if w is not None])) if counted else 0.0
+    speaking = sorted((w for w, z in strength.items() if z > 0), key=lambda w: (-strength[w], w))
+    strong = [w for w in speaking if strength[w] >= least]
     common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0]))]
-    marks = speaking[:landmarks // 2] + common[:landmarks - min(landmarks // 2, len(speaking))]
-    if not marks:
+    if not speaking or not common:
         return Model(None, 0.0, 0.0, float(np.log((n1 + 1) / (n0 + 1))))
+    marks = speaking[:landmarks // 2] + common[:landmarks - min(landmarks // 2, len(speaking))]
     kernel = _Landmarks(marks)
     values, vectors = np.linalg.eigh(kernel.kernel(marks))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    negatives = common[:12_000]
-    toxic_bags = [bag for bag, c, h in zip(bags, y, held) if c == 1 and not h and bag]
+    negatives = [w for w in common[:12_000] if strength.get(w, 0) < least]
+    toxic_bags = [own for bag, c, h in zip(bags, y, held) if c == 1 and not h and (own := [w for w in bag if w in strength])]
     clean_bags = [bag for bag, c, h in zip(bags, y, held) if c == 0 and not h and bag]
-    chosen = Counter(max(bag, key=lambda w: (odds[w] * np.sqrt(seen[1][w]), w)) for bag in toxic_bags)
-    model = Model(None, 0.0, 1.0, 0.0)
     cache: dict[str, float] = {}
 
     def top(bag: list[str]) -> str:
@@ -211,25 +217,34 @@ def train(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, round
         cache.update(zip(fresh, model.decisions(fresh).tolist() if fresh else []))
         return max(bag, key=lambda w: (cache[w], w))
 
-    for _ in range(rounds):
-        positive = list(chosen)
-        rows = positive + negatives
-        sign = np.array([1.0] * len(positive) + [-1.0] * len(negatives))
-        share = np.array([chosen[w] / max(1, sum(chosen.values())) for w in positive] + [1 / len(negatives)] * len(negatives))
-        v = _newton_svm(kernel.kernel(rows) @ root, sign, share * len(rows))
+    for turn in range(rounds):
+        support = counted + Counter({w: seen[1][w] for w in strong})
+        positives = sorted(support)
+        sign = np.array([1.0] * len(positives) + [-1.0] * len(negatives))
+        total = sum(support.values())
+        weight = np.array([support[w] / total for w in positives] + [1 / max(1, len(negatives))] * len(negatives))
+        v = _newton_svm(kernel.kernel(positives + negatives) @ root, sign, weight * len(sign))
         model = Model(kernel.fold(root @ v[:-1]), float(v[-1]), 1.0, 0.0)
         cache.clear()
-        chosen = Counter(top(bag) for bag in toxic_bags)
-        nearest = Counter(top(bag) for bag in clean_bags)
-        negatives = list(dict.fromkeys([*nearest, *negatives]))
-        chosen = Counter({w: c for w, c in chosen.items() if c >= nearest[w]} or chosen)
+        if turn + 1 < rounds:
+            nearest = Counter(top(bag) for bag in clean_bags)
+            counted = Counter(top(bag) for bag in toxic_bags)
+            counted = Counter({w: c for w, c in counted.items() if c > nearest[w]})
+            negatives = list(dict.fromkeys([*(w for w in nearest if w not in counted), *negatives]))
     use = held if held.any() else ~held
-    scores = np.array([max((cache[w] if w in cache else cache.setdefault(w, float(model.decisions([w])[0])) for w in [top(bag)]), default=0)
-                       if bag else model.bias for bag, u in zip(bags, use) if u])
+    scores = np.array([cache[top(bag)] if bag else model.bias for bag, u in zip(bags, use) if u])
     model.slope, model.shift = _platt(scores, y[use])
     return model
 
 
+def _evidence(c1: int, n1: int, c0: int, n0: int) -> float:
+    """Signed root of the likelihood ratio of a word's shares in toxic and clean texts."""
+    total = (c1 + c0) / (n1 + n0)
+    ratio = sum(c * np.log(c / (n * total)) + (n - c) * np.log(max(n - c, 1e-9) / (n * (1 - total) + 1e-9))
+                for c, n in ((c1, n1), (c0, n0)) if c) + sum(n * np.log(1 / (1 - total + 1e-9)) for c, n in ((c1, n1), (c0, n0)) if not c)
+    return float(np.sign(c1 / n1 - c0 / n0) * np.sqrt(max(0.0, 2 * ratio)))
+
+
 def _platt(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Logistic slope and shift with smoothed targets (Platt 1999), by Newton steps; the slope stays positive."""
     n1, n0 = (y == 1).sum(), (y == 0).sum()
