@@ -17,8 +17,7 @@ from tidemark.session import ship_package
 
 WIDTH = 4
 PERCENT = 80
-SKETCH = 48
-SHARED = 22
+SKETCH, FINE_SKETCH = 48, 512
 BROADCAST_ROWS = 500_000
 
 
@@ -60,6 +59,47 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, whole binary")
 
 
+def _cut_sets(sets: DataFrame, k: int) -> DataFrame:
+    """``id, n, sketch`` of stored sets, with the k smallest values of each."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            whole = [np.frombuffer(s, np.int64) for s in binary(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in whole], pa.int64()),
+                                              pa.array([s[:k] for s in whole], pa.list_(pa.int64()))], names=["id", "n", "sketch"])
+
+    return sets.mapInArrow(run, "id long, n long, sketch array<long>")
+
+
+def least_shared(k: int, ratio: float) -> int:
+    """Values that two sets at the threshold share among the k smallest of their union: six standard errors below the mean."""
+    return max(1, math.floor(k * ratio - 6 * math.sqrt(k * ratio * (1 - ratio))))
+
+
+def inverted_lists(sketches: DataFrame, k: int, percent: int) -> DataFrame:
+    """``sketches(id, n, sketch)`` -> ``h, id, n``: lists of retained values that can hold a linked pair.
+
+    Two linked sets share at least so many values of their sketches that they share one of the globally rarest
+    ones of each (the prefix); a value that occurs once, and so the common part of otherwise different texts,
+    makes no list.
+    """
+    ratio = percent / 100
+    values = sketches.select("id", "n", F.explode("sketch").alias("h"))
+    often = values.groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select(apart("h").alias("k"), "f")
+    common = values.join(often, F.col("h") == F.col("k")).select("id", "n", "h", "f")
+    per_set = Window.partitionBy("id", "n")
+    kept = F.least("n", F.lit(k))
+    need = F.ceil(F.col("n") * percent / 100)
+    # A set too small to meet a cut sketch needs its exact overlap, any other what a cut sketch shares at least.
+    need = F.when(F.col("n") < math.ceil(k * ratio), need).otherwise(F.least(need, F.lit(least_shared(k, ratio))))
+    ranked = common.withColumn("place", F.row_number().over(per_set.orderBy("f", "h"))).withColumn(
+        "single", kept - F.count("*").over(per_set))
+    prefixes, _ = store(ranked.where(F.col("place") + F.col("single") <= kept - need + 1).select("h", "id", "n"), "prefixes")
+    several = prefixes.groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select(apart("h").alias("k"))
+    return prefixes.join(several, F.col("h") == F.col("k"), "left_semi")
+
+
 def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` whose sets ``(id, whole)`` have 100 * intersection >= percent * union."""
     def run(batches: Iterator) -> Iterator:
@@ -77,7 +117,7 @@ def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = SKETCH, shared: int = SHARED
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = SKETCH, fine: int = FINE_SKETCH
                     ) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_shingles, component_id, kept``.
 
@@ -88,11 +128,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     component of its own text's class, and classes with one smallest id are one.
 
     Equal sets are one class, found by grouping fingerprints. A class's sketch is its k smallest values under
-    one hash function, the whole set if it has fewer. Two sets at the threshold share at least ``shared`` of
-    the k smallest values of their union but for a chance of about 4e-8 (binomial tail), so they share one of
-    the k - shared + 1 globally rarest values of each sketch: only those enter inverted lists, and values that
-    occur in one sketch are left out. Pairs of a list are compared by ``linked_components``: sizes, then the
-    estimate from the union of the sketches (with a margin of five standard errors), then the whole sets.
+    one hash function, the whole set if it has fewer. Inverted lists of retained values tell which classes can have
+    a partner (``inverted_lists``; a linked pair is missed with a chance of about 1e-8, the tail beyond six
+    standard errors). For these the whole sets are taken, and finer sketches of ``fine`` values make
+    the lists from which pairs come, so that texts that share a passage but no more do not meet. Pairs of a list
+    are compared by ``linked_components``: sizes, then the estimate from the union of the sketches (with a margin of
+    five standard errors), then the exact similarity of the whole sets.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -103,21 +144,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     members, members_path = store(classes.select("mark1", "mark2", "rep"), "classes")
     heads = marked.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
-    values = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("sketch").alias("h"))
-    often = values.groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select(apart("h").alias("k"), "f")
-    common = values.join(often, F.col("h") == F.col("k")).select("id", "n", "h", "f")
-    per_set = Window.partitionBy("id", "n")
-    kept = F.least("n", F.lit(k))
-    need = F.ceil(F.col("n") * percent / 100)
-    # Sets too small to meet a cut sketch need their exact overlap; others what a cut sketch shares at least.
-    need = F.when(F.col("n") < math.ceil(k * ratio), need).otherwise(F.least(need, F.lit(shared)))
-    ranked = common.withColumn("place", F.row_number().over(per_set.orderBy("f", "h"))).withColumn(
-        "single", kept - F.count("*").over(per_set))
-    buckets, buckets_path = store(ranked.where(F.col("place") + F.col("single") <= kept - need + 1).select("h", "id", "n"), "lists")
-    several = buckets.groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select(apart("h").alias("k"))
-    buckets = buckets.join(several, F.col("h") == F.col("k"), "left_semi")
-
-    active, active_path = store(buckets.select("id").distinct(), "active")
+    lists, lists_path = store(inverted_lists(heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch"), k, percent), "lists")
+    active, active_path = store(lists.select("id").distinct(), "active")
     small = active.count() <= BROADCAST_ROWS
     chosen = _texts(docs).withColumnRenamed("doc_id", "id").join(F.broadcast(active) if small else active, "id", "left_semi")
     sets, sets_path = store(_whole_sets(chosen, width), "sets")
@@ -132,8 +160,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         hopeful = pairs.join(y, "b").join(x, "a").where(share >= ratio - margin).select("a", "b")
         return exact_links(hopeful, sets, percent).distinct()
 
-    labels = linked_components(buckets, verify, ratio)
-    discard(spark, buckets_path, active_path, sets_path, sketch_path)
+    finer, finer_path = store(inverted_lists(_cut_sets(sets, fine), fine, percent), "fine-lists")
+    labels = linked_components(finer, verify, ratio)
+    discard(spark, lists_path, finer_path, active_path, sets_path, sketch_path)
     return _with_components(rows, members, labels)
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import apart, connected_components, discard, store
 
-PAIRS_PER_ROW = 8
+PAIRS_PER_ROW = 4
 
 
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], smallest_share: float,
@@ -20,13 +20,14 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     other, and taking components; but a pair inside one component need not be looked at. In each round every
     bucket that still spans several components gets one hub, the same one in as many buckets as possible, and
     its members outside the hub's component are compared with the hub: as many pairs as rows. Rounds end when
-    what is left has at most ``PAIRS_PER_ROW`` pairs a row, or after ``hub_rounds``; all pairs across components
-    that are left and were not compared yet are then compared. So no link is lost whatever the buckets.
+    what is left has at most ``PAIRS_PER_ROW`` pairs a row, when a round settles less than a third of the pairs, or
+    after ``hub_rounds``; all pairs across components that are left and were not compared yet are then compared.
+    So no link is lost whatever the buckets.
     ``verify`` takes and returns distinct ``(a long, b long)`` with a < b.
     """
     spark = buckets.sparkSession
     rows, rows_path = store(buckets.select("h", "id", "n"), "buckets")
-    scratch, links, tested, labels = [rows_path], [], [], None
+    scratch, links, tested, labels, before = [rows_path], [], [], None, 0
 
     for turn in range(hub_rounds + 1):
         live, live_path = store(_live(rows, labels), "live")
@@ -36,11 +37,12 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
             F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs")).first()
         if not left["rows"]:
             break
-        last = turn == hub_rounds or (turn and left["pairs"] <= PAIRS_PER_ROW * left["rows"])
+        last = turn == hub_rounds or left["pairs"] <= PAIRS_PER_ROW * left["rows"] or (turn and left["pairs"] > 0.67 * before)
+        before = left["pairs"]
         pairs = _across(live, smallest_share) if last else _with_hub(live, smallest_share, turn)
         pairs = pairs.distinct()
-        for before in tested:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        for done in tested:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs, path = store(pairs, "pairs")
         scratch.append(path)
         tested.append(pairs)
