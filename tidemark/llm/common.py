@@ -84,21 +84,6 @@ def _mark(links: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def batches_of(column, limit: int):
-    """Runs ``(from, to)`` of an Arrow binary column, each of at most ``limit`` bytes or one value."""
-    import numpy as np
-
-    sizes = np.array([len(v) if v is not None else 0 for v in column], dtype=np.int64) if isinstance(column, list) else column
-    start, total = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and total + size > limit:
-            yield start, i
-            start, total = i, 0
-        total += int(size)
-    if len(sizes) > start:
-        yield start, len(sizes)
-
-
 def binary(column) -> list:
     """Values of an Arrow text or binary column as bytes, without decoding."""
     import pyarrow as pa

@@ -84,7 +84,7 @@ def _ordered(vectors: DataFrame, directions: np.ndarray, epsilon: float, grid: i
         cells, "vec_id long, " + ", ".join(f"{c} long" for c in names) + ", unit binary")
     order = [*names, F.xxhash64("vec_id")]
     parts = max(1, math.ceil(total / interval))
-    sequence = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("vec_id", "unit")
+    sequence = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("vec_id", "unit").coalesce(parts)
     dims = directions.shape[0]
 
     def cut(batches: Iterator) -> Iterator:

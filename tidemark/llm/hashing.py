@@ -60,10 +60,6 @@ SPACED = separators(bytes(b for b in range(256) if b not in (32, 9, 10, 11, 12,
 ALNUM = separators(bytes([*range(48, 58), *range(97, 123), *range(128, 256)]))
 
 
-def words_of(text: bytes, table: bytes) -> list[bytes]:
-    return text.translate(table).split(b" ") if False else text.translate(table).split()
-
-
 def _hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word of already translated bytes."""
     arr = np.frombuffer(block, dtype=np.uint8)
@@ -147,9 +143,3 @@ def shingle_sets(texts: list[bytes], table: bytes, width: int) -> list[np.ndarra
         else:
             out.append(np.empty(0, np.int64))
     return out
-
-
-def overlap(a: bytes, b: bytes) -> int:
-    """Size of the intersection of two stored sets."""
-    x, y = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
-    return len(np.intersect1d(x, y, assume_unique=True))
