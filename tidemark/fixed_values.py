@@ -102,14 +102,7 @@ DAY_OF_YEAR_PATTERN = r"([0-9]{1,2})\s*[-/.月]\s*([0-9]{1,2})"
 CODE_PATTERN = r"\b(\d{1,3}\s*/\s*\d{1,3}[A-Za-z\-]*)\b"
 JSON_SCRIPT_PATTERN = (
     r'<script[^>]*(?:id="__NEXT_DATA__"|type="application/(?:json|ld\+json)")[^>]*>(.*?)</script>')
-JSON_PUSH_PATTERN = r'self\.__next_f\.push\(\s*\[\s*\d+\s*,\s*("(?:[^"\\]|\\.)*")\s*\]\s*\)'
-
-# --- bounds of the JSON scan ------------------------------------------------
-JSON_SCAN_ATTEMPTS = 20_000
-JSON_SERIES_DEPTH = 12
-JSON_SERIES_FANOUT = 50
-JSON_RECORD_DEPTH = 10
-JSON_SUMMARY_KEYS = 12
+JSON_PUSH_PATTERN = r'self\.__next_f\.push\(\s*\[\s*\d+\s*,\s*("(?:[^"\\]|\\.)*+")\s*\]\s*\)'
 
 # --- windows in days / rows -------------------------------------------------
 DAILY_DAYS = 30

@@ -36,7 +36,9 @@ def parse_price(c: Column | str) -> Column:
 
 def whole_number(c: Column | str) -> Column:
     """Numeric input of :func:`parse_price`: truncated toward zero, NaN and infinities null."""
-    return col(c).cast("double").try_cast("bigint")
+    # whole numbers are taken as they are: a double has only 53 bits for them
+    return F.coalesce(F.when(col(c).cast("string").rlike(r"^[-+]?[0-9]+$"), col(c).cast("string").try_cast("bigint")),
+                      col(c).cast("double").try_cast("bigint"))
 
 
 def _signed(text: Column, pattern: str, as_type: str) -> Column:

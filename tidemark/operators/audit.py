@@ -53,15 +53,15 @@ def pattern_coverage(pages: DataFrame, patterns: Mapping[str, Sequence[str]], te
 _SCALARS = {"BIGINT": "int", "DOUBLE": "float", "STRING": "str", "BOOLEAN": "bool", "VOID": "NoneType"}
 
 
-def _shape(text: Column, depth: int) -> Column:
+def _shape(text: Column, depth: int, shown: int | None) -> Column:
     if depth > 2:
         return F.lit("...")
     keys = F.json_object_keys(text)
-    some = F.array_join(F.slice(keys, 1, V.JSON_SUMMARY_KEYS), ", ")
-    more = F.when(F.size(keys) > V.JSON_SUMMARY_KEYS, "...}").otherwise("}")
+    some = F.array_join(keys if shown is None else F.slice(keys, 1, shown), ", ")
+    more = F.lit("}") if shown is None else F.when(F.size(keys) > shown, "...}").otherwise("}")
     size = F.json_array_length(text)
     first = F.to_json(F.try_variant_get(F.try_parse_json(text), "$[0]", "variant"))
-    head = F.when(size > 0, _shape(first, depth + 1)).otherwise("")
+    head = F.when(size > 0, _shape(first, depth + 1, shown)).otherwise("")
     kind = F.schema_of_variant(F.try_parse_json(text))
     scalar = F.when(kind.startswith("DECIMAL"), "float")
     for spark_name, name in _SCALARS.items():
@@ -71,13 +71,16 @@ def _shape(text: Column, depth: int) -> Column:
             .otherwise(scalar))
 
 
-def json_shape(c: Column | str) -> Column:
-    """Shape of a JSON text at a glance: keys, array sizes, types; null for bad JSON."""
-    return _shape(F.col(c) if isinstance(c, str) else c, 0)
+def json_shape(c: Column | str, shown: int | None = None) -> Column:
+    """Shape of a JSON text at a glance: keys, array sizes, types; null for bad JSON.
+
+    ``shown`` shortens the list of keys for display; shapes are then equal by what is shown.
+    """
+    return _shape(F.col(c) if isinstance(c, str) else c, 0, shown)
 
 
-def json_shape_profile(docs: DataFrame, json: str) -> DataFrame:
-    return (docs.select(json_shape(json).alias("shape")).groupBy("shape")
+def json_shape_profile(docs: DataFrame, json: str, shown: int | None = None) -> DataFrame:
+    return (docs.select(json_shape(json, shown).alias("shape")).groupBy("shape")
             .agg(F.count("*").alias("documents")))
 
 

@@ -29,7 +29,10 @@ def flag_duplicate_codes(rows: DataFrame) -> DataFrame:
             .filter(F.col("_times") > 1))
     note = (F.when(F.col("_times").isNotNull(), add_note("備考", V.NOTE_DUPLICATE_CODE))
             .otherwise(drop_note("備考", V.NOTE_DUPLICATE_CODE)))
-    return (clean.join(dups, "品番", "left").withColumn("備考", note).select(*clean.columns))
+    # blank codes are no duplicates: they go around the join, where they would meet under one key
+    joined = clean.filter(F.col("品番") != "").join(dups, "品番", "left").withColumn("備考", note).select(*clean.columns)
+    blank_codes = clean.filter(F.coalesce(F.col("品番"), F.lit("")) == "").withColumn("備考", drop_note("備考", V.NOTE_DUPLICATE_CODE))
+    return joined.unionByName(blank_codes)
 
 
 def unresolved(rows: DataFrame) -> DataFrame:
@@ -48,13 +51,16 @@ def apply_resolution(rows: DataFrame, results: DataFrame, resolved_at) -> DataFr
     """
     searched = results.select("検索キー", blank("link").alias("_link"))
     # every row of a result carries its marker: a left join alone cannot tell "miss" from "not searched"
-    joined = rows.join(searched, "検索キー", "left")
+    # only open rows with a search key can match; the others go around the join
+    can = (F.trim(blank("product_url")) == "") & (blank("検索キー") != "")
+    joined = rows.filter(can).join(searched.filter(blank("検索キー") != ""), "検索キー", "left")
     open_row = (F.trim(blank("product_url")) == "") & F.col("_link").isNotNull()
     hit = open_row & (F.col("_link") != "")
-    return joined.select(*[
+    written = joined.select(*[
         F.when(hit, F.col("_link")).otherwise(F.col("product_url")).alias(c) if c == "product_url"
         else F.when(hit, resolved_at).otherwise(F.col("解決日時")).alias(c) if c == "解決日時"
         else (F.when(hit, drop_note("備考", V.NOTE_NO_HIT)).when(open_row, add_note("備考", V.NOTE_NO_HIT))
               .otherwise(F.col("備考")).alias(c)) if c == "備考"
         else F.col(c)
         for c in rows.columns])
+    return written.unionByName(rows.filter(~can))

@@ -45,7 +45,7 @@ def plan_upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], seq:
     """The table after the merge, with ``_action`` per row.
 
     ``existing`` carries ``_pos``; ``batch`` carries ``seq``, the place in the batch (0 or
-    more). New rows go after the last row, ordered by ``seq``; positions may have gaps. The first existing row of a
+    more). New rows go after the last row, ordered by ``seq`` and key; positions are unique and may have gaps. The first existing row of a
     key is its target, the last batch record of a key wins, columns absent from the batch
     keep their values, a null in the batch blanks the cell, and new keys are appended in
     first-seen order. Applying a batch twice changes nothing the second time.
@@ -74,9 +74,12 @@ def plan_upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], seq:
         "_pos", F.when(hit & changed, UPDATE).otherwise(UNCHANGED).alias("_action")))
 
     last_pos = existing.agg(F.coalesce(F.max("_pos"), F.lit(-1)).alias("p")).scalar()
-    appended = matched.filter(F.col("_pos").isNull()).select(
+    # in batch order, numbered anew: ``seq`` itself may repeat
+    ordered = matched.filter(F.col("_pos").isNull()).orderBy("_first", "_key").withColumn(
+        "_place", F.monotonically_increasing_id())
+    appended = ordered.select(
         *[(fresh(c) if c in incoming else F.lit(None).cast(header[c])).alias(c) for c in header],
-        (last_pos + 1 + F.col("_first")).cast("bigint").alias("_pos"),
+        (last_pos + 1 + F.col("_place")).cast("bigint").alias("_pos"),
         F.lit(APPEND).alias("_action"))
     return kept.unionByName(appended)
 

@@ -24,21 +24,25 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
     def walk(self) -> Iterator["Node"]:
-        """Descendants in document order."""
-        for part in self.parts:
-            if isinstance(part, Node):
-                yield part
-                yield from part.walk()
+        """Descendants in document order; any depth."""
+        return (part for part in self._below(lambda n: True) if isinstance(part, Node))
+
+    def _below(self, enter) -> Iterator["Node | str"]:
+        stack = [iter(self.parts)]
+        while stack:
+            part = next(stack[-1], None)
+            if part is None:
+                stack.pop()
+                continue
+            yield part
+            if isinstance(part, Node) and enter(part):
+                stack.append(iter(part.parts))
 
     def first(self, test) -> "Node | None":
         return next((n for n in self.walk() if test(n)), None)
 
     def _strings(self) -> Iterator[str]:
-        for part in self.parts:
-            if isinstance(part, str):
-                yield part
-            elif part.tag not in _NOT_TEXT:
-                yield from part._strings()
+        return (part for part in self._below(lambda n: n.tag not in _NOT_TEXT) if isinstance(part, str))
 
     def text(self) -> str:
         """Stripped text pieces joined by one space."""
@@ -79,9 +83,13 @@ class _TreeBuilder(HTMLParser):
 
 
 def tree(html: str | None) -> Node:
+    """Tree of a page; of one that the parser gives up on, what it had read."""
     builder = _TreeBuilder()
-    builder.feed(html or "")
-    builder.close()
+    try:
+        builder.feed(html or "")
+        builder.close()
+    except AssertionError:  # the parser's answer to a broken declaration
+        pass
     return builder.root
 
 

@@ -19,18 +19,26 @@ _OPENING = re.compile(r"[\[{]")
 
 
 def load(text: str):
-    """Parsed value, or None where the text is not JSON."""
+    """Parsed value, or None where the text is not JSON or nested beyond what the parser can read."""
     try:
         return json.loads(text)
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
 
 
-def scan(text: str, attempts: int = V.JSON_SCAN_ATTEMPTS) -> Iterator[str]:
+def readable(text: str) -> bool:
+    """Whether a text is JSON; repeated keys and NaN are."""
+    try:
+        json.loads(text)
+    except (ValueError, RecursionError):
+        return False
+    return True
+
+
+def scan(text: str) -> Iterator[str]:
     """Outermost JSON values inside free text, leftmost first, as text."""
     at = _OPENING.search(text)
-    while at and attempts:
-        attempts -= 1
+    while at:
         start = at.start()
         try:
             _, end = _DECODER.raw_decode(text, start)
@@ -57,8 +65,9 @@ def whole(value) -> int | None:
         return int(value) if abs(value) < 2 ** 63 else None
     text = unicodedata.normalize("NFKC", str(value)).strip()
     digits = re.sub("[^0-9]", "", text)
-    if not digits or int(digits) >= 2 ** 63:
+    if not digits or len(digits.lstrip("0")) > 19 or int(digits[-19:]) >= 2 ** 63:
         return None
+    digits = digits[-19:]
     return -int(digits) if text[0] in V.MINUS_SIGNS else int(digits)
 
 
@@ -66,7 +75,10 @@ def day(value) -> date | None:
     """Date of a JSON value: epoch seconds or milliseconds, or text with a full date."""
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         seconds = value / 1000.0 if value > 1e11 else value
-        return datetime.fromtimestamp(seconds, _ZONE).date() if 1e8 < seconds < 2e11 else None
+        try:
+            return datetime.fromtimestamp(seconds, _ZONE).date() if seconds > 1e8 else None
+        except (ValueError, OverflowError, OSError):
+            return None  # beyond the calendar
     return _day_in(str(value or ""))
 
 
@@ -101,18 +113,30 @@ def _children(value, path: str):
     return ()
 
 
-def series(value, path: str = "", depth: int = 0) -> Iterator[tuple[str, list[tuple]]]:
+def _walk(value, enter) -> Iterator:
+    """What ``enter(value, path)`` finds, in document order; it returns (results, whether to go deeper).
+
+    The stack is explicit, so any depth that the parser can read is walked.
+    """
+    stack = [iter([("", value)])]
+    while stack:
+        path, here = next(stack[-1], (None, None))
+        if path is None:
+            stack.pop()
+            continue
+        results, deeper = enter(here, path)
+        yield from results
+        if deeper:
+            stack.append(iter(_children(here, path)))
+
+
+def series(value) -> Iterator[tuple[str, list[tuple]]]:
     """(path, points) of every array that reads as a series of two points or more."""
-    if depth > V.JSON_SERIES_DEPTH:
-        return
-    if isinstance(value, list):
-        found = points(value)
-        if len(found) >= 2:
-            yield path or "$", found
-            return
-        value = value[:V.JSON_SERIES_FANOUT]
-    for name, child in _children(value, path):
-        yield from series(child, name, depth + 1)
+    def enter(here, path):
+        found = points(here) if isinstance(here, list) else ()
+        return ([(path or "$", found)], False) if len(found) >= 2 else ((), True)
+
+    return _walk(value, enter)
 
 
 _CHART_PRICES = [column for _, column in V.CHART_PRICE_COLUMNS]
@@ -125,20 +149,16 @@ def _is_wide(rows) -> bool:
     return complete and any("date" in n and not n.isdisjoint(_CHART_PRICES) for n in names)
 
 
-def charts(value, path: str = "", depth: int = 0) -> Iterator[tuple[str, list[dict]]]:
+def charts(value) -> Iterator[tuple[str, list[dict]]]:
     """(path, rows) of arrays of dicts with a date and wide price columns, nested ones too."""
-    if _is_wide(value):
-        yield path, value
-    if depth < V.JSON_SERIES_DEPTH:
-        for name, child in _children(value, path):
-            yield from charts(child, name, depth + 1)
+    return _walk(value, lambda here, path: ([(path, here)] if _is_wide(here) else (), True))
 
 
-def item_records(value, depth: int = 0) -> Iterator[dict]:
+def item_records(value) -> Iterator[dict]:
     """Dicts with a slug and a name; a match is not searched further."""
-    fields = value if isinstance(value, dict) else {}
-    if fields.get("strSlug") and fields.get("strName"):
-        yield fields
-    elif depth < V.JSON_RECORD_DEPTH:
-        for _, child in _children(value, ""):
-            yield from item_records(child, depth + 1)
+    def enter(here, path):
+        fields = here if isinstance(here, dict) else {}
+        match = fields.get("strSlug") and fields.get("strName")
+        return ([fields], False) if match else ((), True)
+
+    return _walk(value, enter)

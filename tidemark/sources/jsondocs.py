@@ -35,14 +35,17 @@ def scan_json_values(texts: DataFrame, text: str, keys: Sequence[str]) -> DataFr
 def extract_json_blobs(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
     """JSON embedded in pages: keys, part ("script" or "pushed"), blob_no, json.
 
-    Script bodies stay in the JVM. Pushed chunks are JSON strings; they are unescaped in
-    the JVM and only pages that have any go on to the text scan.
+    Script bodies and pushed chunks are cut out in the JVM; the walkers' own parser decides what is
+    JSON, so repeated keys and NaN are kept. Pushed chunks are JSON strings; they are unescaped in
+    the JVM and only pages that have any go on to the text scan. ``blob_no`` of a pushed value is
+    its chunk times 2**32 plus its place in the chunk.
     """
     keys = list(keys)
-    scripts = (pages.select(*keys, F.posexplode(
-        F.regexp_extract_all(blank(html), F.lit(_SCRIPT), F.lit(1))).alias("blob_no", "json"))
-        .filter(F.try_parse_json("json").isNotNull())
-        .select(*keys, F.lit("script").alias("part"), F.col("blob_no").cast("bigint"), "json"))
+    bodies = pages.select(*keys, F.posexplode(
+        F.regexp_extract_all(blank(html), F.lit(_SCRIPT), F.lit(1))).alias("_no", "_body"))
+    scripts = expand_text(bodies, "_body", [*keys, "_no"], _fields(("json", _S)),
+                          lambda s: [(s,)] if json_walk.readable(s) else []).select(
+        *keys, F.lit("script").alias("part"), F.col("_no").cast("bigint").alias("blob_no"), "json")
     chunks = (pages.filter(F.contains(blank(html), F.lit("__next_f")))
               .select(*keys, F.posexplode(
                   F.regexp_extract_all(blank(html), F.lit(_PUSHED), F.lit(1))).alias("_chunk", "_raw"))
@@ -52,7 +55,7 @@ def extract_json_blobs(pages: DataFrame, keys: Sequence[str], html: str = "html"
     pushed = scan_json_values(chunks, "_text", [*keys, "_chunk"]).select(
         *keys, F.lit("pushed").alias("part"),
         # keeps chunk order, then order inside the chunk
-        (F.col("_chunk").cast("bigint") * F.lit(V.JSON_SCAN_ATTEMPTS) + F.col("value_no")).alias("blob_no"),
+        (F.shiftleft(F.col("_chunk").cast("bigint"), 32) + F.col("value_no")).alias("blob_no"),
         "json")
     return scripts.unionByName(pushed)
 
@@ -110,7 +113,9 @@ def chart_points(charts: DataFrame, keys: Sequence[str]) -> DataFrame:
             .select(*keys, "chart_no", "path", "idx", "date", "_w.*", F.col("volume").alias("trade_count"))
             .filter(F.col("date").isNotNull() & F.col("price").isNotNull()))
     one_chart = Window.partitionBy(*keys, "chart_no", "condition")
-    return long.withColumn("n_points", F.count("*").over(one_chart))
+    # places count the points that are left, so that "the last n" means n points
+    return (long.withColumn("idx", (F.row_number().over(one_chart.orderBy("idx")) - 1).cast("bigint"))
+            .withColumn("n_points", F.count("*").over(one_chart)))
 
 
 def extract_item_records(docs: DataFrame, keys: Sequence[str], base: str, json: str = "json") -> DataFrame:
@@ -134,18 +139,20 @@ SOURCE_ORDER = ("api", "embedded", "decoded")
 def series_candidates(docs: DataFrame, page: str = "page", top: int | None = V.SERIES_PER_PAGE) -> DataFrame:
     """The ``top`` longest series of each page from its JSON documents (ties in document order).
 
-    ``docs``: page, kind (api, embedded, decoded), doc_no, json. Wide charts are read from
-    decoded documents only. Output: page, rank, source, n_points, idx, date, price, trade_count.
+    ``docs``: page, kind (api, embedded, decoded), doc_no, json and, if there is one, the ``url`` a
+    document came from, which becomes part of the source and so may tell the condition. Wide charts
+    are read from decoded documents only. Output: page, rank, source, n_points, idx, date, price, trade_count.
     The limit is applied in every task before the shuffle, so a page with any number of
     documents sends on few series. ``top=None`` gives all series, without a rank.
     """
-    keys = [page, "kind", "doc_no"]
+    keys = [page, "kind", "doc_no", *(["url"] if "url" in docs.columns else [])]
+    origin = ["kind", *keys[3:]]
     generic = extract_series(docs, keys).select(
         *keys, F.lit(0).alias("_chart"), "series_no", F.lit(0).cast("bigint").alias("_cond"),
-        F.concat_ws(" :: ", "kind", "path").alias("source"), "n_points", "idx", "date", "price", "trade_count")
+        F.concat_ws(" :: ", *origin, "path").alias("source"), "n_points", "idx", "date", "price", "trade_count")
     wide = chart_points(extract_chart_rows(docs.filter(F.col("kind") == "decoded"), keys), keys).select(
         *keys, F.lit(1).alias("_chart"), F.col("chart_no").alias("series_no"),
-        F.col("condition_no").alias("_cond"), F.concat_ws(" :: ", "kind", "path", "condition").alias("source"),
+        F.col("condition_no").alias("_cond"), F.concat_ws(" :: ", *origin, "path", "condition").alias("source"),
         "n_points", "idx", "date", "price", "trade_count")
     order = F.array_position(F.array(*[F.lit(k) for k in SOURCE_ORDER]), F.col("kind"))
     found = generic.unionByName(wide).withColumn("_kind", order)

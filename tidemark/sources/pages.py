@@ -19,8 +19,10 @@ from tidemark.sources.rowwise import expand_text
 
 _ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
 _ANCHOR_OPEN = r"(?is)<a\b([^>]*)>"
-_HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-_ITEM_COUNT = r"""(?is)<[^>]*\bid\s*=\s*["']itemCount["'][^>]*>(.*?)</"""
+_HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_ITEM_COUNT = r"""(?is)<(\w+)\b[^>]*\bid\s*=\s*["']?itemCount\b["']?[^>]*>(.*?)</\1\s*>"""
+_COMMENT = r"(?s)<!--.*?-->"
+_NUMERIC = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 
 _ITEM_OUT = T.StructType([
     T.StructField("pos", T.LongType()), T.StructField("name", T.StringType()),
@@ -29,9 +31,30 @@ _ITEM_OUT = T.StructType([
     T.StructField("image", T.StringType())])
 
 
+_NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&yen;", "¥"),
+          ("&euro;", "€"), ("&pound;", "£"), ("&copy;", "©"), ("&reg;", "®"), ("&times;", "×"), ("&middot;", "·"),
+          ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"),
+          ("&amp;", "&"))
+
+
+def _character(code: Column) -> Column:
+    """Character of a decimal or x-hexadecimal number; U+FFFD where there is none."""
+    hexadecimal = F.lower(F.substring(code, 1, 1)) == "x"
+    number = F.when(hexadecimal, F.conv(F.substr(code, F.lit(2)), 16, 10)).otherwise(code).cast("bigint")
+    bad = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    point = F.when(bad, F.lit(0xFFFD)).otherwise(number)
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+
 def decode_entities(c: Column) -> Column:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                         ("&nbsp;", " "), ("&amp;", "&")):
+    """Numeric entities and the common named ones as characters; each is decoded once."""
+    codes = F.transform(F.regexp_extract_all(c, F.lit(_NUMERIC), F.lit(1)), _character)
+    around = F.split(c, _NUMERIC, -1)
+    rests = F.slice(around, 2, F.greatest(F.size(around) - 1, F.lit(0)))
+    # an ampersand by number must not start a named entity
+    joined = F.zip_with(codes, rests, lambda x, rest: F.concat(F.when(x == "&", F.lit("&amp;")).otherwise(x), rest))
+    c = F.when(F.contains(c, F.lit("&#")), F.concat(F.get(around, F.lit(0)), F.array_join(joined, ""))).otherwise(c)
+    for entity, char in _NAMED:
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c
 
@@ -58,25 +81,36 @@ def extract_listing_items(pages: DataFrame, base: str, html: str = "html", page:
 
 
 def declared_count(html: Column | str) -> Column:
-    """Number in the ``#itemCount`` element, null without one."""
-    inner = F.regexp_replace(F.regexp_extract(blank(html), _ITEM_COUNT, 1), "<[^>]*>", "")
-    return digits_only(inner).try_cast("bigint")
+    """Number in the text of the ``#itemCount`` element, null without one."""
+    inner = F.regexp_replace(F.regexp_extract(blank(html), _ITEM_COUNT, 2), "<[^>]*>", "")
+    return digits_only(decode_entities(inner)).try_cast("bigint")
+
+
+def _uncommented(html: Column | str) -> Column:
+    return F.regexp_replace(blank(html), _COMMENT, " ")
 
 
 def _href_of(attrs: Column) -> Column:
-    return decode_entities(F.concat(F.regexp_extract(attrs, _HREF, 1), F.regexp_extract(attrs, _HREF, 2)))
+    return decode_entities(F.concat(*[F.regexp_extract(attrs, _HREF, k) for k in (1, 2, 3)]))
 
 
 def hrefs(html: Column | str) -> Column:
-    """All link targets of a page in document order."""
-    opened = F.regexp_extract_all(blank(html), F.lit(_ANCHOR_OPEN), F.lit(1))
+    """All link targets of a page in document order; comments hold none."""
+    opened = F.regexp_extract_all(_uncommented(html), F.lit(_ANCHOR_OPEN), F.lit(1))
     return F.filter(F.transform(opened, _href_of), lambda h: h != "")
 
 
+def _matching(links: Column, pattern: str) -> Column:
+    return F.filter(links, lambda h: h.rlike(pattern))
+
+
 def first_link(html: Column | str, url_patterns: Sequence[str], origin: str) -> Column:
-    """Absolute form of the first link that matches any pattern, null without one."""
-    pattern = "|".join(f"(?:{p})" for p in url_patterns)
-    hit = F.get(F.filter(hrefs(html), lambda h: h.rlike(pattern)), F.lit(0))
+    """Absolute form of the first link of the first pattern that any link matches, null without one.
+
+    Patterns are in order of preference: a link of an earlier one wins wherever it stands.
+    """
+    links = hrefs(html)
+    hit = F.coalesce(*[F.get(_matching(links, p), F.lit(0)) for p in url_patterns])
     return F.when(hit.isNotNull(), absolute_url(hit, origin))
 
 
@@ -88,8 +122,8 @@ def extract_links(pages: DataFrame, url_patterns: Sequence[str], origin: str,
 
 def _anchors(html: Column | str) -> Column:
     """Array of (pos, href, inner) over the links of a page."""
-    attrs = F.regexp_extract_all(blank(html), F.lit(_ANCHOR), F.lit(1))
-    inner = F.regexp_extract_all(blank(html), F.lit(_ANCHOR), F.lit(2))
+    attrs = F.regexp_extract_all(_uncommented(html), F.lit(_ANCHOR), F.lit(1))
+    inner = F.regexp_extract_all(_uncommented(html), F.lit(_ANCHOR), F.lit(2))
     pairs = F.transform(F.arrays_zip(attrs.alias("a"), inner.alias("i")), lambda x, pos: F.struct(
         pos.cast("bigint").alias("pos"), _href_of(x["a"]).alias("href"), x["i"].alias("inner")))
     return F.filter(pairs, lambda x: slug_from_url(x["href"]) != "")
