@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         union = F.slice(F.array_sort(F.array_union("s", "t")), 1, k)
         share = F.size(F.array_intersect(F.array_intersect("s", "t"), union)) / F.size(union)
         hopeful = pairs.join(y, "b").join(x, "a").where(share >= ratio - margin).select("a", "b")
-        return exact_links(hopeful, sets, percent).distinct()
+        return exact_links(hopeful, sets, percent)
 
     finer, finer_path = store(inverted_lists(_cut_sets(sets, fine), fine, percent), "fine-lists")
     labels = linked_components(finer, verify, ratio)

@@ -23,18 +23,22 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     what is left has at most ``PAIRS_PER_ROW`` pairs a row, when a round settles less than a third of the pairs, or
     after ``hub_rounds``; all pairs across components that are left and were not compared yet are then compared.
     So no link is lost whatever the buckets.
-    ``verify`` takes and returns distinct ``(a long, b long)`` with a < b.
+    ``verify`` takes distinct pairs ``(a long, b long)`` with a < b and returns the linked ones; members of a bucket
+    are distinct.
     """
     spark = buckets.sparkSession
     rows, rows_path = store(buckets.select("h", "id", "n"), "buckets")
     scratch, links, tested, labels, before = [rows_path], [], [], None, 0
 
     for turn in range(hub_rounds + 1):
-        live, live_path = store(_live(rows, labels), "live")
-        scratch.append(live_path)
-        left = live.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(
-            F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("inside")).agg(
-            F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs")).first()
+        if labels is None:
+            live, sizes = rows.withColumn("c", F.col("id")), rows.groupBy("h").agg(F.count("*").alias("all")).withColumn("inside", F.col("all"))
+        else:
+            live, live_path = store(_live(rows, labels), "live")
+            scratch.append(live_path)
+            sizes = live.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(
+                F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("inside"))
+        left = sizes.agg(F.sum("all").alias("rows"), F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2).alias("pairs")).first()
         if not left["rows"]:
             break
         last = turn == hub_rounds or left["pairs"] <= PAIRS_PER_ROW * left["rows"] or (turn and left["pairs"] > 0.67 * before)
@@ -62,9 +66,9 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     return labels
 
 
-def _live(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _live(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of buckets that span several components, with the component as ``c``."""
-    named = rows.withColumn("c", F.col("id")) if labels is None else rows.join(
+    named = rows.join(
         labels.withColumnRenamed("node", "id"), "id", "left").select(
         "h", "id", "n", F.coalesce("component", "id").alias("c"))
     several = named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
@@ -80,7 +84,7 @@ def _pair(x: str, y: str) -> list:
 
 
 def _with_hub(live: DataFrame, share: float, turn: int) -> DataFrame:
-    hub = live.groupBy("h").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), F.col("id").alias("hub"),
+    hub = live.groupBy("h").agg(F.min(F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("r"), F.col("id").alias("hub"),
                                                F.col("c").alias("hc"), F.col("n").alias("m"))).alias("s"))
     hub = hub.select(apart("h").alias("k"), "s.hub", "s.hc", "s.m")
     return live.join(hub, F.col("h") == F.col("k")).where((F.col("c") != F.col("hc")) & _fits(share)).select(*_pair("id", "hub"))
