@@ -48,7 +48,7 @@ def test_hub_rounds_lose_no_link(spark, monkeypatch):
             if a in own and b in own:
                 groups.link(a, b)
     links = spark.createDataFrame(sorted(linked), "a long, b long")
-    df = spark.createDataFrame(sorted(set(buckets)), "h long, id long, n long")
+    df = spark.createDataFrame([(*b, 0, 1.0) for b in sorted(set(buckets))], "h long, id long, n long, own long, score double")
     for limit in (0, 10**6):
         monkeypatch.setattr(bucket_links, "PAIRS_PER_ROW", limit)
         got = {r["node"]: r["component"] for r in bucket_links.linked_components(df, lambda p: p.join(links, ["a", "b"], "left_semi"), 0.8).collect()}
@@ -62,6 +62,12 @@ def test_hashes_of_long_texts_and_long_words():
     assert [len(s) for s in hashing.shingle_sets([text, b"", b"a b", None], hashing.SPACED, 4)][1:] == [0, 1, 0]
 
 
+def test_shingles_tell_the_order_of_words():
+    from itertools import permutations, product
+    runs = {*product("abc", repeat=4), *permutations("abcdef", 4)}
+    assert len({hashing.shingle_sets([" ".join(r).encode()], hashing.SPACED, 4)[0][0] for r in runs}) == len(runs)
+
+
 def near_texts(seed, n=120):
     random.seed(seed)
     word = lambda: random.choice("abcdefgh") + random.choice("xyz") + str(random.randint(0, 30))

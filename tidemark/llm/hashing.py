@@ -118,11 +118,13 @@ def word_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), counts
 
 
-def _combine(hashes: np.ndarray, width: int) -> np.ndarray:
-    n = len(hashes) - width + 1
-    total = np.zeros(max(n, 0), dtype=np.uint64)
+def combined(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` word hashes; the order of the words counts."""
+    n = max(len(hashes) - width + 1, 0)
+    factors = mix(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
+    total = np.zeros(n, dtype=np.uint64)
     for k in range(width):
-        total += hashes[k:k + n] * np.uint64((BASE * (2 * k + 3)) & (2**64 - 1) | 1)
+        total += hashes[k:k + n] * factors[k]
     return mix(total + np.uint64(width))
 
 
@@ -132,14 +134,14 @@ def shingle_sets(texts: list[bytes], table: bytes, width: int) -> list[np.ndarra
     A text of fewer words has its whole word sequence as the one shingle; without words the set is empty.
     """
     hashes, counts = word_hashes(texts, table)
-    whole = _combine(hashes, width).view(np.int64) if len(hashes) >= width else np.empty(0, np.int64)
+    whole = combined(hashes, width).view(np.int64) if len(hashes) >= width else np.empty(0, np.int64)
     ends = np.cumsum(counts)
     out = []
     for n, end in zip(counts.tolist(), ends.tolist()):
         if n >= width:
             out.append(np.unique(whole[end - n:end - width + 1]))
         elif n:
-            out.append(_combine(hashes[end - n:end], n).view(np.int64))
+            out.append(combined(hashes[end - n:end], n).view(np.int64))
         else:
             out.append(np.empty(0, np.int64))
     return out
