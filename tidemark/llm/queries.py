@@ -14,6 +14,7 @@ from tidemark.llm.grid_join import similar_vectors
 from tidemark.llm.line_runs import deduplicate_lines, without_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.paragraphs import repeated_paragraphs
+from tidemark.llm.sql import ORACLES  # noqa: F401
 from tidemark.llm.surrogates import pseudonymize
 from tidemark.llm.token_files import read_token_files, with_checksums, write_token_files
 from tidemark.llm.toxicity import toxicity
@@ -73,9 +74,7 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (
-        op1_paragraph_minhash_dedup, op2_cost_balanced_packing, op3_epsilon_grid_order_join,
-        op4_keyed_surrogates, op5_prefix_filtered_decontamination, op6_string_kernel_toxicity,
-    op7_line_run_suffix_array, op8_zstandard_warc, op9_token_id_parquet, op10_bottom_k_near_duplicates)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_paragraph_minhash_dedup, op2_cost_balanced_packing, op3_epsilon_grid_order_join, op4_keyed_surrogates,
+    op5_prefix_filtered_decontamination, op6_string_kernel_toxicity, op7_line_run_suffix_array, op8_zstandard_warc,
+    op9_token_id_parquet, op10_bottom_k_near_duplicates)}
