@@ -5,10 +5,10 @@ import pytest
 import __spark_entry__ as entry_points
 from oracle_check import compare, duck
 from tidemark.operators import series as S
+from tidemark.plans.oracles import ORACLES
+from tidemark.plans.workloads import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ORACLES = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,7 @@ def test_equals_sql(spark, con, name):
 
 def test_registry_is_complete():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
