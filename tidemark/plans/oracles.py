@@ -356,7 +356,7 @@ ORACLES["first_match"] = r"""SELECT page_id, coalesce(nullif(regexp_extract(t, '
 FROM (SELECT page_id, url || ' ' || html AS t FROM pages)"""
 _TEXT = (r"regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g'), "
          r"'<[^>]*>', ' ', 'g')")
-for _from, _to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+for _from, _to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
     _TEXT = f"replace({_TEXT}, '{_from}', '{_to}')"
 ORACLES["page_text"] = rf"SELECT page_id, md5(trim(regexp_replace({_TEXT}, '\s+', ' ', 'g'))) AS text_md5 FROM pages"
 
