@@ -5,7 +5,7 @@ from tests.test_sources import BASE, LISTING
 from tidemark.plans import flows as W
 from tidemark.schemas import BUYLIST, CARD_HISTORY, CARD_STATUS, INDEX_HISTORY, MARKET_SNAPSHOT, TREND, WATCHLIST
 from tidemark.session import scratch_dir
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_table, upsert_table
 from tidemark.streaming import upsert as U
 
 NOW = "2026-10-10 15:00:01"
@@ -100,3 +100,22 @@ def test_stream_replays_change_nothing(spark):
     U.stream_upsert(stream(), history, CARD_HISTORY, f"{root}/cp2", after=after).awaitTermination()  # everything again
     assert state() == once
     assert stored(spark, root, TREND).filter("date = '2026-08-12'").first()["valid_days"] == 12
+
+
+def test_a_late_index_day_mends_the_day_after(spark):
+    root = scratch_dir(spark, "flow")
+    put = lambda days: W.store_index(spark, root, spark.createDataFrame(
+        [(DAY0 + timedelta(d), "bihin", 1000.0 + 10 * d, i) for i, d in enumerate(days)], "date date, index_type string, value double, seq long"), NOW)
+    put([0, 2])
+    put([1])
+    assert [r["diff"] for r in stored(spark, root, INDEX_HISTORY).orderBy("date").collect()] == [None, 10.0, 10.0]
+
+
+def test_refreshed_card_trends_keep_their_labels(spark):
+    root = scratch_dir(spark, "flow")
+    rows = spark.createDataFrame([(DAY0 + timedelta(i), "c", "アカ", "001/100", "美品", 100 + i, 1, i) for i in range(12)],
+                                 "date date, card_id string, card_name string, hinban string, condition string, price long, trade_count long, seq long")
+    history, trends = f"{root}/{CARD_HISTORY.name}", f"{root}/{TREND.name}"
+    upsert_table(spark, history, rows, CARD_HISTORY)
+    U.refresh_card_trends(spark, history, trends, rows, "2026-12-31")
+    assert [r["label"] for r in stored(spark, root, TREND).collect()] == ["アカ [001/100] 美品"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
@@ -104,13 +104,19 @@ def index_points(normal: DataFrame, graded: DataFrame, days: int = V.DAILY_DAYS)
 
 
 def store_index(spark: SparkSession, root: str, records: DataFrame, fetched_at: Column | str) -> bool:
-    """Merge index points (date, index_type, value, seq); differences look back over the stored history."""
+    """Merge index points (date, index_type, value, seq); differences look back over the stored history.
+
+    The stored day after a new one is written again too: its difference is against the new day now.
+    """
     old = read_table(spark, _at(root, INDEX_HISTORY), INDEX_HISTORY).join(
         records.select("index_type").distinct(), "index_type", "left_semi")
     both = (old.select("index_type", "date", "value", F.lit(0).alias("_new"), F.lit(0).cast("bigint").alias("seq"))
             .unionByName(records.select("index_type", "date", "value", F.lit(1).alias("_new"), "seq")))
     diffs = series.index_diff(both, ["index_type"], ["_new", "seq"])
-    places = records.groupBy("index_type", "date").agg(F.min("seq").alias("seq"))
+    days = both.groupBy("index_type", "date").agg(F.max("_new").alias("_new"), F.min(F.when(F.col("_new") == 1, F.col("seq"))).alias("seq"))
+    before = F.lag("_new").over(Window.partitionBy("index_type").orderBy("date"))
+    places = days.withColumn("_before", before).where("_new = 1 OR _before = 1").select(
+        "index_type", "date", F.coalesce("seq", F.lit(0).cast("bigint")).alias("seq"))
     return _store(spark, root, INDEX_HISTORY, diffs.join(places, ["index_type", "date"]).withColumn("fetched_at", _time(fetched_at)))
 
 
@@ -143,9 +149,12 @@ def targets(spark: SparkSession, root: str, limit: int = 0, crawl_all: bool = Fa
 
 
 def store_cards(spark: SparkSession, root: str, docs: DataFrame, cards: DataFrame, fetched_at: Column | str,
-                days: int = V.DAILY_DAYS) -> bool:
-    """Merge the series of card pages. ``docs``: page, kind, doc_no, json; ``cards``: page, card_id, card_name, hinban."""
-    records = jsondocs.card_records(jsondocs.series_candidates(docs), cards, days)
+                days: int = V.DAILY_DAYS, top: int = V.SERIES_PER_PAGE) -> bool:
+    """Merge the ``top`` longest series of each card page.
+
+    ``docs``: page, kind, doc_no, json and perhaps url; ``cards``: page, card_id, card_name, hinban.
+    """
+    records = jsondocs.card_records(jsondocs.series_candidates(docs, top=top), cards, days)
     return _store(spark, root, CARD_HISTORY, records.withColumn("fetched_at", _time(fetched_at)))
 
 

@@ -16,7 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Table writes replace only the partitions they touch (see sources.tables).
+    # An overwrite replaces the whole table; sources.tables rewrites single months by itself.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import blank
-from tidemark.operators.series import series_metrics
-from tidemark.operators.trend import TrendLimits, trend_rows
+from tidemark.operators.series import carried, series_metrics
+from tidemark.operators.trend import TrendLimits, card_label, trend_rows
 from tidemark.schemas import CARD_HISTORY, INDEX_HISTORY, TREND, Table
 from tidemark.sources.tables import read_table, upsert_table
 
@@ -43,10 +43,11 @@ def stream_upsert(stream: DataFrame, path: str, table: Table, checkpoint: str,
 def refresh_index_trends(spark: SparkSession, history_path: str, trend_path: str, batch: DataFrame,
                          as_of: Column | str, limits: TrendLimits = TrendLimits()) -> None:
     """Recompute the trend rows of the index types a batch touched, and no others."""
-    touched = batch.select("index_type").distinct()
-    history = read_table(spark, history_path, INDEX_HISTORY).join(touched, "index_type", "left_semi")
+    kind = F.coalesce(F.nullif(blank("index_type"), F.lit("")), F.lit("unknown"))
+    touched = batch.select(kind.alias("key")).distinct()
+    history = read_table(spark, history_path, INDEX_HISTORY).withColumn("key", kind).join(touched, "key", "left_semi")
     points = history.select(
-        F.lit("index").alias("scope"), F.col("index_type").alias("key"), "date",
+        F.lit("index").alias("scope"), "key", "date",
         F.col("value").alias("price"), F.lit(None).cast("bigint").alias("trade_count"))
     _merge_trends(spark, points, trend_path, as_of, limits)
 
@@ -57,15 +58,20 @@ def refresh_card_trends(spark: SparkSession, history_path: str, trend_path: str,
     touched = batch.select("card_id", blank("condition").alias("condition")).distinct()
     history = (read_table(spark, history_path, CARD_HISTORY).withColumn("condition", blank("condition"))
                .join(touched, ["card_id", "condition"], "left_semi"))
+    history = history.withColumn("key", F.concat("card_id", F.lit("|"), "condition"))
     points = history.select(
-        F.lit("card").alias("scope"), F.concat("card_id", F.lit("|"), blank("condition")).alias("key"),
-        "date", F.col("price").cast("double").alias("price"), "trade_count")
-    _merge_trends(spark, points, trend_path, as_of, limits)
+        F.lit("card").alias("scope"), "key", "date", F.col("price").cast("double").alias("price"), "trade_count")
+    # rows are for people as well: the label goes with them, else the merge would replace it by the key
+    labels = carried(history.withColumnRenamed("_pos", "seq"), ["key", "condition"], ["card_name", "hinban"], ["date", "seq"]).select(
+        F.lit("card").alias("scope"), "key", card_label(F.col("card_name"), F.col("hinban"), F.col("condition")).alias("label"))
+    _merge_trends(spark, points, trend_path, as_of, limits, labels)
 
 
-def _merge_trends(spark, points, trend_path, as_of, limits) -> None:
+def _merge_trends(spark, points, trend_path, as_of, limits, labels=None) -> None:
     # the history is keyed by date, so the metrics need a single shuffle
     metrics = series_metrics(points, ["scope", "key"], unique_dates=True)
+    if labels is not None:
+        metrics = metrics.join(labels, ["scope", "key"], "left")
     rows = trend_rows(metrics, as_of, limits, F.current_timestamp()).withColumn("seq", F.lit(0).cast("bigint"))
     rows = rows.persist()  # the merge looks at its batch more than once
     try:
