@@ -48,7 +48,7 @@ def test_hub_rounds_lose_no_link(spark, monkeypatch):
             if a in own and b in own:
                 groups.link(a, b)
     links = spark.createDataFrame(sorted(linked), "a long, b long")
-    df = spark.createDataFrame([(*b, 0, 1.0) for b in sorted(set(buckets))], "h long, id long, n long, own long, score double")
+    df = spark.createDataFrame([(*b, 0, 1.0) for b in sorted(set(buckets))], "h long, id long, n long, ahead long, score double")
     for limit in (0, 10**6):
         monkeypatch.setattr(bucket_links, "PAIRS_PER_ROW", limit)
         got = {r["node"]: r["component"] for r in bucket_links.linked_components(df, lambda p: p.join(links, ["a", "b"], "left_semi"), 0.8).collect()}

@@ -78,11 +78,11 @@ def least_shared(k: int, ratio: float) -> int:
 
 
 def inverted_lists(sketches: DataFrame, k: int, percent: int) -> DataFrame:
-    """``sketches(id, n, sketch)`` -> ``h, id, n, own, score``: lists of retained values that can hold a linked pair.
+    """``sketches(id, n, sketch)`` -> ``h, id, n, ahead, score``: lists of retained values that can hold a linked pair.
 
     Two linked sets share at least so many values of their sketches that they share one of the globally rarest
     ones of each (the prefix); a value that occurs once, and so the common part of otherwise different texts,
-    makes no list. ``own`` counts the values that occur once, where the whole set is known; ``score`` is the mean
+    makes no list. ``ahead`` counts the rarer values of the set, where it is known whole; ``score`` is the mean
     number of sketches that a value is in.
     """
     ratio = percent / 100
@@ -96,9 +96,9 @@ def inverted_lists(sketches: DataFrame, k: int, percent: int) -> DataFrame:
     need = F.when(F.col("n") < math.ceil(k * ratio), need).otherwise(F.least(need, F.lit(least_shared(k, ratio))))
     ranked = common.withColumn("place", F.row_number().over(per_set.orderBy("f", "h"))).withColumn(
         "single", kept - F.count("*").over(per_set)).withColumn("score", (F.sum("f").over(per_set) + F.col("single")) / kept)
-    own = F.when(F.col("n") <= k, F.col("single")).otherwise(0).cast("long")
+    ahead = F.when(F.col("n") <= k, F.col("single") + F.col("place") - 1).otherwise(0).cast("long")
     chosen = ranked.where(F.col("place") + F.col("single") <= kept - need + 1)
-    prefixes, _ = store(chosen.select("h", "id", "n", own.alias("own"), F.col("score").cast("double").alias("score")), "prefixes")
+    prefixes, _ = store(chosen.select("h", "id", "n", ahead.alias("ahead"), F.col("score").cast("double").alias("score")), "prefixes")
     several = prefixes.groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select(apart("h").alias("k"))
     return prefixes.join(several, F.col("h") == F.col("k"), "left_semi")
 

@@ -14,10 +14,10 @@ PAIRS_PER_ROW = 4
 
 def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], smallest_share: float,
                       hub_rounds: int = 8) -> DataFrame:
-    """``buckets(h long, id long, n long, own long, score double)`` -> ``(node, component)`` of the links that ``verify`` confirms.
+    """``buckets(h long, id long, n long, ahead long, score double)`` -> ``(node, component)`` of the links that ``verify`` confirms.
 
-    ``n`` is the size of a member's set and ``own`` how many of its values no other member has, so two members
-    share at most the smaller of their ``n - own``. Equal to verifying every pair of members of a bucket that can
+    ``n`` is the size of a member's set and ``ahead`` how many of its values come before ``h`` in a common order of
+    all values, so two members whose first common value is ``h`` share at most the smaller of their ``n - ahead``. Equal to verifying every pair of members of a bucket that can
     reach ``smallest_share`` by this bound, and taking components; but a pair inside one component need not be
     looked at. In each round every bucket that still spans several components gets one hub, at first the member of highest
     ``score`` (its values are the commonest), then another one, the same in as many buckets as possible, and its members outside the hub's component are compared with the hub: as many pairs as rows. Rounds end when
@@ -28,7 +28,7 @@ def linked_components(buckets: DataFrame, verify: Callable[[DataFrame], DataFram
     are distinct.
     """
     spark = buckets.sparkSession
-    rows, rows_path = store(buckets.select("h", "id", "n", "own", "score"), "buckets")
+    rows, rows_path = store(buckets.select("h", "id", "n", "ahead", "score"), "buckets")
     scratch, links, tested, labels, before = [rows_path], [], [], None, 0
 
     for turn in range(hub_rounds + 1):
@@ -71,13 +71,13 @@ def _live(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of buckets that span several components, with the component as ``c``."""
     named = rows.join(
         labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "h", "id", "n", "own", "score", F.coalesce("component", "id").alias("c"))
+        "h", "id", "n", "ahead", "score", F.coalesce("component", "id").alias("c"))
     several = named.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     return named.join(several.select(apart("h").alias("k")), F.col("h") == F.col("k"), "left_semi")
 
 
 def _fits(share: float):
-    shared = F.least(F.col("n") - F.col("own"), F.col("m") - F.col("other_own"))
+    shared = F.least(F.col("n") - F.col("ahead"), F.col("m") - F.col("other_ahead"))
     return shared + 1e-6 >= share * (F.col("n") + F.col("m") - shared)
 
 
@@ -88,13 +88,13 @@ def _pair(x: str, y: str) -> list:
 def _with_hub(live: DataFrame, share: float, turn: int) -> DataFrame:
     order = (-F.col("score") if not turn else F.xxhash64("id", F.lit(turn)).cast("double")).alias("r")
     hub = live.groupBy("h").agg(F.min(F.struct(order, F.col("id").alias("hub"), F.col("c").alias("hc"), F.col("n").alias("m"),
-                                               F.col("own").alias("other_own"))).alias("s"))
-    hub = hub.select(apart("h").alias("k"), "s.hub", "s.hc", "s.m", "s.other_own")
+                                               F.col("ahead").alias("other_ahead"))).alias("s"))
+    hub = hub.select(apart("h").alias("k"), "s.hub", "s.hc", "s.m", "s.other_ahead")
     return live.join(hub, F.col("h") == F.col("k")).where((F.col("c") != F.col("hc")) & _fits(share)).select(*_pair("id", "hub"))
 
 
 def _across(live: DataFrame, share: float) -> DataFrame:
     other = live.select(F.col("h").alias("k"), F.col("id").alias("other"), F.col("c").alias("hc"), F.col("n").alias("m"),
-                        F.col("own").alias("other_own"))
+                        F.col("ahead").alias("other_ahead"))
     return live.join(other, (F.col("h") == F.col("k")) & (F.col("id") < F.col("other")) & (F.col("c") != F.col("hc"))
                      & _fits(share)).select(*_pair("id", "other"))
