@@ -136,6 +136,34 @@ def test_paragraphs_against_brute_force(spark):
     assert paragraphs.repeated_paragraphs(df.limit(0)).count() == 0
 
 
+def test_paragraphs_of_any_length_with_production_settings(spark):
+    random.seed(5)
+    pool = [t for t in near_texts(6, 60) if t and len(t.split()) >= 5]
+    docs = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(1, 5)))) for i in range(60)]
+    parts, groups = [(i, pos, shingles(line, 5)) for i, t in docs for pos, line in enumerate(t.split("\n"))], Groups()
+    for a in range(len(parts)):
+        for b in range(a):
+            x, y = parts[a][2], parts[b][2]
+            if 100 * len(x & y) >= 80 * len(x | y):
+                groups.link(a, b)
+    sizes = defaultdict(list)
+    for a in range(len(parts)):
+        sizes[groups.root(a)].append(a)
+    rows = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc"], r["pos"]) for r in rows) == sorted(parts[a][:2] for g in sizes.values() if len(g) > 1 for a in g)
+    assert sum(r["kept"] for r in rows) == sum(len(g) > 1 for g in sizes.values())
+
+
+def test_passages_on_short_lines_are_paragraphs(spark):
+    passage = [f"w{i} x{i} y{i}" for i in range(20)]
+    texts = ["\n".join(["one two three four five six", *passage, "end"]), "\n".join(["a", "b c", *passage[:9], "", *passage[9:], "f g h i j k"]),
+             "Title\nlone words here", "Title\nother words too", "la\n" * 9 + "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in paragraphs.deduplicate_paragraphs(df).collect()}
+    assert out[0] == texts[0] and out[1] == "a\nb c\nf g h i j k" and out[2] == texts[2] and out[3] == texts[3]
+    assert out[4] == "la\nla\nla\nla\nla\nx"
+
+
 def without_copies(rows, least):
     """Texts without lines inside a run of enough words that occurs at an earlier place, by trying all runs."""
     lines = {d: t.split("\n") for d, t in rows}

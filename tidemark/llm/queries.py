@@ -27,8 +27,8 @@ def op1_paragraph_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = repeated_paragraphs(docs)
     clusters = found.groupBy(F.col("doc").alias("doc_id")).agg(
-        F.count("*").alias("n_repeated"), F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
-    return without_lines(docs, found.where("NOT kept").select("doc", "mark", "pos")).join(clusters, "doc_id", "left").select(
+        F.count_distinct("mark", "pos").alias("n_repeated"), F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
+    return without_lines(docs, found.where("NOT kept").select("doc", "mark", "pos").distinct()).join(clusters, "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), "n_removed", "clusters", "text")
 
 
