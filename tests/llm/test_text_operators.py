@@ -266,6 +266,26 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert [r["text"] for r in surrogates.pseudonymize(df, "k").orderBy("doc_id").collect()] == want
 
 
+def test_surrogates_find_whole_entities(spark, monkeypatch):
+    token = "9233A8EC24BE64439E3E49CF46B2D7C9"
+    texts = [f"t {token} t {token.lower()} t", "p +1 (826) 555-4081 190.137.223.204 p", "p +1 (826) 555-4081 2019 p +1 826 555 4081 12.50 p",
+             "p 190.137.223.204 p +49 30 123456 2019, +49 30 123456", "+44 20 7946 2012 ok +4420 79462012 5",
+             "Anna Smith. Mrs. Anna Smith, Smithy: Anna Smith's; Anna Smith-Jones. Dr. Anna Smith", "Anna Smith"]
+    got = replaced(spark, texts)
+    a, b = re.fullmatch(r"t ([0-9A-F]{32}) t ([0-9a-f]{32}) t", got[0][0]).groups()
+    assert a.lower() == b != token.lower() and got[0][1] == 2
+    phone, address = re.fullmatch(r"p (\+\d \(\d{3}\) \d{3}-\d{4}) (\d+\.\d+\.\d+\.\d+) p", got[1][0]).groups()
+    assert got[2][0].startswith(f"p {phone} 2019 p ") and got[2][0].endswith(" 12.50 p") and got[1][1] == got[2][1] == 2
+    assert re.sub(r"\D", "", got[2][0].split(" 2019 p ")[1][:-8]) == re.sub(r"\D", "", phone)
+    assert re.fullmatch(re.escape(f"p {address} p ") + r"(\+\d\d \d\d \d{6}) 2019, \1", got[3][0])
+    one, two = re.fullmatch(r"(\+\d\d \d\d \d{4} \d{4}) ok (\+\d{4} \d{8}) 5", got[4][0]).groups()
+    assert re.sub(r"\D", "", one) == re.sub(r"\D", "", two)
+    name = re.search(r"Mrs\. (\w+ \w+),", got[5][0])[1]
+    assert got[5][0].startswith(f"{name}. Mrs. {name}, Smithy: {name}'s; Anna Smith-Jones. Dr. ") and got[5][1] == 4 and got[6] == ("Anna Smith", 0)
+    monkeypatch.setattr(surrogates, "LITERAL_EXCEPTIONS", -1)
+    assert replaced(spark, texts) == got
+
+
 def test_surrogates_of_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string, kind string")
     out = surrogates.pseudonymize(df, "k")

@@ -19,8 +19,17 @@ ADDRESS = r"(?<![\p{N}.])(?:\p{Nd}{1,3}\.){3}\p{Nd}{1,3}(?!\.?\p{Nd})" + _END
 CARD = r"(?<![\p{L}\p{N}])\p{Nd}{4}([ -]?)\p{Nd}{4}\1\p{Nd}{4}\1\p{Nd}{1,7}" + _END
 SOCIAL = _START + r"\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}" + _END
 ACCOUNT = _START + r"[A-Z]{2}\p{Nd}{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _END
-PHONE = r"(?:(?<![\p{L}\p{N}+])\+\p{Nd}{1,3}(?:[ .-]?\(?\p{Nd}{1,5}\)?){2,6}|(?<![\p{L}\p{N}])\(?\p{Nd}{3}\)?[ .-]\p{Nd}{3}[ .-]\p{Nd}{4})" + _END
-TOKEN = _START + r"(?:[0-9a-f]{40}|[0-9a-f]{32}|[0-9a-f]{64})" + _END
+#: Digits of a number after the country code where that is fixed.
+NATIONAL = {8: "4[57]", 9: "3[1346]|4[18]|61|351|380", 10: "1|7|30|44|91", 11: "86"}
+#: Between two digits of a phone; no space before a further address or price.
+_GAP = r"\)?(?:[.-]| (?!(?:\p{Nd}{1,3}\.){3}\p{Nd}{1,3}(?!\.?\p{Nd})|\p{Nd}+[.,]\p{Nd}{1,2}(?![.,]?\p{Nd})))?\(?"
+#: After eight digits no space before a year either.
+_LATE = _GAP.replace(r" (?!", r" (?!(?:19|20)\p{Nd}{2}(?!\p{Nd}|[ .-]\p{Nd})|", 1)
+#: At most 15 digits unless the last group is longer: no group begins after the eleventh digit.
+PHONE = (r"(?:(?<![\p{L}\p{N}+])\+(?:" + "|".join(rf"(?:{c})(?:{_GAP}\p{{Nd}}){{{n}}}" + _END for n, c in NATIONAL.items())
+         + rf"|\p{{Nd}}(?:{_GAP}\p{{Nd}}){{2,7}}(?:{_LATE}\p{{Nd}}){{0,3}}\p{{Nd}}*+)"
+         + r"|(?<![\p{L}\p{N}])\(?\p{Nd}{3}\)?[ .-]\p{Nd}{3}[ .-]\p{Nd}{4})" + _END)
+TOKEN = _START + r"(?:[0-9a-fA-F]{40}|[0-9a-fA-F]{32}|[0-9a-fA-F]{64})" + _END
 NAME = (_START + "(?:" + "|".join(sorted(FEMALE + MALE + NEUTRAL, key=len, reverse=True)) + r")\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?")
 
 #: Types in the order in which a text is searched at one place.
@@ -50,10 +59,10 @@ def entity_type(entity: Column) -> Column:
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What mentions of one thing have in common: lower case of addresses of mail, digits of numbers, a name without its title."""
+    """What mentions of one thing have in common: lower case of addresses of mail and of tokens, digits of numbers, a name without its title."""
     digits = F.regexp_replace(entity, r"[^\p{Nd}]", "")
     plain = F.regexp_replace(entity, r"[ .()-]", "")
-    return (F.when(kind == "email", F.lower(entity)).when(kind.isin("card", "social", "phone"), digits)
+    return (F.when(kind.isin("email", "token"), F.lower(entity)).when(kind.isin("card", "social", "phone"), digits)
             .when(kind == "account", plain).when(kind == "name", F.regexp_replace(entity, r"\A\S+ ", "")).otherwise(entity))
 
 
@@ -73,9 +82,8 @@ def _alike(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
     The n-th letter or digit takes the n-th byte, so two ways to write one number get one replacement.
     """
     low, high, digits = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit("0123456789")
-    if hexadecimal:
-        low = F.lit("abcdef")
-        both = F.lit("0123456789abcdef")
+    both = F.lit("0123456789abcdef")
+    upper = text.rlike(r"\p{Lu}") & ~text.rlike(r"\p{Ll}")
 
     def pick(letters: Column, n: int, value: Column) -> Column:
         return F.substring(letters, value % n + 1, F.lit(1))
@@ -83,7 +91,7 @@ def _alike(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
     def one(c: Column, i: Column) -> Column:
         value = _byte(stream, F.length(F.regexp_replace(F.substring(text, F.lit(1), i), r"[^\p{L}\p{N}]", "")))
         if hexadecimal:
-            return pick(both, 16, value)
+            return _let(pick(both, 16, value), lambda m: F.when(c.rlike(r"\p{Lu}") | (upper & ~c.rlike(r"\p{L}")), F.upper(m)).otherwise(m))
         return (F.when(c.rlike(r"\p{Nd}"), pick(digits, 10, value)).when(c.rlike(r"\p{Lu}"), pick(high, 26, value))
                 .when(c.rlike(r"[\p{L}\p{N}]"), pick(low, 26, value)).otherwise(c))
 
@@ -162,6 +170,38 @@ def surrogate(kind: Column, entity: Column, key: Column, turn: Column) -> Column
     return _let(canonical(kind, entity), make)
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__pattern``, by which its texts are searched, and ``__mentions`` as ``(mention, bare)``.
+
+    A name found after a title is a mention wherever its text repeats it without one: ``mention`` is then the first
+    one with a title, and ``bare`` is set.
+    """
+    def titled(m: Column) -> Column:
+        return m.rlike(rf"\A(?:{NAME})\z")
+
+    def name(m: Column) -> Column:
+        return canonical(F.lit("name"), m)
+
+    marked = docs.drop("n_entities").withColumn("__found", _found(F.col("text")))
+    marked = marked.withColumn("__titled", F.filter("__found", titled))
+    bare = F.array_sort(F.array_distinct(F.transform("__titled", name)), lambda a, b: F.length(b) - F.length(a))
+    any_name = F.concat(F.lit("|" + r"(?<![\p{L}\p{N}]|\p{L}-)(?:"), F.array_join(bare, "|"), F.lit(")" + _END + r"(?!-\p{L})"))
+    marked = marked.withColumn("__pattern", F.when(F.size("__titled") > 0, F.concat(F.lit(ANY), any_name)).otherwise(F.lit(ANY)))
+
+    def mention(m: Column) -> Column:
+        same = F.filter("__titled", lambda t: (name(t) == m) & ~titled(m))
+        return F.struct(F.coalesce(F.get(same, F.lit(0)), m).alias("mention"), (F.size(same) > 0).alias("bare"))
+
+    plain = F.transform("__found", lambda m: F.struct(m.alias("mention"), F.lit(False).alias("bare")))
+    every = F.transform(F.regexp_extract_all("text", F.col("__pattern"), F.lit(0)), mention)
+    return marked.withColumn("__mentions", F.when(F.size("__titled") > 0, every).otherwise(plain)).drop("__found", "__titled")
+
+
+def _shown(made: Column, bare: Column) -> Column:
+    """A surrogate as its mention was written: without a title where it had none."""
+    return F.when(bare, F.regexp_replace(made, r"\A\S+ ", "")).otherwise(made)
+
+
 def _found(text: Column) -> Column:
     none = F.array().cast("array<string>")
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
@@ -205,7 +245,7 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """``docs(doc_id, text, ...)`` with personal data in ``text`` replaced, and ``n_entities``.
 
     Found are mail and network addresses, card, social-security, bank-account and phone numbers, access tokens in
-    hexadecimal, and names after a title. Each gets a surrogate from a keyed hash: the same thing, however written,
+    hexadecimal of either case, and names after a title, then also without one in the same text. Each gets a surrogate from a keyed hash: the same thing, however written,
     the same one in all documents (mail hosts keep together too); letters and digits by their kind, marks, length,
     Luhn validity, script, letter case and the gender of the title stay. Surrogates are checked over the whole
     corpus: different things have different ones, and none is a thing that occurs. Nulls stay null; texts
@@ -224,31 +264,33 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     rows = again.collect()
     turns = F.create_map(*[F.lit(x) for r in rows for x in (f"{r['kind']}|{r['canon']}", r["turn"])]) if rows else None
 
-    def replaced(m: Column) -> Column:
+    def replaced(s: Column) -> Column:
+        m = s["mention"]
+
         def typed(k: Column) -> Column:
             turn = F.lit(0) if turns is None else F.coalesce(F.try_element_at(turns, F.concat(k, F.lit("|"), canonical(k, m))), F.lit(0))
-            return surrogate(k, m, F.lit(key), turn)
+            return _shown(surrogate(k, m, F.lit(key), turn), s["bare"])
         return _let(entity_type(m), typed)
 
-    marked = docs.drop("n_entities").withColumn("__mentions", _found(F.col("text")))
-    return _rebuilt(marked, F.transform("__mentions", replaced))
+    return _rebuilt(_marked(docs), F.transform("__mentions", replaced))
 
 
 def _rebuilt(marked: DataFrame, made: Column) -> DataFrame:
     """Texts put together from what lies between mentions and their replacements."""
-    between = F.split("text", ANY, -1)
+    between = F.split("text", F.col("__pattern"), -1)
     text = F.array_join(F.flatten(F.zip_with(between, F.concat(made, F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
     has = F.coalesce(F.size("__mentions") > 0, F.lit(False))
     return marked.withColumn("n_entities", F.when(has, F.size("__mentions")).otherwise(0)).withColumn(
-        "text", F.when(has, text).otherwise(F.col("text"))).drop("__mentions")
+        "text", F.when(has, text).otherwise(F.col("text"))).drop("__mentions", "__pattern")
 
 
 def _by_join(docs: DataFrame, again: DataFrame, key: str) -> DataFrame:
     """The same with the turns joined by mention; mentions of a text are put back in order."""
-    rows, _ = store(docs.drop("n_entities").withColumn("__row", F.monotonically_increasing_id()).withColumn("__mentions", _found(F.col("text"))), "marked")
-    each = rows.select("__row", F.posexplode("__mentions").alias("pos", "mention")).withColumn("kind", entity_type(F.col("mention")))
+    rows, _ = store(_marked(docs).withColumn("__row", F.monotonically_increasing_id()), "marked")
+    each = rows.select("__row", F.posexplode("__mentions").alias("pos", "m")).select("__row", "pos", "m.mention", "m.bare").withColumn("kind", entity_type(F.col("mention")))
     each = each.withColumn("canon", canonical(F.col("kind"), F.col("mention"))).join(again, ["kind", "canon"], "left")
-    made = each.select("__row", "pos", surrogate(F.col("kind"), F.col("mention"), F.lit(key), F.coalesce("turn", F.lit(0))).alias("made"))
+    made = _shown(surrogate(F.col("kind"), F.col("mention"), F.lit(key), F.coalesce("turn", F.lit(0))), F.col("bare"))
+    made = each.select("__row", "pos", made.alias("made"))
     made = made.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "made"))).alias("__made"))
     joined = rows.join(made, "__row", "left").drop("__row")
     return _rebuilt(joined, F.col("__made.made")).drop("__made")
