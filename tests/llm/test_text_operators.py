@@ -286,6 +286,24 @@ def test_surrogates_find_whole_entities(spark, monkeypatch):
     assert replaced(spark, texts) == got
 
 
+def test_surrogates_keep_scripts(spark):
+    zeros = {"arabic": 0x660, "devanagari": 0x966, "full-width": 0xFF10}
+    write = lambda t, zero: "".join(chr(zero + int(c)) if c.isdigit() else c for c in t)
+    texts = [f"{write('4111 1111 1111 1111', z)} ip {write('10.2.3.4', z)}" for z in zeros.values()] + [
+        "4111111111111111 ip 10.2.3.4", "иван.ПЕТРОВ@почта.рф", "νίκος7@x.gr", "משה@x.il", "王山@x.cn"]
+    got = replaced(spark, texts)
+    plain = got[3][0].split(" ip ")
+    assert luhn(plain[0]) and plain[0] != "4111111111111111"
+    for i, z in enumerate(zeros.values()):
+        card, address = got[i][0].split(" ip ")
+        assert all(ord(c) in range(z, z + 10) for c in (card + address).replace(" ", "").replace(".", ""))
+        assert "".join(str(int(c)) for c in card.replace(" ", "")) == plain[0]
+        assert ".".join(str(int(o)) for o in address.split(".")) == plain[1]
+    assert re.fullmatch(r"[а-я]{4}\.[А-Я]{6}@[а-я]{5}\.рф", got[4][0]) and got[4][0] != texts[4]
+    assert re.fullmatch(r"[α-ω]{5}\d@[a-z]\.gr", got[5][0]) and re.fullmatch(r"[א-ת]{3}@[a-z]\.il", got[6][0])
+    assert re.fullmatch(r"[一-鿿]{2}@[a-z]\.cn", got[7][0])
+
+
 def test_surrogates_of_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string, kind string")
     out = surrogates.pseudonymize(df, "k")

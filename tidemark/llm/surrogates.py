@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,16 @@ HINT = r"[@\p{Nd}]|" + _START + "(?:" + "|".join(FEMALE + MALE + NEUTRAL) + r")\
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειου"}
 CONSONANTS = {"latin": "bdfghklmnprstvz", "cyrillic": "бвгдзклмнпрстфх", "greek": "βγδζθκλμνπρστφχ"}
 ENDINGS = {"latin": ("a", "o"), "cyrillic": ("а", "ов"), "greek": ("α", "ος")}
+#: Letters that stand for letters of their script; all others are taken for Latin.
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = {
+    "Cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω", "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ",
+    "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת", "Arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "Devanagari": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+    "Thai": "กขคงจฉชซญดตถทธนบปผฝพฟภมยรลวสหอฮ", "Hiragana": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    "Katakana": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ", "Hangul": "가나다라마바사아자차카타파하",
+    "Han": "一三山川水火木金土日月人大小中上下田石竹雨花犬馬鳥魚米王玉"}
+#: Decimal digits of all scripts, ten by ten, 0-9 first.
+DIGITS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd")
 LITERAL_EXCEPTIONS = 5_000
 
 
@@ -51,6 +64,24 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _ascii(text: Column) -> Column:
+    """Digits of every script as 0-9."""
+    return F.when(text.rlike(r"[\p{Nd}&&[^0-9]]"), F.translate(text, DIGITS[10:], "0123456789" * (len(DIGITS) // 10 - 1))).otherwise(text)
+
+
+def _digit(value: Column, like: Column) -> Column:
+    """The digit of this value in the script of the digit ``like``."""
+    place = F.greatest(F.instr(F.lit(DIGITS), like), F.lit(1)) - 1
+    return F.substring(F.lit(DIGITS), place - place % 10 + value + 1, F.lit(1))
+
+
+def _alphabet(c: Column) -> Column:
+    letters = F.when(c.rlike("[A-Za-z]"), LATIN)
+    for script, alphabet in ALPHABETS.items():
+        letters = letters.when(c.rlike(rf"\p{{Is{script}}}"), alphabet)
+    return letters.otherwise(LATIN)
+
+
 def entity_type(entity: Column) -> Column:
     kind = F.lit("name")
     for name, pattern in reversed(TYPES[:-1]):
@@ -59,11 +90,12 @@ def entity_type(entity: Column) -> Column:
 
 
 def canonical(kind: Column, entity: Column) -> Column:
-    """What mentions of one thing have in common: lower case of addresses of mail and of tokens, digits of numbers, a name without its title."""
-    digits = F.regexp_replace(entity, r"[^\p{Nd}]", "")
-    plain = F.regexp_replace(entity, r"[ .()-]", "")
+    """What mentions of one thing have in common: lower case of addresses of mail and of tokens, digits of numbers (as 0-9), a name without its title."""
+    digits = _ascii(F.regexp_replace(entity, r"[^\p{Nd}]", ""))
+    plain = _ascii(F.regexp_replace(entity, r"[ .()-]", ""))
     return (F.when(kind.isin("email", "token"), F.lower(entity)).when(kind.isin("card", "social", "phone"), digits)
-            .when(kind == "account", plain).when(kind == "name", F.regexp_replace(entity, r"\A\S+ ", "")).otherwise(entity))
+            .when(kind == "account", plain).when(kind == "name", F.regexp_replace(entity, r"\A\S+ ", ""))
+            .when(kind == "address", _ascii(entity)).otherwise(entity))
 
 
 def _stream(key: Column, seed: Column, size: Column) -> Column:
@@ -77,11 +109,10 @@ def _byte(stream: Column, at: Column) -> Column:
 
 
 def _alike(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
-    """``text`` with letters and digits replaced by others of their kind, taken in turn; marks stay.
+    """``text`` with letters and digits replaced by others of their kind and script, taken in turn; marks stay.
 
     The n-th letter or digit takes the n-th byte, so two ways to write one number get one replacement.
     """
-    low, high, digits = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.lit("0123456789")
     both = F.lit("0123456789abcdef")
     upper = text.rlike(r"\p{Lu}") & ~text.rlike(r"\p{Ll}")
 
@@ -92,8 +123,9 @@ def _alike(text: Column, stream: Column, hexadecimal: bool = False) -> Column:
         value = _byte(stream, F.length(F.regexp_replace(F.substring(text, F.lit(1), i), r"[^\p{L}\p{N}]", "")))
         if hexadecimal:
             return _let(pick(both, 16, value), lambda m: F.when(c.rlike(r"\p{Lu}") | (upper & ~c.rlike(r"\p{L}")), F.upper(m)).otherwise(m))
-        return (F.when(c.rlike(r"\p{Nd}"), pick(digits, 10, value)).when(c.rlike(r"\p{Lu}"), pick(high, 26, value))
-                .when(c.rlike(r"[\p{L}\p{N}]"), pick(low, 26, value)).otherwise(c))
+        letter = _let(_alphabet(c), lambda a: F.substring(a, value % F.length(a) + 1, F.lit(1)))
+        return (F.when(c.rlike(r"\p{Nd}"), _digit(value % 10, c)).when(c.rlike(r"\p{Lu}"), F.upper(letter))
+                .when(c.rlike(r"[\p{L}\p{N}]"), letter).otherwise(c))
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
@@ -107,13 +139,13 @@ def _luhn(digits: Column) -> Column:
 
 def _card(entity: Column, stream: Column) -> Column:
     """Digits replaced; a number that satisfied the Luhn rule does so again by its last digit."""
-    digits = F.regexp_replace(entity, r"[^\p{Nd}]", "")
+    digits = _ascii(F.regexp_replace(entity, r"[^\p{Nd}]", ""))
     made = _alike(entity, stream)
 
     def last(m: Column) -> Column:
         body = F.substring(m, F.lit(1), F.length(m) - 1)
-        zero = F.concat(F.regexp_replace(body, r"[^\p{Nd}]", ""), F.lit("0"))
-        return F.concat(body, ((10 - _luhn(zero) % 10) % 10).cast("string"))
+        zero = F.concat(_ascii(F.regexp_replace(body, r"[^\p{Nd}]", "")), F.lit("0"))
+        return F.concat(body, _digit((10 - _luhn(zero) % 10) % 10, F.right(m, F.lit(1))))
 
     return F.when(_luhn(digits) % 10 == 0, _let(made, last)).otherwise(made)
 
@@ -162,6 +194,9 @@ def surrogate(kind: Column, entity: Column, key: Column, turn: Column) -> Column
                         _let(_stream(key, F.concat(F.lit("host|"), F.lower(host)), F.length(host)), lambda h: _alike(front, h)), F.lit("."), ending)
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
             (_byte(s, i * 2) * 256 + _byte(s, i * 2 + 1)) % 254 + 1).cast("string")), ".")
+        first = F.substring(entity, 1, 1)
+        octets = F.when(first.rlike("[0-9]"), octets).otherwise(F.array_join(F.transform(F.split(octets, ""), lambda c: F.when(
+            c == ".", c).otherwise(_digit(c.try_cast("int"), first))), ""))
         bank = F.concat(F.substring(entity, 1, 2), _alike(F.substring(entity, F.lit(3), F.length(entity)), s))
         return (F.when(kind == "email", mail).when(kind == "address", octets).when(kind == "card", _card(entity, s))
                 .when(kind == "token", _alike(entity, s, True)).when(kind == "account", bank)
