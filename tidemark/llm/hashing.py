@@ -60,7 +60,7 @@ SPACED = separators(bytes(b for b in range(256) if b not in (32, 9, 10, 11, 12,
 ALNUM = separators(bytes([*range(48, 58), *range(97, 123), *range(128, 256)]))
 
 
-def _hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+def hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word of already translated bytes."""
     arr = np.frombuffer(block, dtype=np.uint8)
     inside = np.empty(len(arr) + 1, dtype=np.int8)
@@ -85,7 +85,7 @@ def word_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarra
         nonlocal held, first
         if held:
             joined = b" ".join(held) + b" "
-            h, starts = _hash_block(joined)
+            h, starts = hash_block(joined)
             ends = np.cumsum([len(t) + 1 for t in held])
             upto_words = np.searchsorted(starts, ends)
             counts[first:upto] = np.diff(np.concatenate([[0], upto_words]))
@@ -103,7 +103,7 @@ def word_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarra
                 if end <= at:  # one word fills the block
                     end = text.find(b" ", at + BLOCK)
                     end = len(text) if end < 0 else end
-                h, _ = _hash_block(text[at:end])
+                h, _ = hash_block(text[at:end])
                 hashes.append(h)
                 counts[i] += len(h)
                 at = end + 1
