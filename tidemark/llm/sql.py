@@ -83,10 +83,46 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS componen
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.a = d.doc_id
 """
 
+PREFIX_TRIE = """
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c FROM t),
+crc AS (
+  SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) AS crc
+  FROM ids),
+h AS (SELECT c, crc % 9 AS h, c - c % 5 AS base FROM crc),
+turns AS (
+  SELECT h.c, pos, role, text FROM h JOIN t ON t.c = h.base AND pos < h
+  UNION ALL SELECT h.c, pos + 0 AS pos, role, text FROM h JOIN t ON t.c = h.c AND pos >= h),
+paths AS (
+  SELECT ids.c, coalesce(p, []) AS path
+  FROM ids LEFT JOIN (SELECT c, list({'r': role, 't': text} ORDER BY pos) AS p FROM turns GROUP BY c) x ON x.c = ids.c),
+begins AS (SELECT c, len(path) AS total, d, list_slice(path, 1, d) AS node FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE total = d), '')) AS ends
+  FROM begins GROUP BY node, d),
+kids AS (SELECT list_slice(node, 1, d - 1) AS node, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+up AS (
+  SELECT list_slice(node, 1, a) AS node, a, sum(CASE WHEN d > 0 THEN (n - 1) * strlen(node[d].t) ELSE 0 END) AS saved, sum(leaf) AS leaves
+  FROM (SELECT nodes.node, nodes.d, nodes.n, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, nodes.d + 1)) AS a
+        FROM nodes LEFT JOIN kids ON kids.node = nodes.node AND kids.d = nodes.d)
+  GROUP BY ALL)
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+  CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM nodes JOIN up ON up.node = nodes.node AND up.a = nodes.d LEFT JOIN kids ON kids.node = nodes.node AND kids.d = nodes.d
+LEFT JOIN nodes above ON nodes.d > 0 AND above.d = nodes.d - 1 AND above.node = list_slice(nodes.node, 1, nodes.d - 1)
+"""
+
 ORACLES = {
     "op3_epsilon_grid_order_join": VECTORS,
     "op5_prefix_filtered_decontamination": CONTAMINATION,
     "op7_line_run_suffix_array": LINE_RUNS,
     "op8_zstandard_warc": ARCHIVES,
     "op10_bottom_k_near_duplicates": NEAR_DUPLICATES,
+    "op13_parentheses_prefix_trie": PREFIX_TRIE,
 }
