@@ -14,6 +14,7 @@ from tidemark.llm.grid_join import similar_vectors
 from tidemark.llm.line_runs import deduplicate_lines, without_lines
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.paragraphs import repeated_paragraphs
+from tidemark.llm.phrases import collocations
 from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.quality import quality
 from tidemark.llm.sql import ORACLES  # noqa: F401
@@ -76,6 +77,11 @@ def op10_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_multikey_quicksort_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_shrinkage_quadratic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text; labels of the held-out rows are never read."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -89,5 +95,5 @@ def op13_parentheses_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_paragraph_minhash_dedup, op2_cost_balanced_packing, op3_epsilon_grid_order_join, op4_keyed_surrogates,
     op5_prefix_filtered_decontamination, op6_string_kernel_toxicity, op7_line_run_suffix_array, op8_zstandard_warc,
-    op9_token_id_parquet, op10_bottom_k_near_duplicates, op12_shrinkage_quadratic_quality,
-    op13_parentheses_prefix_trie)}
+    op9_token_id_parquet, op10_bottom_k_near_duplicates, op11_multikey_quicksort_phrases,
+    op12_shrinkage_quadratic_quality, op13_parentheses_prefix_trie)}

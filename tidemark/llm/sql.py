@@ -113,16 +113,44 @@ up AS (
         FROM nodes LEFT JOIN kids ON kids.node = nodes.node AND kids.d = nodes.d)
   GROUP BY ALL)
 SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0) AS n_children,
-  CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+  CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, nodes.ends AS ends_sha256
 FROM nodes JOIN up ON up.node = nodes.node AND up.a = nodes.d LEFT JOIN kids ON kids.node = nodes.node AND kids.d = nodes.d
 LEFT JOIN nodes above ON nodes.d > 0 AND above.d = nodes.d - 1 AND above.node = list_slice(nodes.node, 1, nodes.d - 1)
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(""" + _LOW.format("text") + r""", '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0),
+total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS p, count(*) AS f FROM places, (SELECT unnest(range(1, 6)) AS k)
+  WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+longer AS (
+  SELECT lang, p, max(f) AS f FROM (
+    SELECT lang, list_slice(p, 1, len(p) - 1) AS p, f FROM grams WHERE len(p) > 2
+    UNION ALL SELECT lang, list_slice(p, 2, len(p)) AS p, f FROM grams WHERE len(p) > 2) GROUP BY ALL),
+kept AS (
+  SELECT g.lang, g.p, g.f AS a FROM grams g LEFT JOIN longer ON longer.lang = g.lang AND longer.p = g.p
+  WHERE len(g.p) > 1 AND (longer.f IS NULL OR 100 * longer.f < 100 * g.f)),
+cuts AS (SELECT *, unnest(range(1, len(p))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, c.k)
+  JOIN grams y ON y.lang = c.lang AND y.p = list_slice(c.p, c.k + 1, len(c.p)) JOIN total t ON t.lang = c.lang),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+placed AS (
+  SELECT *, array_to_string(p, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM least)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op3_epsilon_grid_order_join": VECTORS,
     "op5_prefix_filtered_decontamination": CONTAMINATION,
     "op7_line_run_suffix_array": LINE_RUNS,
     "op8_zstandard_warc": ARCHIVES,
     "op10_bottom_k_near_duplicates": NEAR_DUPLICATES,
+    "op11_multikey_quicksort_phrases": PHRASES,
     "op13_parentheses_prefix_trie": PREFIX_TRIE,
 }
