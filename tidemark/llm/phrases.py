@@ -17,8 +17,8 @@ from tidemark.session import ship_package
 LEAST = 100
 TOP = 2000
 LONGEST = 5
-#: Words taken together in a task; their distinct ones have numbers below 2**21.
-FLUSH = 2_000_000
+#: Words after which a task hands on what it has; a block more, and they still have numbers below 2**21.
+FLUSH = 700_000
 #: Suffixes of one bucket, on average.
 BUCKET = 400_000
 #: A prefix of more than this share of all words is routed by one word more; there can be no more than three times its inverse.
@@ -143,9 +143,9 @@ def _count(texts: DataFrame) -> DataFrame:
                 stream.add(parts, own)
                 for part, lang in zip(parts, own):
                     counted.setdefault(lang, Counter()).update(part.translate(_WORDS).split())
-                if stream.size > FLUSH // 2:
+                if stream.size > FLUSH:
                     yield rows([], *_common_prefixes(*stream.take(False)))
-                if sum(map(len, counted.values())) > 300_000:
+                if sum(map(len, counted.values())) > 200_000:
                     for lang, c in counted.items():
                         yield rows([(lang, w, n) for w, n in c.items()], np.empty(0, np.uint64), np.empty(0, np.int64))
                     counted = {}
@@ -170,19 +170,21 @@ def _suffixes(texts: DataFrame, frequent: np.ndarray, common: np.ndarray, bucket
         link[:max(len(ids) - 1, 0)] = known[:-1] & known[1:] & (pieces[:-1] == pieces[1:])
         at = np.flatnonzero(link[:begun])
         names, code = np.unique(ids[known], return_inverse=True)
-        codes = np.zeros(len(ids) + LONGEST, np.int64)
+        codes = np.zeros(len(ids) + LONGEST, np.int32)
         codes[:len(ids)][known] = code + 1
         names = np.concatenate([np.zeros(1, np.uint64), names])
         table, on = [codes[at], codes[at + 1]], np.ones(len(at), bool)
         for j in range(2, LONGEST):
             on = on & link[at + j - 1]
             table.append(np.where(on, codes[at + j], 0))
-        high, low = table[0] << 21 | table[1], table[2] << 42 | table[3] << 21 | table[4]
+        wide = [c.astype(np.int64) for c in table]
+        high, low = wide[0] << 21 | wide[1], wide[2] << 42 | wide[3] << 21 | wide[4]
+        del wide
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
         first = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])) if len(order) else order
         counts = np.diff(np.append(first, len(order)))
-        table = np.column_stack([c[order][first] for c in table]) if len(first) else np.empty((0, LONGEST), np.int64)
+        table = np.column_stack([c[order][first] for c in table]) if len(first) else np.empty((0, LONGEST), np.int32)
         # how far a window's prefixes are common, and the prefix that routes it
         prefix, route, depth, going = names[table[:, 0]], None, np.ones(len(table), np.uint8), np.ones(len(table), bool)
         for j in range(1, LONGEST):
@@ -217,7 +219,7 @@ def _suffixes(texts: DataFrame, frequent: np.ndarray, common: np.ndarray, bucket
         for batch in batches:
             for parts, own in _blocks(batch.column(0).to_pylist(), binary(batch.column(1))):
                 stream.add(parts, own)
-                if stream.size > FLUSH - 600_000:
+                if stream.size > FLUSH:
                     yield packed(*windows(*stream.take(False), frequent, common))
         yield packed(*windows(*stream.take(True), frequent, common))
 
