@@ -143,9 +143,10 @@ def odd_texts(rng):
     return rows + [("en", None), ("en", ""), (None, " . "), ("fr", "one two three four five six " * 40)] + rows[:20] + [("und", "a b a b")]
 
 
-@pytest.mark.parametrize("flush", [2_000_000, 300])
-def test_phrases_equal_brute_force(spark, monkeypatch, flush):
+@pytest.mark.parametrize("flush, coded", [(400_000, 1 << 18), (300, 3)])
+def test_phrases_equal_brute_force(spark, monkeypatch, flush, coded):
     monkeypatch.setattr(phrases, "FLUSH", flush)
+    monkeypatch.setattr(phrases, "CODED", coded)
     rows = odd_texts(random.Random(2))
     df = spark.createDataFrame([(lang, text, 1, "x") for lang, text in rows], "lang string, text string, n int, p string")
     for least, top in ((2, 50), (9, 2000)):
@@ -156,7 +157,7 @@ def test_prefixes_common_everywhere_are_routed_deeper(spark, monkeypatch):
     seen = []
     plain = phrases._suffixes
     monkeypatch.setattr(phrases, "SHARE", 0.02)
-    monkeypatch.setattr(phrases, "_suffixes", lambda t, f, common, b: seen.append(len(common)) or plain(t, f, common, b))
+    monkeypatch.setattr(phrases, "_suffixes", lambda t, c, f, common, b: seen.append(len(common)) or plain(t, c, f, common, b))
     rng = random.Random(4)
     rows = [("en", " ".join(rng.choice(["a b c", "a b d", "a b c d e", "f", "g"]) for _ in range(40))) for _ in range(60)]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)

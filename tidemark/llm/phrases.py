@@ -17,10 +17,12 @@ from tidemark.session import ship_package
 LEAST = 100
 TOP = 2000
 LONGEST = 5
-#: Words after which a task hands on what it has; a block more, and they still have numbers below 2**21.
-FLUSH = 700_000
+#: Words after which a task hands on what it has.
+FLUSH = 400_000
 #: Suffixes of one bucket, on average.
-BUCKET = 400_000
+BUCKET = 250_000
+#: So many of the commonest words have short codes, known to every task. With a run's other words, codes stay below 2**21.
+CODED = 1 << 18
 #: A prefix of more than this share of all words is routed by one word more; there can be no more than three times its inverse.
 SHARE = 1 / 65536
 #: Bits of the filter of frequent words.
@@ -57,6 +59,13 @@ def _blocks(langs: list, texts: list) -> Iterator[tuple[list[bytes], list]]:
         yield parts, own
 
 
+def _sliced(batches: Iterator) -> Iterator:
+    """Batches of few rows: what a task holds as Python objects stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            yield batch.slice(lo, 256)
+
+
 def _salt(lang: str) -> np.uint64:
     return word_hashes([lang.encode() + b"!"], bytes(range(256)))[0][:1].view(np.uint64)[0] if lang else np.uint64(0)
 
@@ -137,9 +146,8 @@ def _count(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator) -> Iterator:
         stream, counted = _Stream(), {}
-        for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for parts, own in _blocks(langs, binary(batch.column(1))):
+        for batch in _sliced(batches):
+            for parts, own in _blocks(batch.column(0).to_pylist(), binary(batch.column(1))):
                 stream.add(parts, own)
                 for part, lang in zip(parts, own):
                     counted.setdefault(lang, Counter()).update(part.translate(_WORDS).split())
@@ -154,25 +162,37 @@ def _count(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "lang string, word binary, id long, n long")
 
 
-def _suffixes(texts: DataFrame, frequent: np.ndarray, common: np.ndarray, buckets: int) -> DataFrame:
+def _suffixes(texts: DataFrame, coded: np.ndarray, frequent: np.ndarray | None, common: np.ndarray, buckets: int) -> DataFrame:
     """Windows of frequent words from each place, packed by the bucket of their leading words: ``bucket, packed``.
 
-    A window ends before the first word that the filter calls infrequent, at the end of its piece, or after five words.
-    Equal windows of a run are one with a count. The leading words that choose the bucket are the shortest prefix, of two words
-    at least, that is not common.
+    A window ends before the first infrequent word, at the end of its piece, or after five words. ``coded`` are the ids of the
+    commonest words by falling count, ``frequent`` a filter of the others where there are more. Equal windows of a run are
+    one with a count. The leading words that choose the bucket are the shortest prefix, of two words at least, that is
+    not common.
     """
-    held = texts.sparkSession.sparkContext.broadcast((frequent, np.sort(common)))
-
-    def windows(ids: np.ndarray, pieces: np.ndarray, begun: int, frequent: np.ndarray, common: np.ndarray):
-        cell = ids & np.uint64((1 << FILTER_BITS) - 1)
-        known = (frequent[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+    order = np.argsort(coded)
+    held = texts.sparkSession.sparkContext.broadcast((coded, coded[order], (order + 1).astype(np.int32), frequent, np.sort(common)))
+
+    def codes_of(ids, coded, ordered, code, frequent):
+        """Code of each word (0: infrequent), and the names of all codes."""
+        spot = np.minimum(np.searchsorted(ordered, ids), max(len(ordered) - 1, 0))
+        out = np.where(ordered[spot] == ids, code[spot], 0) if len(ordered) else np.zeros(len(ids), np.int32)
+        names = np.concatenate([np.zeros(1, np.uint64), coded])
+        if frequent is not None:
+            cell = ids & np.uint64((1 << FILTER_BITS) - 1)
+            other = (out == 0) & ((frequent[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1)
+            more, inverse = np.unique(ids[other], return_inverse=True)
+            out[other] = len(names) + inverse
+            names = np.concatenate([names, more])
+        return out, names
+
+    def windows(ids, pieces, begun, coded, ordered, code, frequent, common):
+        found, names = codes_of(ids, coded, ordered, code, frequent)
+        codes = np.zeros(len(ids) + LONGEST, np.int32)
+        codes[:len(ids)] = found
         link = np.zeros(len(ids) + LONGEST, bool)
-        link[:max(len(ids) - 1, 0)] = known[:-1] & known[1:] & (pieces[:-1] == pieces[1:])
+        link[:max(len(ids) - 1, 0)] = (found[:-1] > 0) & (found[1:] > 0) & (pieces[:-1] == pieces[1:])
         at = np.flatnonzero(link[:begun])
-        names, code = np.unique(ids[known], return_inverse=True)
-        codes = np.zeros(len(ids) + LONGEST, np.int32)
-        codes[:len(ids)][known] = code + 1
-        names = np.concatenate([np.zeros(1, np.uint64), names])
         table, on = [codes[at], codes[at + 1]], np.ones(len(at), bool)
         for j in range(2, LONGEST):
             on = on & link[at + j - 1]
@@ -201,27 +221,34 @@ def _suffixes(texts: DataFrame, frequent: np.ndarray, common: np.ndarray, bucket
         import pyarrow as pa
         import zstandard
 
-        tool = zstandard.ZstdCompressor(level=1)
+        tool = zstandard.ZstdCompressor(level=1, write_content_size=True, write_checksum=False)
         order = np.argsort(bucket, kind="stable")
         ends = np.flatnonzero(np.diff(bucket[order])) + 1
-        keys, blobs = [], []
+        keys, blobs, short = [], [], len(held.value[0])
         for own in np.split(order, ends) if len(order) else []:
-            local, inverse = np.unique(table[own], return_inverse=True)
-            codes = inverse.reshape(-1, LONGEST).T.astype("<u4")
-            raw = b"".join([np.array([len(own), len(local)], "<u4").tobytes(), names[local].astype("<u8").tobytes(),
-                            np.ascontiguousarray(codes).tobytes(), counts[own].astype("<u4").tobytes(), depth[own].tobytes()])
+            codes = table[own]
+            rest = codes > short
+            local = np.empty(0, np.uint64)
+            if rest.any():
+                used, inverse = np.unique(codes[rest], return_inverse=True)
+                codes[rest] = short + 1 + inverse
+                local = names[used]
+            # one plane per byte of a column: the upper ones are nearly empty
+            planes = np.column_stack([codes, counts[own].astype(np.int32)]).astype("<u4").view("u1").reshape(len(own), -1)
+            raw = b"".join([np.array([len(own), len(local)], "<u4").tobytes(), local.astype("<u8").tobytes(),
+                            np.ascontiguousarray(planes.T).tobytes(), depth[own].tobytes()])
             keys.append(int(bucket[own[0]]))
             blobs.append(tool.compress(raw))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
 
     def run(batches: Iterator) -> Iterator:
-        stream, (frequent, common) = _Stream(), held.value
-        for batch in batches:
+        stream, known = _Stream(), held.value
+        for batch in _sliced(batches):
             for parts, own in _blocks(batch.column(0).to_pylist(), binary(batch.column(1))):
                 stream.add(parts, own)
                 if stream.size > FLUSH:
-                    yield packed(*windows(*stream.take(False), frequent, common))
-        yield packed(*windows(*stream.take(True), frequent, common))
+                    yield packed(*windows(*stream.take(False), *known))
+        yield packed(*windows(*stream.take(True), *known))
 
     return texts.mapInArrow(run, "bucket long, packed binary")
 
@@ -259,25 +286,35 @@ def quicksorted(table: np.ndarray, counts: np.ndarray, least: int) -> Iterator[t
                     stack.append((mid, end, depth + 1))
 
 
-def _phrases(packed: DataFrame, least: int) -> DataFrame:
+def _phrases(packed: DataFrame, coded: np.ndarray, least: int) -> DataFrame:
     """Frequent phrases of each bucket as arrays of word ids, ``p, n``; those of common prefixes are parts of counts."""
+    held = packed.sparkSession.sparkContext.broadcast(coded)
 
     def unpacked(blobs: list[bytes]):
         import zstandard
 
-        tool = zstandard.ZstdDecompressor()
-        names, tables, counts, depths = [], [], [], []
+        tool, coded = zstandard.ZstdDecompressor(), held.value
+        tables, counts, depths, extra = [], [], [], []
+        size = 4 * (LONGEST + 1)
         for blob in blobs:
             raw = tool.decompress(blob)
             n, m = np.frombuffer(raw, "<u4", 2).tolist()
-            local = np.frombuffer(raw, "<u8", m, 8)
             at = 8 + 8 * m
-            tables.append(local[np.frombuffer(raw, "<u4", LONGEST * n, at).reshape(LONGEST, n).T])
-            counts.append(np.frombuffer(raw, "<u4", n, at + 20 * n).astype(np.int64))
-            depths.append(np.frombuffer(raw, "u1", n, at + 24 * n))
-            names.append(local)
-        names = np.unique(np.concatenate(names + [np.zeros(1, np.uint64)]))
-        table = np.concatenate([np.searchsorted(names, t).astype(np.int32) for t in tables])
+            numbers = np.ascontiguousarray(np.frombuffer(raw, "u1", size * n, at).reshape(size, n).T).view("<u4")
+            codes = numbers[:, :LONGEST].astype(np.int32)
+            if m:  # names of its own: numbered anew, blob after blob
+                codes[codes > len(coded)] += sum(map(len, extra))
+                extra.append(np.frombuffer(raw, "<u8", m, 8))
+            tables.append(codes)
+            counts.append(numbers[:, LONGEST].astype(np.int64))
+            depths.append(np.frombuffer(raw, "u1", n, at + size * n))
+        table = np.concatenate(tables)
+        names = np.concatenate([np.zeros(1, np.uint64), coded])
+        if extra:
+            more, inverse = np.unique(np.concatenate(extra), return_inverse=True)
+            own = table > len(coded)
+            table[own] = len(names) + inverse[table[own] - len(names)]
+            names = np.concatenate([names, more])
         return names, table, np.concatenate(counts), np.concatenate(depths)
 
     def found(blobs: list[bytes]):
@@ -325,8 +362,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     are ignored. Words are told apart by 64-bit hashes with their language. Two passes read the texts: the first counts
     words and finds prefixes that are common everywhere; the second sends windows of frequent words to buckets by their
     leading words, equal ones of a task as one with a count, and each bucket is sorted just as far as partitions stay
-    frequent. What tasks are sent is of fixed size: a filter of 2**24 bits, which only saves work, and at most
-    three times 65536 common prefixes.
+    frequent. What tasks are sent is bounded: codes of at most 2**18 words, a filter of 2**24 bits for the others, which only
+    saves work, and at most three times 65536 common prefixes.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -336,14 +373,18 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     total = words.agg(F.sum("n").alias("n")).first()["n"] or 0
     common = counted.where("word IS NULL").groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least, total * SHARE)).select("id").collect()
     frequent = words.where(F.col("n") >= least)
-    cell = F.col("id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bits = frequent.groupBy(F.shiftright(cell, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((id & {(1 << FILTER_BITS) - 1}L) & 63L as int))")).alias("bits")).collect()
-    filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    filter_[[r["at"] for r in bits]] = [r["bits"] for r in bits]
+    coded = np.array([r["id"] for r in frequent.orderBy(F.col("n").desc(), "id").limit(CODED).select("id").collect()], np.int64).view(np.uint64)
+    filter_ = None
+    if len(coded) == CODED:
+        cell = F.col("id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+        bits = frequent.groupBy(F.shiftright(cell, 6).alias("at")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(id & 63L as int))")).alias("bits")).collect()
+        filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+        filter_[[r["at"] for r in bits]] = [r["bits"] for r in bits]
+        filter_ = filter_.view(np.uint64)
     buckets = max(64, int(total / BUCKET) + 1)
-    packed = _suffixes(texts, filter_.view(np.uint64), np.array([r["id"] for r in common], np.int64).view(np.uint64), buckets)
-    phrases, _ = store(_phrases(packed, least), "phrases")
+    packed = _suffixes(texts, coded, filter_, np.array([r["id"] for r in common], np.int64).view(np.uint64), buckets)
+    phrases, _ = store(_phrases(packed, coded, least), "phrases")
 
     size = F.size("p")
     inner = phrases.where(size > 2).select("n", F.explode(F.array(
