@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import audit as A
 from tidemark.operators import items as I
 from tidemark.sources import json_walk as W
+from tidemark.sources.json_scan import scan
 from tidemark.sources import jsondocs as J
 from tidemark.sources import pages as P
 from tidemark.sources.requests import build_search_requests
@@ -101,9 +102,9 @@ def test_blobs(spark):
 
 
 def test_scan_of_free_text():
-    assert list(W.scan('a:b:[{"d":1},2] {bad {"x":[1]} tail')) == ['[{"d":1},2]', '{"x":[1]}']
-    assert list(W.scan("{" * 20_001 + "[1,2]")) == ["[1,2]"]
-    assert list(W.scan("[" * 5000)) == []
+    assert list(scan('a:b:[{"d":1},2] {bad {"x":[1]} tail')) == ['[{"d":1},2]', '{"x":[1]}']
+    assert list(scan("{" * 20_001 + "[1,2]")) == ["[1,2]"]
+    assert list(scan("[" * 5000)) == []
 
 
 def test_series_walk():

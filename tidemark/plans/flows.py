@@ -18,7 +18,7 @@ from tidemark.operators.trend import TrendLimits
 from tidemark.schemas import (
     BUYLIST, CARD_HISTORY, CARD_MASTER, CARD_STATUS, INDEX_HISTORY, MARKET_SNAPSHOT, RESOLVE_MAP, TREND, WATCHLIST, Table)
 from tidemark.sources import jsondocs, pages, requests
-from tidemark.sources.tables import dry_run, load_watchlist, read_table, upsert_table, write_snapshot
+from tidemark.sources.tables import dry_run, load_watchlist, month, read_table, stored_months, upsert_table, write_snapshot
 
 
 def _at(root: str, table: Table) -> str:
@@ -104,20 +104,61 @@ def index_points(normal: DataFrame, graded: DataFrame, days: int = V.DAILY_DAYS)
 
 
 def store_index(spark: SparkSession, root: str, records: DataFrame, fetched_at: Column | str) -> bool:
-    """Merge index points (date, index_type, value, seq); differences look back over the stored history.
+    """Merge index points (date, index_type, value, seq); a difference is against the stored day before.
 
-    The stored day after a new one is written again too: its difference is against the new day now.
+    The stored day after a new one is written again too: its difference is against the new day now. Only the months of the
+    new days and the stored months next to them are read, more only while a series' neighbour may lie beyond.
     """
-    old = read_table(spark, _at(root, INDEX_HISTORY), INDEX_HISTORY).join(
-        records.select("index_type").distinct(), "index_type", "left_semi")
-    both = (old.select("index_type", "date", "value", F.lit(0).alias("_new"), F.lit(0).cast("bigint").alias("seq"))
-            .unionByName(records.select("index_type", "date", "value", F.lit(1).alias("_new"), "seq")))
-    diffs = series.index_diff(both, ["index_type"], ["_new", "seq"])
-    days = both.groupBy("index_type", "date").agg(F.max("_new").alias("_new"), F.min(F.when(F.col("_new") == 1, F.col("seq"))).alias("seq"))
-    before = F.lag("_new").over(Window.partitionBy("index_type").orderBy("date"))
-    places = days.withColumn("_before", before).where("_new = 1 OR _before = 1").select(
-        "index_type", "date", F.coalesce("seq", F.lit(0).cast("bigint")).alias("seq"))
-    return _store(spark, root, INDEX_HISTORY, diffs.join(places, ["index_type", "date"]).withColumn("fetched_at", _time(fetched_at)))
+    path = _at(root, INDEX_HISTORY)
+    records = records.persist()
+    try:
+        old = _with_neighbours(spark, path, records)
+        both = (old.select("index_type", "date", "value", F.lit(0).alias("_new"), F.lit(0).cast("bigint").alias("seq"))
+                .unionByName(records.select("index_type", "date", "value", F.lit(1).alias("_new"), "seq")))
+        diffs = series.index_diff(both, ["index_type"], ["_new", "seq"])
+        days = both.groupBy("index_type", "date").agg(F.max("_new").alias("_new"), F.min(F.when(F.col("_new") == 1, F.col("seq"))).alias("seq"))
+        before = F.lag("_new").over(Window.partitionBy("index_type").orderBy("date"))
+        places = days.withColumn("_before", before).where("_new = 1 OR _before = 1").select(
+            "index_type", "date", F.coalesce("seq", F.lit(0).cast("bigint")).alias("seq"))
+        # the first day read of a series may have lost its predecessor; only new days and the days after them are written
+        return _store(spark, root, INDEX_HISTORY, diffs.join(places, ["index_type", "date"]).withColumn("fetched_at", _time(fetched_at)))
+    finally:
+        records.unpersist()
+
+
+def _with_neighbours(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
+    """Stored points of the series of ``records`` in months that hold the neighbours of all their days.
+
+    Months are taken in runs without a stored month left out. Where the first (last) point of a series in a run is a new
+    one, its neighbour may lie before (after) the run, which then grows, twice as far each time.
+    """
+    stored = stored_months(spark, path)
+    new = [r[0] for r in records.select(month("date")).distinct().collect()]
+    wanted = {m for b in new for m in (b, max((x for x in stored if x < b), default=None), min((x for x in stored if x > b), default=None)) if m}
+    kinds, step = records.select("index_type").distinct(), 1
+    while True:
+        order = sorted({*stored, *wanted})
+        run = {m: 0 for m in order}
+        for a, b in zip(order, order[1:]):
+            run[b] = run[a] + (a not in wanted or b not in wanted)
+        old = read_table(spark, path, INDEX_HISTORY, sorted(wanted)).join(kinds, "index_type", "left_semi")
+        runs = spark.createDataFrame([(m, run[m]) for m in sorted(wanted)] or [("", 0)], "month string, run int")
+        points = old.select("index_type", "date", F.lit(0).alias("_new")).unionByName(records.select("index_type", "date", F.lit(1).alias("_new")))
+        ends = points.withColumn("month", month("date")).join(F.broadcast(runs), "month").groupBy("run", "index_type", "date").agg(
+            F.max("_new").alias("_new")).groupBy("run", "index_type").agg(
+            F.min_by("_new", "date").alias("first"), F.max_by("_new", "date").alias("last")).groupBy("run").agg(
+            F.max("first").alias("first"), F.max("last").alias("last")).collect()
+        more: set[str] = set()
+        for r in ends:
+            own = [m for m in order if run[m] == r["run"] and m in wanted]
+            if r["first"]:
+                more |= set([x for x in stored if x < own[0]][-step:])
+            if r["last"]:
+                more |= set([x for x in stored if x > own[-1]][:step])
+        if more <= wanted:
+            return old
+        wanted |= more
+        step *= 2
 
 
 def store_master(spark: SparkSession, root: str, cards: DataFrame, seen_at: Column | str) -> bool:
@@ -174,16 +215,21 @@ def refresh_board(spark: SparkSession, root: str, updated_at: Column | str, limi
         ids = watchlist(spark, root).filter(blank("card_id") != "").select("card_id")
         watched = None if ids.isEmpty() else ids
     board = trend.status_board(card_history(spark, root), limits, watched, _INPUT_ORDER, unique_dates=True, updated_at=_time(updated_at))
-    return _store(spark, root, CARD_STATUS, board.withColumn("seq", F.lit(0).cast("bigint")))
+    return _store(spark, root, CARD_STATUS, board.withColumn("seq", F.monotonically_increasing_id()))
 
 
 def refresh_trends(spark: SparkSession, root: str, as_of: Column | str, fetched_at: Column | str,
                    limits: TrendLimits = TrendLimits()) -> DataFrame:
     """Recompute and store the trends of all scopes; returns the counts per class."""
     index = read_table(spark, _at(root, INDEX_HISTORY), INDEX_HISTORY).withColumnRenamed("_pos", "seq")
-    rows = trend.trend_all_scopes(index, card_history(spark, root), as_of, limits, _INPUT_ORDER, unique_dates=True)
-    _store(spark, root, TREND, rows.withColumn("fetched_at", _time(fetched_at)).withColumn("seq", F.lit(0).cast("bigint")))
-    return trend.trend_summary(rows)
+    rows = trend.trend_all_scopes(index, card_history(spark, root), as_of, limits, _INPUT_ORDER, unique_dates=True).persist()
+    try:
+        upsert_table(spark, _at(root, TREND), rows.withColumn("fetched_at", _time(fetched_at)).withColumn(
+            "seq", F.monotonically_increasing_id()), TREND)
+        counts = trend.trend_summary(rows)
+        return spark.createDataFrame(counts.collect(), counts.schema)  # one row per class
+    finally:
+        rows.unpersist()
 
 
 def report(spark: SparkSession, root: str, query: str, updated_at: Column | str) -> tuple[DataFrame, DataFrame]:

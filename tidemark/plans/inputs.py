@@ -42,6 +42,27 @@ def named_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("card_name", name).withColumn("hinban", F.coalesce("hinban", F.lit(""))).drop("p_name")
 
 
+def daily_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named history with the last row of each card, condition and date."""
+    values = F.struct("price", "trade_count", "card_name", "hinban", "seq")
+    rows = named_history(spark, sf_dir).groupBy("card_id", "condition", "date").agg(F.max_by(values, "seq").alias("v"))
+    return rows.select("card_id", "condition", "date", "v.*")
+
+
+def slow_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index over seven years: mean unit price of a return flag per ship date, in whole units."""
+    return card_history(spark, sf_dir).groupBy(F.col("condition").alias("index_type"), "date").agg(
+        F.expr("sum(price) div count(*)").cast("double").alias("value")).withColumn("seq", F.lit(0).cast("bigint"))
+
+
+def broken_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page a text full of openings that are never closed, around one value."""
+    n = F.expr("cast(500 + page_id % 500 as int)")
+    body = F.concat(F.repeat(F.lit('{"a":'), n), F.lit('[1, {"p": '), F.col("page_id").cast("string"), F.lit("}] tail "),
+                    F.repeat(F.lit('["[{'), n), F.repeat(F.lit("["), n))
+    return table(spark, sf_dir, "pages").select("page_id", body.alias("body"))
+
+
 def index_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as index points: event type per day, mean value in whole cents."""
     return daily_index(table(spark, sf_dir, "events"), ["event_type"]).withColumnRenamed("event_type", "index_type")

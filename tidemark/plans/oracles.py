@@ -227,6 +227,25 @@ ORACLES["upsert_result"] = """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
   arg_max(o_totalprice, o_orderkey) AS total FROM orders GROUP BY 1, 2"""
 ORACLES["stream_upsert"] = f"WITH {INDEX} SELECT index_type, CAST(date AS VARCHAR) AS date, value FROM ix"
 ORACLES["stream_trends"] = ORACLES["trend_index"]
+DAILY_NAMED = f"""{NAMED}, nd AS (
+  SELECT * FROM n WHERE date IS NOT NULL QUALIFY row_number() OVER (PARTITION BY card_id, condition, date ORDER BY seq DESC) = 1)"""
+ORACLES["stream_card_trends"] = f"""WITH {DAILY_NAMED},
+dd AS (SELECT 'card' AS scope, card_id || '|' || condition AS key, date, CAST(price AS DOUBLE) AS price, trade_count FROM nd WHERE price IS NOT NULL),
+lb AS (SELECT card_id, condition, arg_max(card_name, date) FILTER (WHERE card_name <> '') AS card_name,
+         arg_max(hinban, date) FILTER (WHERE hinban <> '') AS hinban FROM nd GROUP BY card_id, condition),
+{metrics('scope, key')},
+lk AS (SELECT 'card' AS scope, card_id || '|' || condition AS key,
+         concat_ws(' ', card_name, '[' || hinban || ']', condition) AS text FROM lb)
+{trends("coalesce(text, key)")} LEFT JOIN lk USING (scope, key)"""
+ORACLES["stream_group_trends"] = f"""WITH {DAILY_NAMED},
+ns AS (SELECT *, split_part(hinban, '/', -1) AS card_set FROM nd),
+{_group('condition', 'condition:', 'nd', '', 'g1')}, {_group('card_set', 'set:', 'ns', '', 'g2')},
+dd AS (SELECT * FROM g1 UNION ALL SELECT * FROM g2), {metrics('scope, key')} {trends()}"""
+ORACLES["store_index"] = f"""WITH {HISTORY},
+ix AS (SELECT condition AS index_type, date, CAST(CAST(sum(price) AS BIGINT) // count(*) AS DOUBLE) AS value FROM h
+       WHERE day(date) <> 17 OR year(date) = 1995 GROUP BY 1, 2),
+w AS (SELECT *, lag(value) OVER (PARTITION BY index_type ORDER BY date) AS pv FROM ix)
+SELECT index_type, CAST(date AS VARCHAR) AS date, value, value - pv AS diff, round((value / nullif(pv, 0) - 1) * 100, 4) AS diff_pct FROM w"""
 
 # --- codes and names -----------------------------------------------------------
 _RESOLVE = f"""rr AS (
@@ -374,6 +393,7 @@ ORACLES["json_series"] = f"""{_NUMBERED} SELECT card_id AS page, 'props.' || {_F
   CAST(date AS VARCHAR) AS date, price, trade_count FROM nb WHERE n_points >= 2"""
 ORACLES["json_series_known_path"] = f"""{_NUMBERED} SELECT card_id AS page, idx, CAST(date AS VARCHAR) AS date, price, trade_count
 FROM nb WHERE condition = 'R'"""
+ORACLES["json_values_broken"] = """SELECT page_id, 0 AS value_no, '[1, {"p": ' || page_id || '}]' AS json FROM pages"""
 ORACLES["json_values"] = """SELECT event_id, 0 AS value_no, props AS json FROM events
 UNION ALL SELECT event_id, 1, '[1]' FROM events"""
 _WIDE = f"""{CARD_DAILY}, wd AS (SELECT card_id, date, max(price) FILTER (WHERE condition = 'R') AS price_01,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as V
 from tidemark.functions import numbers, text, urls
 from tidemark.operators import audit, codes, items, match, merge, series, trend
+from tidemark.plans import flows
 from tidemark.plans import inputs as I
-from tidemark.schemas import INDEX_HISTORY, TREND, Table
+from tidemark.schemas import CARD_HISTORY, INDEX_HISTORY, TREND, Table
 from tidemark.session import scratch_dir
 from tidemark.sources import jsondocs, pages, requests, tables
 from tidemark.streaming import upsert as streams
@@ -284,25 +285,61 @@ def stream_trends(spark, sf):
 
 
 def _run_stream(spark, sf):
-    """events dropped as one file per day, merged some days at a time, trends refreshed on the way."""
+    """events at random over files, merged some files at a time: each day comes in many batches; trends refreshed on the way."""
     root = scratch_dir(spark, "stream")
     dropped, history, trends = f"{root}/dropped", f"{root}/index_history", f"{root}/trend"
-    events = I.table(spark, sf, "events").select("ts", "event_type", "value", F.col("ts").cast("date").alias("day"))
-    events.repartition("day").write.partitionBy("day").parquet(dropped)
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 16).parquet(dropped))
-
-    def to_batch(df):
-        daily = I.daily_index(df, ["event_type"])
-        return daily.select("date", F.col("event_type").alias("index_type"), F.col("value").cast("double").alias("value"),
-                            F.lit(None).cast("timestamp").alias("fetched_at"), "seq")
+    points = I.table(spark, sf, "events").select(
+        F.col("ts").cast("date").alias("date"), F.col("event_type").alias("index_type"),
+        F.round(F.col("value") * 100).cast("bigint").alias("amount"))
+    points.repartition(24, F.rand(7)).write.parquet(dropped)
+    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 8).parquet(dropped)
 
     def after(batch):
         streams.refresh_index_trends(spark, history, trends, batch, AS_OF)
 
-    streams.stream_upsert(stream, history, INDEX_HISTORY, f"{root}/checkpoint", to_batch, after).awaitTermination()
+    streams.stream_daily_means(stream, f"{root}/state", history, f"{root}/checkpoint", after).awaitTermination()
     return tables.read_table(spark, history, INDEX_HISTORY), tables.read_table(spark, trends, TREND)
 
 
+def _run_card_stream(spark, sf, refresh):
+    """Daily card rows at random over files, merged some files at a time; ``refresh`` keeps trends, whose last rows are returned."""
+    root = scratch_dir(spark, "cards")
+    dropped, history, trends = f"{root}/dropped", f"{root}/card_history", f"{root}/trend"
+    rows = I.daily_named(spark, sf).select("date", "card_id", "card_name", "hinban", "condition", "price", "trade_count", "seq")
+    rows.repartition(12, F.rand(7)).write.parquet(dropped)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 6).parquet(dropped)
+    streams.stream_upsert(stream, history, CARD_HISTORY, f"{root}/checkpoint",
+                          after=lambda batch: refresh(root, history, trends, batch)).awaitTermination()
+    stored = tables.read_table(spark, trends, TREND)
+    last = series.latest_per_key(stored, SCOPE_KEYS, ["date"], [c for c in stored.columns if c not in SCOPE_KEYS])
+    return shown_trends(last)
+
+
+@query
+def stream_card_trends(spark, sf):
+    """Trend rows of card series, refreshed batch by batch for the cards that a batch touched."""
+    return _run_card_stream(spark, sf, lambda root, history, trends, batch: streams.refresh_card_trends(
+        spark, history, trends, batch, AS_OF))
+
+
+@query
+def stream_group_trends(spark, sf):
+    """Trend rows of condition and set groups, refreshed batch by batch for the days that a batch touched."""
+    return _run_card_stream(spark, sf, lambda root, history, trends, batch: streams.refresh_group_trends(
+        spark, history, f"{root}/groups", trends, batch, AS_OF))
+
+
+@query
+def store_index(spark, sf):
+    """Index points stored in two loads; the second brings days of 1995 late, between stored ones."""
+    root, points = scratch_dir(spark, "index"), I.slow_index(spark, sf)
+    late = F.dayofmonth("date") == 17
+    for rows in (points.filter(~late), points.filter(late & (F.year("date") == 1995))):
+        flows.store_index(spark, root, rows, "2026-10-10 15:00:01")
+    return tables.read_table(spark, f"{root}/index_history", INDEX_HISTORY).select(
+        "index_type", I.day("date"), "value", "diff", r4("diff_pct"))
+
+
 # --- items and audits -------------------------------------------------------
 @query
 def dedup_items(spark, sf):
@@ -607,6 +644,12 @@ def json_values(spark, sf):
     return jsondocs.scan_json_values(d, "body", ["event_id"])
 
 
+@query
+def json_values_broken(spark, sf):
+    """The one value in texts with thousands of openings that are never closed."""
+    return jsondocs.scan_json_values(I.broken_json(spark, sf), "body", ["page_id"])
+
+
 @query
 def chart_rows(spark, sf):
     return jsondocs.extract_chart_rows(I.chart_docs(spark, sf), ["page"]).select(

@@ -41,6 +41,17 @@ INDEX_HISTORY = Table("index_history", _struct(
     ("diff_pct", _D), ("fetched_at", _TS)),
     key=("date", "index_type"), dated_by="date")
 
+#: Additive state of a day's mean: what earlier batches gave, and what the last one gave.
+INDEX_STATE = Table("index_state", _struct(
+    ("date", _DATE), ("index_type", _S), ("base_total", _L), ("base_points", _L),
+    ("last_batch", _L), ("last_total", _L), ("last_points", _L)),
+    key=("date", "index_type"), dated_by="date")
+
+#: Group series of the card history, a row per group and day.
+GROUP_HISTORY = Table("group_history", _struct(
+    ("date", _DATE), ("scope", _S), ("key", _S), ("price", _D), ("trade_count", _L)),
+    key=("date", "scope", "key"), dated_by="date")
+
 CARD_HISTORY = Table("card_history", _struct(
     ("date", _DATE), ("card_id", _S), ("card_name", _S), ("hinban", _S),
     ("condition", _S), ("price", _L), ("trade_count", _L),
@@ -71,5 +82,5 @@ TREND = Table("trend", _struct(
     key=("date", "scope", "key"), dated_by="date")
 
 TABLES = {t.name: t for t in (
-    BUYLIST, RESOLVE_MAP, MARKET_SNAPSHOT, INDEX_HISTORY, CARD_HISTORY,
+    BUYLIST, RESOLVE_MAP, MARKET_SNAPSHOT, INDEX_HISTORY, INDEX_STATE, CARD_HISTORY, GROUP_HISTORY,
     CARD_MASTER, WATCHLIST, CARD_STATUS, TREND)}

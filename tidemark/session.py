@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
@@ -61,6 +62,18 @@ def materialized(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def written(df: DataFrame, purpose: str):
+    """``df`` in the shared scratch folder while the block runs: it stands whatever becomes of the tables it was made from."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: tasks import its walkers."""
     context = spark.sparkContext

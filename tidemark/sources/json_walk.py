@@ -14,8 +14,6 @@ from tidemark import fixed_values as V
 
 _ZONE = ZoneInfo(V.ZONE)
 _FULL_DATE = re.compile(V.FULL_DATE_PATTERN)
-_DECODER = json.JSONDecoder()
-_OPENING = re.compile(r"[\[{]")
 
 
 def load(text: str):
@@ -35,19 +33,6 @@ def readable(text: str) -> bool:
     return True
 
 
-def scan(text: str) -> Iterator[str]:
-    """Outermost JSON values inside free text, leftmost first, as text."""
-    at = _OPENING.search(text)
-    while at:
-        start = at.start()
-        try:
-            _, end = _DECODER.raw_decode(text, start)
-            yield text[start:end]
-        except (ValueError, RecursionError):
-            end = start + 1
-        at = _OPENING.search(text, end)
-
-
 @functools.lru_cache(4096)  # documents repeat few names
 def _plain(key: str) -> str:
     return re.sub(r"[_\-\s]", "", key).lower()

@@ -14,6 +14,7 @@ from tidemark.functions.text import blank, extract_code, guess_condition, strip
 from tidemark.operators.items import first_per_key
 from tidemark.operators.series import mark_imputed
 from tidemark.sources import json_walk
+from tidemark.sources.json_scan import scan
 from tidemark.sources.rowwise import expand_text
 
 _SCRIPT = "(?s)" + V.JSON_SCRIPT_PATTERN
@@ -27,9 +28,9 @@ def _fields(*pairs) -> T.StructType:
 
 
 def scan_json_values(texts: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
-    """JSON values found inside free text: keys, value_no, json."""
+    """Outermost JSON values found inside free text: keys, value_no, json. The work is linear in the text."""
     out = _fields(("value_no", _L), ("json", _S))
-    return expand_text(texts, text, keys, out, lambda s: enumerate(json_walk.scan(s)))
+    return expand_text(texts, text, keys, out, lambda s: enumerate(scan(s)))
 
 
 def extract_json_blobs(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:

@@ -3,12 +3,16 @@
 A write never overwrites what it reads. The new data is completed in a staging folder
 next to the table and then moved in, partition by partition for dated tables. If the
 driver dies in between, the next call finishes the move from the staging folder, and
-since the merge is idempotent a repeated batch does no harm. One writer per table.
+since the merge is idempotent a repeated batch does no harm. A read takes what is complete
+in the staging folder before what it replaces, so at no moment of a move is a table empty
+or half old. One writer per table.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,22 +114,60 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
                      *[c for c in df.columns if c == "_pos"])
 
 
-def _read(spark: SparkSession, path: str, table: Table, months: list[str] | None = None) -> DataFrame:
-    if not path_exists(spark, path):
+def _months_in(spark: SparkSession, path: str) -> list[str]:
+    """Months that a dated table's folder holds, by its listing."""
+    fs, p = _fs(spark, path)
+    head = PARTITION + "="
+    names = [status.getPath().getName() for status in fs.listStatus(p) if status.isDirectory()] if fs.exists(p) else []
+    return sorted(n[len(head):] for n in names if n.startswith(head))
+
+
+def _sources(spark: SparkSession, path: str) -> tuple[T.StructType | None, list[tuple[str, list[str] | None]]]:
+    """The table's columns and the folders it is in just now, with the months to take from each (None: not dated).
+
+    A staging folder counts once its header, written last, is there; what it holds is newer than the table's.
+    """
+    staged = _staging(path)
+    complete = path_exists(spark, f"{staged}/_SUCCESS") and path_exists(spark, f"{staged}/{HEADER}")
+    header = _read_header(spark, staged) if complete else _read_header(spark, path)
+    if complete and PARTITION not in header.names:
+        return header, [(staged, None)]
+    if not path_exists(spark, path) and not complete:
+        return None, []
+    if header is not None and PARTITION not in header.names:
+        return header, [(path, None)]
+    newer = _months_in(spark, staged) if complete else []
+    older = [m for m in _months_in(spark, path) if m not in newer]
+    return header, [(folder, months) for folder, months in ((path, older), (staged, newer)) if months]
+
+
+def stored_months(spark: SparkSession, path: str) -> list[str]:
+    """Months of a dated table, in order."""
+    return sorted(m for _, months in _sources(spark, path)[1] for m in months or ())
+
+
+def _read(spark: SparkSession, path: str, table: Table, months: Sequence[str] | None = None) -> DataFrame:
+    header, folders = _sources(spark, path)
+    if not folders:
         return spark.createDataFrame([], T.StructType([*table.schema.fields, T.StructField("_pos", T.LongType())]))
-    header = _read_header(spark, path)
     reader = spark.read if header is None else spark.read.schema(header)
-    stored = reader.parquet(path)
-    if PARTITION in stored.columns:
-        if months is not None:
-            stored = stored.filter(F.col(PARTITION).isin(months))
-        stored = stored.drop(PARTITION)
-    return align(stored, table.schema)
+    parts = []
+    for folder, held in folders:
+        stored = reader.parquet(folder)
+        if held is not None:
+            if months is not None or len(folders) > 1:
+                stored = stored.filter(F.col(PARTITION).isin([m for m in held if months is None or m in months]))
+            stored = stored.drop(PARTITION)
+        parts.append(align(stored, table.schema))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
-def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """A stored table by header name, or an empty one with its schema if nothing was written yet."""
-    return _read(spark, path, table)
+def read_table(spark: SparkSession, path: str, table: Table, months: Sequence[str] | None = None) -> DataFrame:
+    """A stored table by header name, or an empty one with its schema if nothing was written yet.
+
+    ``months`` (yyyy-MM) of a dated table reads those partitions only.
+    """
+    return _read(spark, path, table, months)
 
 
 def load_watchlist(spark: SparkSession, stored: DataFrame, seed_path: str | None = None) -> DataFrame:
@@ -159,7 +201,8 @@ def write_snapshot(df: DataFrame, path: str, stamp_column: str, load_time: Colum
     return True
 
 
-def _month(column: str) -> Column:
+def month(column: str | Column) -> Column:
+    """Partition of a date."""
     return F.coalesce(F.date_format(column, "yyyy-MM"), F.lit("none"))
 
 
@@ -176,11 +219,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, table: Table,
         merged = plan_upsert(_read(spark, path, table), batch, table.key, seq).drop("_action")
     else:
         # one value per month of dates: small whatever the size of the batch
-        months = [r[0] for r in batch.select(_month(table.dated_by)).distinct().collect()]
+        months = [r[0] for r in batch.select(month(table.dated_by)).distinct().collect()]
         if not months:
             return False
         merged = (plan_upsert(_read(spark, path, table, months), batch, table.key, seq).drop("_action")
-                  .withColumn(PARTITION, _month(table.dated_by)))
+                  .withColumn(PARTITION, month(table.dated_by)))
     _stage(spark, merged, path)
     finish_move(spark, path)
     return True

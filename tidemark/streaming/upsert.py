@@ -14,9 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.text import blank
 from tidemark.operators.series import carried, series_metrics
-from tidemark.operators.trend import TrendLimits, card_label, trend_rows
-from tidemark.schemas import CARD_HISTORY, INDEX_HISTORY, TREND, Table
-from tidemark.sources.tables import read_table, upsert_table
+from tidemark.operators.trend import TrendLimits, card_label, group_scopes, trend_rows
+from tidemark.schemas import CARD_HISTORY, GROUP_HISTORY, INDEX_HISTORY, INDEX_STATE, TREND, Table
+from tidemark.session import written
+from tidemark.sources.tables import finish_move, month, read_table, upsert_table
 
 
 def stream_upsert(stream: DataFrame, path: str, table: Table, checkpoint: str,
@@ -40,6 +41,59 @@ def stream_upsert(stream: DataFrame, path: str, table: Table, checkpoint: str,
             .trigger(availableNow=True).start())
 
 
+def add_batch(state: DataFrame, partial: DataFrame, batch_id: int) -> DataFrame:
+    """State rows (``INDEX_STATE``) of the keys of a batch, after it.
+
+    ``partial``: date, index_type, total, points of the batch alone. What the last batch gave is kept apart from what all
+    earlier ones gave, so a batch that is applied twice replaces its own part and adds nothing.
+    """
+    keys = ["date", "index_type"]
+    again = F.col("last_batch") == batch_id
+    zero = F.lit(0).cast("bigint")
+    earlier = lambda base, last: F.coalesce(F.when(again, F.col(base)).otherwise(F.col(base) + F.col(last)), zero)
+    return partial.join(state.select(*INDEX_STATE.schema.names), keys, "left").select(
+        *keys, earlier("base_total", "last_total").alias("base_total"), earlier("base_points", "last_points").alias("base_points"),
+        F.lit(batch_id).cast("bigint").alias("last_batch"), F.col("total").alias("last_total"), F.col("points").alias("last_points"))
+
+
+def daily_means(state: DataFrame) -> DataFrame:
+    """Mean of each key and day of a state, in whole units."""
+    return state.select("date", "index_type", F.expr(
+        "(base_total + last_total) div (base_points + last_points)").cast("double").alias("value"))
+
+
+def stream_daily_means(stream: DataFrame, state_path: str, history_path: str, checkpoint: str,
+                       after: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+    """Keep the index history of a stream of raw points ``date, index_type, amount`` (whole units) and stop when all is read.
+
+    A day's points may come in any number of files and batches, in any order. Each batch reads and rewrites only the
+    months it touches; ``after`` gets the history rows that it changed.
+    """
+
+    def merge(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        partial = df.filter(F.col("date").isNotNull() & F.col("amount").isNotNull()).groupBy("date", "index_type").agg(
+            F.sum("amount").alias("total"), F.count("*").alias("points")).persist()
+        try:
+            months = [r[0] for r in partial.select(month("date")).distinct().collect()]
+            if not months:
+                return
+            finish_move(spark, state_path)
+            added = add_batch(read_table(spark, state_path, INDEX_STATE, months), partial, batch_id)
+            with written(added.withColumn("seq", F.monotonically_increasing_id()), "state") as state:
+                upsert_table(spark, state_path, state, INDEX_STATE)
+                rows = daily_means(state).withColumn("fetched_at", F.lit(None).cast("timestamp")).withColumn(
+                    "seq", F.monotonically_increasing_id())
+                upsert_table(spark, history_path, rows, INDEX_HISTORY)
+                if after is not None:
+                    after(rows)
+        finally:
+            partial.unpersist()
+
+    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def refresh_index_trends(spark: SparkSession, history_path: str, trend_path: str, batch: DataFrame,
                          as_of: Column | str, limits: TrendLimits = TrendLimits()) -> None:
     """Recompute the trend rows of the index types a batch touched, and no others."""
@@ -67,12 +121,38 @@ def refresh_card_trends(spark: SparkSession, history_path: str, trend_path: str,
     _merge_trends(spark, points, trend_path, as_of, limits, labels)
 
 
+def refresh_group_trends(spark: SparkSession, history_path: str, group_path: str, trend_path: str, batch: DataFrame,
+                         as_of: Column | str, limits: TrendLimits = TrendLimits()) -> None:
+    """Renew the group series on the days a batch touched, and the trend rows of the groups that changed.
+
+    Only those days are aggregated again, from their months of the card history, so the result does not depend on how often a
+    batch is applied. A group that has left a day keeps it without a price. Trends read the group series, which is small.
+    """
+    days = batch.select("date").filter(F.col("date").isNotNull()).distinct()
+    months = [r[0] for r in days.select(month("date")).distinct().collect()]
+    if not months:
+        return
+    cards = read_table(spark, history_path, CARD_HISTORY, months).filter(blank("card_id") != "")
+    fresh = group_scopes(cards.join(days, "date", "left_semi"))
+    keys = ["date", "scope", "key"]
+    stored = read_table(spark, group_path, GROUP_HISTORY, months).join(days, "date", "left_semi")
+    gone = stored.select(*keys).join(fresh.select(*keys), keys, "left_anti").select(
+        *keys, F.lit(None).cast("double").alias("price"), F.lit(None).cast("bigint").alias("trade_count"))
+    rows = fresh.select(*keys, "price", "trade_count").unionByName(gone).withColumn("seq", F.monotonically_increasing_id())
+    with written(rows, "groups") as changed:
+        upsert_table(spark, group_path, changed, GROUP_HISTORY)
+        touched = changed.select("scope", "key").distinct()
+        points = read_table(spark, group_path, GROUP_HISTORY).filter(F.col("price").isNotNull()).join(
+            touched, ["scope", "key"], "left_semi").select("scope", "key", "date", "price", "trade_count")
+        _merge_trends(spark, points, trend_path, as_of, limits)
+
+
 def _merge_trends(spark, points, trend_path, as_of, limits, labels=None) -> None:
     # the history is keyed by date, so the metrics need a single shuffle
     metrics = series_metrics(points, ["scope", "key"], unique_dates=True)
     if labels is not None:
         metrics = metrics.join(labels, ["scope", "key"], "left")
-    rows = trend_rows(metrics, as_of, limits, F.current_timestamp()).withColumn("seq", F.lit(0).cast("bigint"))
+    rows = trend_rows(metrics, as_of, limits, F.current_timestamp()).withColumn("seq", F.monotonically_increasing_id())
     rows = rows.persist()  # the merge looks at its batch more than once
     try:
         upsert_table(spark, trend_path, rows, TREND)
