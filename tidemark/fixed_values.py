@@ -68,6 +68,13 @@ PRODUCT_URL_PATTERNS = [
     r"/products/\d+",
     r"/trading-cards/[a-z0-9\-]+/\d+",
 ]
+#: Where result pages may show a product link, best first: part of the class of an element around it (or none), part of its href (or none).
+PRODUCT_LINK_SELECTORS = [
+    ("", "/trading-cards/"),
+    ("", "/products/"),
+    ("searchResult", ""),
+    ("product", ""),
+]
 CARD_LINK_TESTS = [r"/card/", r"/cards/"]
 CARD_LIST_CLASS = "cardList"
 PRODUCT_NUMBER_CLASSES = {

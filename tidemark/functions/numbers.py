@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,16 +101,43 @@ def pct_change(new: Column | str, old: Column | str) -> Column:
     return (F.try_divide(col(new).cast("double"), col(old).cast("double")) - 1.0) * 100.0
 
 
+def rounded_texts(values: np.ndarray, digits: int) -> np.ndarray:
+    """Texts of doubles rounded to ``digits`` places, half to even on the exact binary value; blank where not finite.
+
+    The product with the power of ten is taken without error as a sum of two doubles, so ties are seen as they are.
+    """
+    finite = np.isfinite(values)
+    v = np.where(finite, values, 0.0)
+    scale = 10.0 ** digits
+    with np.errstate(over="ignore", invalid="ignore"):
+        high = v * scale
+        split = lambda x: (lambda c: c - (c - x))(134217729.0 * x)
+        v1, s1 = split(v), split(np.float64(scale))
+        v2, s2 = v - v1, scale - s1
+        low = ((v1 * s1 - high) + v1 * s2 + v2 * s1) + v2 * s2
+        whole = np.floor(high)
+        over = (high - whole) - 0.5
+        odd = np.mod(whole, 2.0) == 1.0
+        up = (over > 0) | ((over == 0) & ((low > 0) | ((low == 0) & odd)))
+        near = np.copysign((whole + up) / scale, v)
+    # beyond 2**50 units a double has no places left to round, or so few that it is read by itself
+    large = ~(np.abs(v) < 2.0 ** 50 / scale) | ((v != 0) & (np.abs(v) < 1e-280))
+    out = near.astype(str).astype(object)
+    for i in np.flatnonzero(large & finite):
+        out[i] = str(round(float(v[i]), digits))
+    out[~finite] = ""
+    return out
+
+
 def fmt(c: Column | str, digits: int = 2) -> Column:
     """Export text of a double: half-even on the exact binary value, blank for null, NaN, Inf.
 
     Spark's own rounding works on the decimal text of a double (2.675 -> 2.68), so
-    this one step runs in an Arrow UDF. It belongs at export: one row per series.
+    this one step runs in an Arrow UDF, on whole columns. It belongs at export: one row per series.
     """
 
     @F.pandas_udf("string")
     def _fmt(values: pd.Series) -> pd.Series:
-        limit = float("inf")
-        return values.map(lambda v: str(round(float(v), digits)) if -limit < v < limit else "").astype(str)
+        return pd.Series(rounded_texts(values.to_numpy(dtype=float, na_value=float("nan")), digits))
 
     return _fmt(col(c).cast("double"))

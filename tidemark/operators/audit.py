@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from urllib.robotparser import RobotFileParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from tidemark import fixed_values as V
 from tidemark.functions.text import blank
 from tidemark.functions.urls import host_of, path_of
+from tidemark.session import ship_package
 from tidemark.sources.rowwise import expand_text
 
 
@@ -84,6 +87,50 @@ def json_shape_profile(docs: DataFrame, json: str, shown: int | None = None) ->
             .agg(F.count("*").alias("documents")))
 
 
+def _cut(structure: str | None, depth: int) -> str | None:
+    """A structure with the types inside ``depth`` brackets, and all below them, as dots."""
+    out, level = [], 0
+    for piece in re.split("([<>])", structure or ""):
+        level -= piece == ">"
+        if level < depth:
+            out.append(piece)
+        elif level == depth and piece not in "<>":
+            out.append(re.sub(r"(^|: )[A-Z]+(?:\([0-9,]*\))?", r"\1...", piece))
+        level += piece == "<"
+    return None if structure is None else "".join(out)
+
+
+def json_structure(c: Column | str) -> Column:
+    """Whole nested structure of a JSON text, to any depth; null for bad JSON."""
+    return F.schema_of_variant(F.try_parse_json(F.col(c) if isinstance(c, str) else c))
+
+
+def json_structure_profile(docs: DataFrame, json: str, depth: int | None = None) -> DataFrame:
+    """Documents per nested structure: structure, documents. ``depth`` shows deeper parts as dots.
+
+    Documents are counted by their whole structure first, so only distinct structures are cut.
+    """
+    counted = docs.select(json_structure(json).alias("structure")).groupBy("structure").agg(F.count("*").alias("documents"))
+    if depth is None:
+        return counted
+    ship_package(docs.sparkSession)
+
+    @F.pandas_udf("string")
+    def shorter(structures: pd.Series) -> pd.Series:
+        return structures.map(lambda s: _cut(s, depth))
+
+    return counted.select(shorter("structure").alias("structure"), "documents").groupBy("structure").agg(F.sum("documents").alias("documents"))
+
+
+def json_common_structure(docs: DataFrame, json: str, by: Sequence[str] = ()) -> DataFrame:
+    """The structure that holds all documents of a group, merged before the shuffle: by, structure, documents.
+
+    Where documents disagree the merged structure says VARIANT.
+    """
+    parsed = docs.select(*by, F.try_parse_json(json).alias("_v"))
+    return parsed.groupBy(*by).agg(F.schema_of_variant_agg("_v").alias("structure"), F.count("_v").alias("documents"))
+
+
 _RULES = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("allow", T.BooleanType())]))
 
 

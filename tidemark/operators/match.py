@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
@@ -45,8 +45,10 @@ def substring_join(queries: DataFrame, texts: DataFrame, by: Sequence[str] = ())
     by = list(by)
     queries = queries.filter(F.col("q") != "").select(*by, "q").distinct()
     texts = texts.filter(F.col("text") != "").select(*by, "text").distinct()
+    # grams carry the number of a text, not the text: what is exchanged grows with the length of texts, not its square
+    numbered = texts.withColumn("_tid", F.xxhash64(*by, "text"))
     sizes = [_grams(F.col("text"), size) for size in range(1, GRAM + 1)]
-    text_grams = texts.select(*by, "text", F.explode(F.array_distinct(F.concat(*sizes))).alias("gram"))
+    text_grams = numbered.select(*by, "_tid", F.explode(F.array_distinct(F.concat(*sizes))).alias("gram"))
     by_size = F.lit(None).cast("array<string>")
     for size in range(1, GRAM + 1):
         at_size = (F.length("q") >= size) if size == GRAM else (F.length("q") == size)
@@ -56,7 +58,9 @@ def substring_join(queries: DataFrame, texts: DataFrame, by: Sequence[str] = ())
     spread = text_grams.join(wanted, [*by, "gram"], "left_semi").groupBy(*by, "gram").count()
     rarest = (query_grams.join(spread, [*by, "gram"], "left").groupBy(*by, "q")
               .agg(F.min_by("gram", F.struct(F.coalesce("count", F.lit(0)), "gram")).alias("gram")))
-    return (text_grams.join(rarest, [*by, "gram"])
+    # equal numbers of different texts only bring a text along that is tested like the others
+    held = text_grams.join(rarest, [*by, "gram"]).select(*by, "_tid", "q").distinct()
+    return (held.join(numbered, [*by, "_tid"])
             .filter(F.contains(F.col("text"), F.col("q"))).select(*by, "q", "text"))
 
 
@@ -153,12 +157,34 @@ def match_cards(queries: DataFrame, cards: DataFrame) -> DataFrame:
 
 def top_matches(hits: DataFrame, n: int) -> DataFrame:
     """The first ``n`` hits per query; the limit is applied in every task before the shuffle."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("query").orderBy(F.col("score").desc(), blank("card_name"), "seq")
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def best_matches(queries: DataFrame, cards: DataFrame, n: int) -> DataFrame:
+    """``top_matches`` of ``match_cards`` without forming all hits.
+
+    Each card group has a card before all cards of the groups after it, and all cards of a higher score come first. So
+    per query only its first ``n`` groups count, and of each no more cards than places are left.
+    """
+    q, c = _prepared_queries(queries), _prepared_cards(cards)
+    hits = _text_hits(q, _card_groups(c)).select("query", "_q", "_qslug", "_code", "_name", "_score", "_cards", "_first")
+    inside = Window.partitionBy("query").orderBy(F.col("_score").desc(), "_first")
+    first = hits.withColumn("_place", F.row_number().over(inside)).filter(F.col("_place") <= n)
+    score = Window.partitionBy("query").orderBy(F.col("_score").desc())
+    higher = F.coalesce(F.sum("_cards").over(score.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+                        - F.sum("_cards").over(Window.partitionBy("query", "_score")), F.lit(0))
+    same = F.row_number().over(Window.partitionBy("query", "_score").orderBy("_place")) - 1
+    open_groups = first.withColumn("_left", F.lit(n) - higher - same).filter(F.col("_left") > 0).drop("_cards", "_first")
+    in_group = Window.partitionBy("_code", "_name").orderBy(blank("card_name"), "seq")
+    leading = c.withColumn("_turn", F.row_number().over(in_group)).filter(F.col("_turn") <= n)
+    by_text = open_groups.join(leading, ["_code", "_name"]).filter((F.col("_turn") <= F.col("_left")) & ~_is_id_hit())
+    columns = ["query", "_score", "card_id", "card_name", "hinban", "url", "seq"]
+    by_id = _id_hits(q, c).withColumn("_score", F.lit(100))
+    found = by_id.select(*columns).unionByName(by_text.select(*columns)).withColumnRenamed("_score", "score")
+    return top_matches(found, n)
+
+
 def resolve_watchlist(watch: DataFrame, master: DataFrame) -> DataFrame:
     """Fill card_id and url of watch rows from the catalogue; rows with an id stay as they are.
 
@@ -241,8 +267,7 @@ def known_cards(history: DataFrame) -> DataFrame:
 def report_hits(history: DataFrame, query: str, hits: int = V.REPORT_HITS) -> DataFrame:
     """The first few cards of a history that a query names."""
     queries = history.sparkSession.createDataFrame([(query,)], "query string")
-    return (match_cards(queries, known_cards(history))
-            .orderBy(F.col("score").desc(), blank("card_name"), "seq").limit(hits))
+    return best_matches(queries, known_cards(history), hits).orderBy("rank").drop("rank")
 
 
 def card_report(history: DataFrame, query: str, hits: int = V.REPORT_HITS, show_days: int = V.SHOW_DAYS,

@@ -55,6 +55,28 @@ def slow_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("sum(price) div count(*)").cast("double").alias("value")).withColumn("seq", F.lit(0).cast("bigint"))
 
 
+def nested_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of two kinds; every third has a text where the others have a number, four levels down."""
+    size, brand = F.col("p_size").cast("string"), F.concat(F.lit('"'), "p_brand", F.lit('"'))
+    deep = F.when(F.col("p_partkey") % 3 == 0, brand).otherwise(size)
+    json = F.concat(F.lit('{"a":{"b":[{"c":{"d":'), deep, F.lit('}}]},"n":'), size, F.lit("}"))
+    return table(spark, sf_dir, "part").select((F.col("p_partkey") % 2).alias("kind"), json.alias("json"))
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search result pages of four kinds before the page's own html: links promoted in the head, in lists, or nowhere."""
+    number = F.col("page_id").cast("string")
+    about, new = '<p><a href="/trading-cards/about">About</a></p>', '<p><a href="/products/new">New</a></p>'
+    kinds = [
+        F.concat(F.lit(about + new + '<div class="searchResultBox"><p><a href="/x/1">-</a><a href="/trading-cards/7">-</a></p></div>'
+                       '<b class="my-product"><a href="/products/'), number, F.lit('">-</a></b>')),
+        F.concat(F.lit(about + '<a href="/products/'), number, F.lit('">-</a>')),
+        F.concat(F.lit('<a href="/products/5">-</a><a href="/trading-cards/'), number, F.lit('">-</a>')),
+        F.concat(F.lit(about + new + '<i><a href="/trading-cards/a-b/'), number, F.lit('">-</a></i>'))]
+    kind = F.get(F.array(*kinds), (F.col("page_id") % 4).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(kind, "html").alias("html"))
+
+
 def broken_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page a text full of openings that are never closed, around one value."""
     n = F.expr("cast(500 + page_id % 500 as int)")

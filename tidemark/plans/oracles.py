@@ -362,6 +362,14 @@ ORACLES["robots_filter"] = f"""SELECT page_id, url, CASE WHEN regexp_matches({_H
 _LINKS = """a AS (SELECT page_id, replace(unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)), '&amp;', '&') AS href,
   unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS shown,
   unnest(range(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)))) AS pos FROM pages)"""
+_NESTED = "nested AS (SELECT p_partkey % 2 AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END AS deep FROM part)"
+ORACLES["json_structure"] = f"""WITH {_NESTED} SELECT 'OBJECT<a: OBJECT<b: ARRAY<OBJECT<c: OBJECT<d: ' || deep || '>>>>, n: BIGINT>' AS structure,
+  count(*) AS documents FROM nested GROUP BY deep"""
+ORACLES["json_structure_cut"] = "SELECT 'OBJECT<a: OBJECT<b: ...>, n: BIGINT>' AS structure, count(*) AS documents FROM part"
+ORACLES["json_common_structure"] = f"""WITH {_NESTED} SELECT kind, 'OBJECT<a: OBJECT<b: ARRAY<OBJECT<c: OBJECT<d: '
+  || CASE WHEN count(DISTINCT deep) > 1 THEN 'VARIANT' ELSE max(deep) END || '>>>>, n: BIGINT>' AS structure, count(*) AS documents FROM nested GROUP BY kind"""
+ORACLES["extract_links_selected"] = """SELECT page_id, 'https://shop.example' || CASE page_id % 4 WHEN 0 THEN '/products/' || page_id
+  WHEN 1 THEN '/products/' || page_id WHEN 2 THEN '/trading-cards/' || page_id ELSE '/trading-cards/a-b/' || page_id END AS link FROM pages"""
 ORACLES["extract_links"] = f"""WITH {_LINKS}, f AS (SELECT page_id, arg_min(href, pos) AS href FROM a
   WHERE regexp_matches(href, '^/[a-z]+$') GROUP BY 1)
 SELECT page_id, 'https://shop.example' || href AS link FROM pages LEFT JOIN f USING (page_id)"""

@@ -393,6 +393,23 @@ def json_shape(spark, sf):
     return audit.json_shape_profile(I.table(spark, sf, "events"), "props")
 
 
+@query
+def json_structure(spark, sf):
+    """Whole nested structures of documents that differ four levels down."""
+    return audit.json_structure_profile(I.nested_docs(spark, sf), "json")
+
+
+@query
+def json_structure_cut(spark, sf):
+    return audit.json_structure_profile(I.nested_docs(spark, sf), "json", depth=2)
+
+
+@query
+def json_common_structure(spark, sf):
+    """One structure per document kind that holds all of its documents."""
+    return audit.json_common_structure(I.nested_docs(spark, sf), "json", ["kind"])
+
+
 @query
 def robots_filter(spark, sf):
     rules = audit.robots_rules(I.robots_files(spark, sf), "tidemark")
@@ -409,8 +426,8 @@ def match_cards(spark, sf):
 
 @query
 def top_matches(spark, sf):
-    hits = match.match_cards(I.match_queries(spark, sf), I.catalogue(spark, sf))
-    return match.top_matches(hits, V.REPORT_HITS).select("query", "rank", "score", "card_id")
+    hits = match.best_matches(I.match_queries(spark, sf), I.catalogue(spark, sf), V.REPORT_HITS)
+    return hits.select("query", "rank", "score", "card_id")
 
 
 @query
@@ -602,6 +619,12 @@ def extract_links(spark, sf):
     return pages.extract_links(I.table(spark, sf, "pages"), PAGE_LINKS[1:], SHOP, page="page_id")
 
 
+@query
+def extract_links_selected(spark, sf):
+    """One product link per result page: selectors in their order, each by its first element, then any link."""
+    return pages.extract_selected_links(I.result_pages(spark, sf), V.PRODUCT_LINK_SELECTORS, V.PRODUCT_URL_PATTERNS, SHOP, page="page_id")
+
+
 @query
 def extract_catalog(spark, sf):
     return pages.extract_catalog(I.table(spark, sf, "pages"), SHOP, PAGE_LINKS, page="page_id").select(

@@ -125,6 +125,21 @@ def anchors_inside(list_class: str):
     return expand
 
 
+def first_anchors(classes):
+    """Per class part the href of the first link inside any element whose class contains it ("" without one), in one row."""
+    def expand(html: str):
+        root = tree(html)
+        found = []
+        for part in classes:
+            boxes = (n for n in root.walk() if part in (n.attrs.get("class") or ""))
+            # a box begins before all that begin later, so the first box with a link has the first link
+            links = (a for box in boxes for a in [box.first(lambda n: n.tag == "a" and "href" in n.attrs)] if a)
+            link = next(links, None)
+            found.append(link.attrs["href"] if link else "")
+        yield (found,)
+    return expand
+
+
 def first_texts(tests):
     """Text of the first element per (attribute, token) test, in one row."""
     def expand(html: str):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Mapping, Sequence
 
@@ -120,6 +122,37 @@ def extract_links(pages: DataFrame, url_patterns: Sequence[str], origin: str,
     return pages.select(page, first_link(html, url_patterns, origin).alias("link"))
 
 
+def extract_selected_links(pages: DataFrame, selectors: Sequence[tuple[str, str]], url_patterns: Sequence[str], origin: str,
+                           page: str = "page", html: str = "html") -> DataFrame:
+    """One product link per page: page, link (absolute, null without one).
+
+    ``selectors`` are (class part of an element around the link, part of its href), in order of preference. Each looks at its
+    first link only, which counts if any pattern matches it. If none counts, the first link of the page that any pattern
+    matches is taken. Only pages that the selectors by href leave open and that name one of the classes are parsed.
+    """
+    product = lambda h: functools.reduce(Column.__or__, [h.rlike(p) for p in url_patterns])
+    by_href = list(itertools.takewhile(lambda s: not s[0], selectors))
+    rest = list(selectors[len(by_href):])
+    classes = list(dict.fromkeys(within for within, _ in rest if within))
+    links = F.col("_links")
+    first = lambda part: F.get(F.filter(links, lambda h: F.contains(h, F.lit(part))), F.lit(0))
+    checked = lambda h: F.when(product(h), h)
+    read = pages.select(page, html, hrefs(html).alias("_links"))
+    early = F.coalesce(*[checked(first(part)) for _, part in by_href], F.lit(None).cast("string"))
+    read = read.select(page, html, "_links", early.alias("_early"))
+    named = functools.reduce(Column.__or__, [F.contains(blank(html), F.lit(c)) for c in classes], F.lit(False))
+    asked = F.col("_early").isNull() & named
+    fallback = F.get(F.filter(links, product), F.lit(0))
+    done = read.filter(~asked).select(page, F.coalesce("_early", fallback).alias("_link"))
+    opened = read.filter(asked).select(page, html, "_links")
+    found = expand_text(opened, html, [page, "_links"], T.StructType([T.StructField("_found", T.ArrayType(T.StringType()))]),
+                        html_nodes.first_anchors(classes))
+    late = [checked(F.get("_found", F.lit(classes.index(within))) if within else first(part)) for within, part in rest]
+    parsed = found.select(page, F.coalesce(*late, fallback).alias("_link"))
+    link = F.col("_link")
+    return done.unionByName(parsed).select(page, F.when(link.isNotNull(), absolute_url(link, origin)).alias("link"))
+
+
 def _anchors(html: Column | str) -> Column:
     """Array of (pos, href, inner) over the links of a page."""
     attrs = F.regexp_extract_all(_uncommented(html), F.lit(_ANCHOR), F.lit(1))
