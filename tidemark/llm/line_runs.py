@@ -16,9 +16,16 @@ def text_mark(text: str | Column = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+#: Characters of scripts that are written without spaces between words.
+UNSPACED = "[\\u0e00-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3040-\\u30ff\\u3400-\\u4dbf\\u4e00-\\u9fff\\uf900-\\ufaff]"
+
+
 def words_in(line: Column) -> Column:
-    """Number of non-empty parts between single spaces."""
-    return F.size(F.array_remove(F.split(line, " "), ""))
+    """Number of parts between white space, and of characters of scripts without spaces, each of which counts as a word."""
+    parts = F.size(F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), ""))
+    # such a character takes three bytes, so lines of letters of two at most need no search
+    wide = F.octet_length(line) >= F.length(line) + 2
+    return parts + F.when(wide, F.regexp_count(line, F.lit(UNSPACED))).otherwise(0)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -46,7 +53,9 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     ids = _ranked(lines, "l1", "l2")
     named = lines.join(ids, (F.col("l1") == F.col("k1")) & (F.col("l2") == F.col("k2"))).select("doc", "mark", "pos", F.col("new").alias("rank"), "w")
     by_doc = Window.partitionBy("doc", "mark").orderBy("pos")
-    islands = named.withColumn("island", F.col("pos") - F.row_number().over(by_doc))
+    # rows equal in id and text are one document: each of its lines counts once
+    islands = named.withColumn("island", F.col("pos") - F.dense_rank().over(by_doc)).withColumn(
+        "again", F.col("pos").eqNullSafe(F.lag("pos").over(by_doc))).where("NOT again").drop("again")
     one = Window.partitionBy("doc", "mark", "island")
     sized = islands.withColumn("total", F.sum("w").over(one)).where(F.col("total") >= least_words).drop("total")
     until = one.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -155,7 +164,7 @@ def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
 def deduplicate_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs(doc_id, text, ...)`` with later copies of repeated line runs deleted, ``n_lines`` and ``n_removed``.
 
-    Lines lie between line feeds; words between spaces. See ``later_copies`` for what is deleted; runs may also
+    Lines lie between line feeds; words between white space, characters of scripts without spaces count as words. See ``later_copies`` for what is deleted; runs may also
     repeat inside a document. A text whose every line goes is empty. Null texts have no lines and stay null; a
     null ``doc_id`` has no place in the order, its text stays; rows equal in id and text are one document and
     are treated alike. All other columns pass through; ``n_lines`` and ``n_removed`` of the input are replaced.

@@ -38,11 +38,13 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
-LINE_RUNS = """
+LINE_RUNS = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM d),
-c AS (SELECT *, sum(len(list_filter(string_split(line, ' '), lambda x: x <> ''))) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM l),
-e AS (SELECT doc_id, pos, upto - len(list_filter(string_split(line, ' '), lambda x: x <> '')) AS before, upto FROM c),
+u AS (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM d),
+l AS (SELECT *, len(list_filter(string_split(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '), lambda x: x <> ''))
+    + len(regexp_extract_all(line, '[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]')) AS n FROM u),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM l),
+e AS (SELECT doc_id, pos, upto - n AS before, upto FROM c),
 runs AS (
   SELECT a.doc_id, a.pos AS p, min(b.pos) AS q FROM e a JOIN e b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.before >= 50 GROUP BY ALL
   UNION
