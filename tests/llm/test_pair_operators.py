@@ -279,3 +279,29 @@ def test_registry_holds_every_operator():
 
     names = list(entry_points.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_repeated_rows_are_one_document_of_lines(spark):
+    run = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(6))
+    rows = [(1, run), (1, run), (2, "intro\n" + run), (3, "one\t" * 30 + "\n" + "字" * 60), (4, "head\n" + "one\t" * 30 + "\n" + "字" * 60)]
+    got = line_runs.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, 6), (3, 0), (4, 2)]
+
+
+def test_near_duplicate_stage_decides_by_row(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"else{i}" for i in range(40))
+    rows = [(5, text, 1), (5, text, 2), (5, other, 3), (6, text + " more", 4), (7, None, 5), (7, None, 6), (None, text, 7), (8, "", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.near_duplicate_groups(spark, docs, "").collect()
+    kept = sorted((r["doc_id"] or 0, (r["text"] or "")[:5], r["n_chars"]) for r in got)
+    assert [k[:2] for k in kept] == [(0, "word0"), (5, "else0"), (5, "word0"), (7, ""), (7, ""), (8, "")]
+    assert got[0].asDict().keys() == {"doc_id", "text", "n_chars"}
+
+
+def test_short_items_remove_nothing_from_the_corpus(spark):
+    from tidemark.llm.decontaminate import without_contaminated
+    docs = spark.createDataFrame([(1, "the a b c d e f"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "the"), ("j", "x y z a b c")], "item_id string, text string")
+    assert without_contaminated(docs, items).count() == 2
+    assert without_contaminated(docs, spark.createDataFrame([("i", "b c d e f")], "item_id string, text string")).count() == 1

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bucket_links import linked_components
-from tidemark.llm.common import apart, binary, discard, store
+from tidemark.llm.common import apart, binary, discard, small_batches, store
 from tidemark.llm.hashing import SPACED, shingle_sets
 from tidemark.session import ship_package
 
@@ -25,23 +25,29 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def text_mark(text: str = "text"):
+    """Tells rows that repeat a ``doc_id`` with other texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def _sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
     """Set size, a 128-bit fingerprint of the whole set and the k smallest values, per document."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            texts = [t or b"" for t in binary(batch.column(1))]
-            for at in range(0, len(texts), 500):
-                sets = shingle_sets(texts[at:at + 500], SPACED, width)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = shingle_sets([t or b"" for t in binary(part.column(1))], SPACED, width)
                 marks = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, 500), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(marks[:, 0]), pa.array(marks[:, 1]),
                     pa.array([s[:k] for s in sets], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "mark1", "mark2", "sketch"])
+                    names=["doc_id", "text_mark", "n_shingles", "mark1", "mark2", "sketch"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, mark1 long, mark2 long, sketch array<long>")
+    return _texts(docs).withColumn("text_mark", text_mark()).mapInArrow(
+        run, "doc_id long, text_mark long, n_shingles long, mark1 long, mark2 long, sketch array<long>")
 
 
 def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -49,11 +55,11 @@ def _whole_sets(docs: DataFrame, width: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts = [t or b"" for t in binary(batch.column(1))]
-            for at in range(0, len(texts), 500):
-                sets = shingle_sets(texts[at:at + 500], SPACED, width)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = shingle_sets([t or b"" for t in binary(part.column(1))], SPACED, width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 500), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["id", "whole"])
 
     return docs.mapInArrow(run, "id long, whole binary")
@@ -120,27 +126,37 @@ def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = SKETCH, fine: int = FINE_SKETCH
-                    ) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = SKETCH, fine: int = FINE_SKETCH,
+                    with_mark: bool = False) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_shingles, component_id, kept``.
 
     A document's set holds its distinct shingles of ``width`` words (white-space separated, A-Z lowered); a
     shorter text is one shingle as a whole; without words the set is empty and linked with nothing. Documents
     are linked if 100 * intersection >= ``percent`` * union; ``component_id`` is the smallest ``doc_id``
     reachable. A null ``doc_id`` links with nothing and is kept. Where a ``doc_id`` repeats, each row has the
-    component of its own text's class, and classes with one smallest id are one.
+    component of its own text's class, and classes with one smallest id are one; ``with_mark`` adds ``text_mark``, which tells
+    the texts of such rows apart.
 
     Equal sets are one class, found by grouping fingerprints. A class's sketch is its k smallest values under
     one hash function, the whole set if it has fewer. Inverted lists of retained values tell which classes can have
-    a partner (``inverted_lists``; a linked pair is missed with a chance of about 1e-8, the tail beyond six
+    a partner (``inverted_lists``; a linked pair at the threshold is missed with a chance of about 6e-9, the tail beyond six
     standard errors). For these the whole sets are taken, and finer sketches of ``fine`` values make
     the lists from which pairs come, so that texts that share a passage but no more do not meet. Pairs of a list
     are compared by ``linked_components``: sizes, then the estimate from the union of the sketches (with a margin of
-    five standard errors), then the exact similarity of the whole sets.
+    five standard errors on ``k`` values, which drops a linked pair at the threshold with a chance of about 3e-6), then the exact
+    similarity of the whole sets.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    ratio = percent / 100
+    with small_batches(spark):
+        rows, labels, members = _settled(docs, width, percent, k, fine)
+    out = _with_components(rows, members, labels)
+    return out if with_mark else out.drop("text_mark")
+
+
+def _settled(docs: DataFrame, width: int, percent: int, k: int, fine: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored rows with their sketches, components of linked classes, and members of classes."""
+    spark, ratio = docs.sparkSession, percent / 100
     rows, _ = store(_sketches(docs, width, k), "sketches")
     marked = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = marked.groupBy("mark1", "mark2").agg(F.min("doc_id").alias("rep"))
@@ -166,7 +182,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     finer, finer_path = store(inverted_lists(_cut_sets(sets, fine), fine, percent), "fine-lists")
     labels = linked_components(finer, verify, ratio)
     discard(spark, lists_path, finer_path, active_path, sets_path, sketch_path)
-    return _with_components(rows, members, labels)
+    return rows, labels, members
 
 
 def _with_components(rows: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -177,5 +193,5 @@ def _with_components(rows: DataFrame, members: DataFrame, labels: DataFrame) ->
     joined = rows.join(named, (F.col("mark1") == F.col("m1")) & (F.col("mark2") == F.col("m2"))
                        & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("c", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
+    return joined.select("doc_id", "text_mark", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

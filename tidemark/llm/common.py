@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,18 @@ def store(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of at most ``rows`` rows for the jobs of the block: wide rows, such as whole sets, take little memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Remove scratch tables that nothing reads any more."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -40,7 +54,7 @@ def apart(key: str | Column) -> Column:
     return (F.col(key) if isinstance(key, str) else key).bitwiseXOR(F.lit(0).cast("long"))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(a long, b long)`` -> ``(node, component)``: smallest node reachable, for every node with a link.
 
     Alternates large-star and small-star steps (Kiveris et al. 2014) until only stars are left. Every step is an
@@ -52,9 +66,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     a, b = F.col("a").cast("long"), F.col("b").cast("long")
     start = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     links, path = store(start, "links")
-    for _ in range(max_rounds):
-        if _only_stars(links):
-            break
+    while not _only_stars(links):
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             apart("u").alias("k"), F.least("u", "m").alias("m"))
@@ -67,8 +79,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         after, where = store(small.where("u > v").distinct(), "links")
         discard(spark, path)
         links, path = after, where
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 

@@ -15,6 +15,8 @@ from tidemark.llm.hashing import ALNUM
 from tidemark.session import ship_package
 
 WINDOW = 10
+#: Words of the shortest item for which a document is removed.
+LEAST_ITEM = 5
 BLOCK_BYTES = 8 << 20
 
 
@@ -174,9 +176,12 @@ def _summary(keep_spans: bool):
     return run
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                         least_words: int = LEAST_ITEM) -> DataFrame:
     """Rows of ``docs`` without an occurrence of a benchmark window; every column as it was.
 
+    Items of fewer than ``least_words`` words decide nothing: such a phrase is no evidence, and one word would empty the corpus.
+    Null texts stay; without a benchmark all rows stay; repeated rows are treated alike.
     The decision is taken next to the text, block after block, so nothing is shuffled or joined back.
     """
     ship_package(docs.sparkSession)
@@ -188,12 +193,15 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIN
             import pyarrow as pa
 
             for batch in batches:
-                clean = [not index.find(words(text))[0] for text in binary(batch.column(place))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    clean = [not index.find(words(text))[0] for text in binary(part.column(place))]
+                    yield part.filter(pa.array(clean, pa.bool_()))
         return run
 
     out = docs
     for items in _blocks(benchmark, block_bytes):
+        items = [(i, item) for i, item in items if len(item) >= least_words]
         vocabulary = {w for _, item in items for w in item}
         if vocabulary:
             out = out.mapInArrow(keep(Index(items, width, word_frequencies(texts, vocabulary))), docs.schema)

@@ -24,7 +24,7 @@ LANDMARKS = 160
 SAMPLE = 3000
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def plain(token: str) -> str:
     """Letters and digits of a token; marks between them are left out."""
     return token if token.isalnum() else "".join(c for c in token if c.isalnum())
@@ -280,7 +280,7 @@ def hash_order(doc_id: int) -> int:
     return (doc_id * 0x9E3779B97F4A7C15) & (2**64 - 1)
 
 
-def _scorer(model: Model, limit: int = 300_000):
+def _scorer(model: Model, limit: int = 100_000):
     """Scores of texts; decision values of tokens seen lately are remembered, in bounded memory."""
     memory = Memory(limit)
 
@@ -297,31 +297,33 @@ def _scorer(model: Model, limit: int = 300_000):
     return score
 
 
-def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1): the probability by the most toxic word of the whole text.
+def score_texts(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with ``name`` (0 to 1): the probability by the most toxic word of the whole text.
 
-    Nulls and texts without words get the score of the bias. A column ``score`` that is there already is replaced.
+    Nulls and texts without words get the score of the bias. A column ``name`` that is there already is replaced.
     """
     ship_package(docs.sparkSession)
-    base = docs.drop("score")
+    base = docs.drop(name)
     names = base.columns
     place = names.index("text")
-    schema = StructType([*base.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*base.schema.fields, StructField(name, DoubleType())])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         score = _scorer(model)
         for batch in batches:
-            texts, scores, held, size = batch.column(place).to_pylist(), [], [], 0
-            for text in texts:
-                held.append(text)
-                size += len(text or "")
-                if size > 500_000:
-                    scores += score(held)
-                    held, size = [], 0
-            scores += score(held)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                scores, held, size = [], [], 0
+                for text in part.column(place).to_pylist():
+                    held.append(text)
+                    size += len(text or "")
+                    if size > 500_000:
+                        scores += score(held)
+                        held, size = [], 0
+                scores += score(held)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*names, name])
 
     return base.mapInArrow(run, schema)
 
