@@ -107,61 +107,81 @@ def test_near_duplicates_against_brute_force(spark, k, fine):
     assert bottomk.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_paragraphs_against_brute_force(spark):
+def running_words(seed, n):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+
+def paragraph_rows():
+    """Texts of invented words with planted passages that begin anywhere, copies with edits, repeated rows and odd rows."""
     random.seed(9)
-    pool = [t for t in near_texts(3, 60) if t]
-    docs = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(1, 5)))) for i in range(60)]
-    docs += [(100, None), (101, ""), (102, docs[0][1]), (102, docs[1][1]), (None, docs[0][1])]
+    passages = [running_words(1000 + i, 51 + 7 * i) for i in range(6)]
+    docs = []
+    for i in range(50):
+        body = running_words(i, random.randint(0, 150))
+        if i % 3 == 0:
+            at, passage = random.randint(0, len(body)), list(passages[i // 3 % 6])
+            if i % 9 == 0:
+                passage[-1] = "edited"
+            body[at:at] = passage
+        docs.append((i, "".join(w + random.choice([" ", " ", "\n", ".\t"]) for w in body)))
+    docs += [(100, None), (101, ""), (102, docs[3][1]), (102, docs[6][1]), (102, docs[6][1]), (None, docs[0][1]), (103, " \n la" * 200)]
+    return docs
+
+
+def test_paragraphs_against_brute_force(spark):
+    docs = paragraph_rows()
     parts, groups = [], Groups()
-    for i, t in docs:
-        if i is not None and t:
-            for pos, line in enumerate(t.split("\n")):
-                if len(line.split()) >= 10:
-                    parts.append((i, t, pos, shingles(line, 5)))
+    for i, t in {(i, t) for i, t in docs if i is not None and t}:
+        own = t.lower().split()
+        hashes, _ = hashing.word_hashes([t.encode()], hashing.SPACED)
+        values = hashing.combined(hashes, 5)
+        for start in paragraphs.beginnings(values, 36, 5, 16).tolist():
+            parts.append((i, t, start, shingles(" ".join(own[start:start + 36]), 5), own[start:start + 5]))
+        for lo in range(len(own) - 50):
+            assert any(lo <= p[2] and p[2] + 36 <= lo + 51 for p in parts if p[:2] == (i, t))
     for a in range(len(parts)):
         for b in range(a):
             x, y = parts[a][3], parts[b][3]
-            if 100 * len(x & y) >= 80 * len(x | y):
+            if parts[a][4] == parts[b][4] and 100 * len(x & y) >= 80 * len(x | y):
                 groups.link(a, b)
     sizes = defaultdict(list)
     for a in range(len(parts)):
         sizes[groups.root(a)].append(a)
     want = sorted((parts[a][0], parts[a][2]) for g in sizes.values() if len(g) > 1 for a in g)
-    df = spark.createDataFrame([(i, t, 7) for i, t in docs], "doc_id long, text string, pos int")
-    rows = paragraphs.repeated_paragraphs(df, least_words=10, bands=40).collect()
-    assert sorted((r["doc"], r["pos"]) for r in rows) == want
+    df = spark.createDataFrame([(i, t, 7) for i, t in docs], "doc_id long, text string, n_removed int")
+    rows = paragraphs.repeated_paragraphs(df, bands=40).collect()
+    assert sorted((r["doc"], r["start"]) for r in rows) == want
     assert sum(r["kept"] for r in rows) == sum(len(g) > 1 for g in sizes.values())
-    out = paragraphs.deduplicate_paragraphs(df, least_words=10, bands=40)
-    assert out.count() == len(docs) and sum(r["n_removed"] for r in out.where("doc_id IS NOT NULL").collect()) == sum(not r["kept"] for r in rows)
+    assert sorted((r["doc"], r["start"]) for r in paragraphs.repeated_paragraphs(df).collect()) == want
     assert paragraphs.repeated_paragraphs(df.limit(0)).count() == 0
 
 
-def test_paragraphs_of_any_length_with_production_settings(spark):
-    random.seed(5)
-    pool = [t for t in near_texts(6, 60) if t and len(t.split()) >= 5]
-    docs = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(1, 5)))) for i in range(60)]
-    parts, groups = [(i, pos, shingles(line, 5)) for i, t in docs for pos, line in enumerate(t.split("\n"))], Groups()
-    for a in range(len(parts)):
-        for b in range(a):
-            x, y = parts[a][2], parts[b][2]
-            if 100 * len(x & y) >= 80 * len(x | y):
-                groups.link(a, b)
-    sizes = defaultdict(list)
-    for a in range(len(parts)):
-        sizes[groups.root(a)].append(a)
-    rows = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert sorted((r["doc"], r["pos"]) for r in rows) == sorted(parts[a][:2] for g in sizes.values() if len(g) > 1 for a in g)
-    assert sum(r["kept"] for r in rows) == sum(len(g) > 1 for g in sizes.values())
+def test_passages_go_and_clean_texts_stay(spark):
+    docs = paragraph_rows()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = paragraphs.deduplicate_paragraphs(df).collect()
+    assert len(out) == len(docs)
 
+    def runs(t):
+        own = t.lower().split()
+        return {tuple(own[i:i + 51]) for i in range(len(own) - 50)}
 
-def test_passages_on_short_lines_are_paragraphs(spark):
-    passage = [f"w{i} x{i} y{i}" for i in range(20)]
-    texts = ["\n".join(["one two three four five six", *passage, "end"]), "\n".join(["a", "b c", *passage[:9], "", *passage[9:], "f g h i j k"]),
-             "Title\nlone words here", "Title\nother words too", "la\n" * 9 + "x"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    out = {r["doc_id"]: r["text"] for r in paragraphs.deduplicate_paragraphs(df).collect()}
-    assert out[0] == texts[0] and out[1] == "a\nb c\nf g h i j k" and out[2] == texts[2] and out[3] == texts[3]
-    assert out[4] == "la\nla\nla\nla\nla\nx"
+    held = defaultdict(set)
+    for i, t in docs:
+        for r in runs(t or "") if i is not None else ():
+            held[r].add((i, t))
+    dirty = {i for r in held.values() if len(r) > 1 for i, _ in r} | {103}
+    left = defaultdict(set)
+    for r in out:
+        if r["doc_id"] is not None and r["text"] is not None:
+            for x in runs(r["text"]):
+                left[x].add((r["doc_id"], r["text"]))
+            before = next(t for i, t in docs if i == r["doc_id"] and (i != 102 or len(t.split()) == r["n_words"]))
+            assert r["n_words"] == len(before.split()) and len(r["text"].split()) == r["n_words"] - r["n_removed"]
+            assert (r["n_repeated"] > 0) == (r["doc_id"] in dirty)
+    assert all(len(r) == 1 for r in left.values())
+    assert {(r["doc_id"], r["text"]) for r in out if r["doc_id"] in (None, 100, 101)} == {(None, docs[0][1]), (100, None), (101, "")}
 
 
 def without_copies(rows, least):

@@ -11,9 +11,9 @@ from tidemark.llm.bottomk import near_duplicates
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.grid_join import similar_vectors
-from tidemark.llm.line_runs import deduplicate_lines, without_lines
+from tidemark.llm.line_runs import deduplicate_lines
 from tidemark.llm.packing import pack_documents
-from tidemark.llm.paragraphs import repeated_paragraphs
+from tidemark.llm.paragraphs import repeated_paragraphs, without_copies
 from tidemark.llm.phrases import collocations
 from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.quality import quality
@@ -29,10 +29,9 @@ def op1_paragraph_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of paragraphs; ``clusters`` lists the clusters that a document's paragraphs are in."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = repeated_paragraphs(docs)
-    clusters = found.groupBy(F.col("doc").alias("doc_id")).agg(
-        F.count_distinct("mark", "pos").alias("n_repeated"), F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
-    return without_lines(docs, found.where("NOT kept").select("doc", "mark", "pos").distinct()).join(clusters, "doc_id", "left").select(
-        "doc_id", "n_lines", F.coalesce("n_repeated", F.lit(0)).alias("n_repeated"), "n_removed", "clusters", "text")
+    clusters = found.groupBy(F.col("doc").alias("doc_id")).agg(F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
+    return without_copies(docs, found).join(clusters, "doc_id", "left").select(
+        "doc_id", "n_words", "n_repeated", "n_removed", "clusters", "text")
 
 
 def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
