@@ -252,20 +252,47 @@ def test_surrogates_keep_type_format_and_coreference(spark):
 
 
 def test_surrogates_stay_distinct(spark, monkeypatch):
-    # three-digit space: card-like numbers cannot collide here, so make hosts of one letter collide
-    texts = [f"{a}@x.io" for a in "abcdefghijklmnopqrst"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    with pytest.raises(RuntimeError):
-        surrogates.colliding(spark.createDataFrame([("email", f"{c}@x.io", f"{c}@x.io") for c in "abcdefghijklmnopqrstuvwxyz"],
-                                                   "kind string, canon string, mention string"), "k", turns=1)
     texts = [f"{i:02d}@x.io" for i in range(15)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = [r["text"] for r in surrogates.pseudonymize(df, "k").orderBy("doc_id").collect()]
-    assert len(set(want)) == 15 and not set(want) & set(texts)
+    assert len(set(want)) == 15 and not set(want) & set(texts) and all(re.fullmatch(r"\d\d@[a-z]\.io", t) for t in want)
     monkeypatch.setattr(surrogates, "LITERAL_EXCEPTIONS", -1)
     assert [r["text"] for r in surrogates.pseudonymize(df, "k").orderBy("doc_id").collect()] == want
 
 
+def test_surrogates_of_full_formats(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"{c}@x.io {c.upper()}@X.io" for c in letters] + [f"{i:02d}@mail.org" for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(surrogates.colliding, "__defaults__", (2, 2048))
+    got = [r["text"] for r in surrogates.pseudonymize(df, "k").orderBy("doc_id").collect()]
+    pairs = [t.split() for t in got[:26]]
+    assert all(a.lower() == b.lower() for a, b in pairs) and len({a for a, _ in pairs}) == 26 == len(set(got[:26]))
+    # another host leaves every value of both formats free: each is used once, and none is longer
+    assert {a.split("@")[0] for a, _ in pairs} == set(letters) and len({a.split("@")[1] for a, _ in pairs}) == 1
+    assert {t.split("@")[0] for t in got[26:]} == {f"{i:02d}" for i in range(100)}
+    # numbers that fill their format leave none free: all are longer
+    things = spark.createDataFrame([("social", f"{i:02d}", f"{i:02d}") for i in range(100)], "kind string, canon string, mention string")
+    again = surrogates.colliding(things, "k", turns=1, draws=64).collect()
+    made = surrogates._assigned(things.join(spark.createDataFrame(again), ["kind", "canon"]).selectExpr("*", "1 AS turn"), "k").collect()
+    values = {r["made"] for r in made}
+    assert len(made) == 100 == len(values) and all(3 <= len(v) <= 5 and v.isdigit() for v in values)
+
+
+def iban_rest(text):
+    plain = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
+def test_surrogates_keep_account_check_digits(spark):
+    good, other = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    got = replaced(spark, [f"{good} and {good.replace(' ', '')}", other, "DE89370400440532013001"])
+    a, b = got[0][0].split(" and ")
+    assert a.replace(" ", "") == b != good.replace(" ", "") and re.fullmatch(r"DE\d\d( \d{4}){4} \d\d", a) and iban_rest(a) == 1
+    assert re.fullmatch(r"GB\d\d[A-Z]{4}\d{14}", got[1][0]) and got[1][0] != other and iban_rest(got[1][0]) == 1
+    assert re.fullmatch(r"DE\d{20}", got[2][0]) and got[2][0] not in (b, good.replace(" ", ""))
+
+
 def test_surrogates_find_whole_entities(spark, monkeypatch):
     token = "9233A8EC24BE64439E3E49CF46B2D7C9"
     texts = [f"t {token} t {token.lower()} t", "p +1 (826) 555-4081 190.137.223.204 p", "p +1 (826) 555-4081 2019 p +1 826 555 4081 12.50 p",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, store
@@ -57,6 +57,8 @@ ALPHABETS = {
 #: Decimal digits of all scripts, ten by ten, 0-9 first.
 DIGITS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd")
 LITERAL_EXCEPTIONS = 5_000
+#: Rounds in which colliding things draw anew, and the least number of values that those then left over draw for a format.
+TURNS, DRAWS = 8, 2048
 
 
 def _let(value: Column, use) -> Column:
@@ -150,6 +152,30 @@ def _card(entity: Column, stream: Column) -> Column:
     return F.when(_luhn(digits) % 10 == 0, _let(made, last)).otherwise(made)
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder of the number that ``text`` gives with A-Z as 10 to 35."""
+    values = F.transform(F.split(text, ""), lambda c: F.instr(F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c) - 1)
+    return F.aggregate(values, F.lit(0), lambda a, v: F.when(v < 10, a * 10 + v).otherwise(a * 100 + v) % 97)
+
+
+def _valid_account(plain: Column) -> Column:
+    return _mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1
+
+
+def _account(entity: Column, longer: Column, stream: Column) -> Column:
+    """The country stays; a number with right check digits has right ones again."""
+    country = F.substring(entity, 1, 2)
+    made = F.concat(country, _alike(F.substring(longer, F.lit(3), F.length(longer)), stream))
+
+    def checked(m: Column) -> Column:
+        rest = _ascii(F.regexp_replace(F.substring(m, F.lit(5), F.length(m)), " ", ""))
+        return _let(98 - _mod97(F.concat(rest, country, F.lit("00"))), lambda n: F.concat(
+            country, _digit(F.floor(n / 10).cast("int"), F.substring(entity, 3, 1)), _digit(n % 10, F.substring(entity, 4, 1)),
+            F.substring(m, F.lit(5), F.length(m))))
+
+    return F.when(_valid_account(_ascii(F.regexp_replace(entity, " ", ""))), _let(made, checked)).otherwise(made)
+
+
 def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -180,29 +206,43 @@ def _name(entity: Column, stream: Column) -> Column:
     return F.concat(title, F.lit(" "), F.array_join(F.transform(words, one), " "))
 
 
-def surrogate(kind: Column, entity: Column, key: Column, turn: Column) -> Column:
-    """Replacement of ``entity``; ``turn`` is above 0 where an earlier one collided."""
-    def make(canon: Column) -> Column:
-        seed = F.concat(kind, F.lit("|"), canon, F.lit("|"), turn.cast("string"))
-        return _let(_stream(key, seed, F.length(entity) + F.lit(16)), use)
+def _seed(kind: Column, canon: Column, turn: Column) -> Column:
+    return F.concat(kind, F.lit("|"), canon, F.lit("|"), turn.cast("string"))
+
+
+def _longer(kind: Column, entity: Column, extra: Column) -> Column:
+    """``entity`` with its last letter or digit (of a mail name before the @; of a name its last word) ``extra`` times more."""
+    def more(text: Column) -> Column:
+        last = F.right(text, F.lit(1))
+        return F.concat(text, F.repeat(F.when(last.rlike(r"[\p{L}\p{N}]"), last).otherwise("a"), extra))
+
+    name = F.concat(entity, F.repeat(F.concat(F.lit(" "), F.substring_index(entity, " ", -1)), extra))
+    mail = F.concat(more(F.substring_index(entity, "@", 1)), F.lit("@"), F.substring_index(entity, "@", -1))
+    return F.when(extra == 0, entity).when(kind == "name", name).when(kind == "email", mail).otherwise(more(entity))
+
+
+def surrogate(kind: Column, entity: Column, key: Column, seed: Column, extra: Column) -> Column:
+    """Replacement of ``entity`` drawn by ``seed``; longer by ``extra`` letters, digits or words where its format is full."""
+    def make(text: Column) -> Column:
+        return _let(_stream(key, seed, F.length(text) + 16 + extra * 8), lambda s: use(text, s))
 
-    def use(s: Column) -> Column:
+    def use(text: Column, s: Column) -> Column:
         host = F.substring_index(entity, "@", -1)
         ending = F.substring_index(host, ".", -1)
         front = F.substring(host, F.lit(1), F.length(host) - F.length(ending) - 1)
-        mail = F.concat(_alike(F.substring_index(entity, "@", 1), s), F.lit("@"),
+        mail = F.concat(_alike(F.substring_index(text, "@", 1), s), F.lit("@"),
                         _let(_stream(key, F.concat(F.lit("host|"), F.lower(host)), F.length(host)), lambda h: _alike(front, h)), F.lit("."), ending)
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
             (_byte(s, i * 2) * 256 + _byte(s, i * 2 + 1)) % 254 + 1).cast("string")), ".")
+        octets = F.when(extra == 0, octets).otherwise(F.concat(octets, _alike(F.repeat(F.lit("0"), extra), s)))
         first = F.substring(entity, 1, 1)
         octets = F.when(first.rlike("[0-9]"), octets).otherwise(F.array_join(F.transform(F.split(octets, ""), lambda c: F.when(
             c == ".", c).otherwise(_digit(c.try_cast("int"), first))), ""))
-        bank = F.concat(F.substring(entity, 1, 2), _alike(F.substring(entity, F.lit(3), F.length(entity)), s))
-        return (F.when(kind == "email", mail).when(kind == "address", octets).when(kind == "card", _card(entity, s))
-                .when(kind == "token", _alike(entity, s, True)).when(kind == "account", bank)
-                .when(kind == "name", _name(entity, s)).otherwise(_alike(entity, s)))
+        return (F.when(kind == "email", mail).when(kind == "address", octets).when(kind == "card", _card(text, s))
+                .when(kind == "token", _alike(text, s, True)).when(kind == "account", _account(entity, text, s))
+                .when(kind == "name", _name(text, s)).otherwise(_alike(text, s)))
 
-    return _let(canonical(kind, entity), make)
+    return _let(_longer(kind, entity, extra), make)
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -242,16 +282,21 @@ def _found(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
-def colliding(entities: DataFrame, key: str, turns: int = 8) -> DataFrame:
-    """``entities(kind, canon, mention)``, one row per thing -> ``kind, canon, turn`` of those that need another surrogate.
+def colliding(entities: DataFrame, key: str, turns: int = TURNS, draws: int = DRAWS) -> DataFrame:
+    """``entities(kind, canon, mention)``, one row per thing -> ``kind, canon, seed, extra`` of those that need another surrogate.
 
     Two things must not share a surrogate, and no surrogate may be a thing that occurs. Of things that collide the
-    first keeps its surrogate; the rest are made anew with the next turn and checked against all again.
+    first keeps its surrogate; the rest are made anew with the next turn and checked against all again. Where things
+    collide still after ``turns`` rounds their format is nearly full: those of one format then share out its free
+    values (``_free_values``). What finds none, because the format is full, becomes longer, by one letter, digit
+    or word more in every further round, until no collision is left.
     """
     spark = entities.sparkSession
     real = entities.select(F.col("kind").alias("rk"), F.col("canon").alias("rc"))
-    state, path = store(_assigned(entities.withColumn("turn", F.lit(0)), key), "surrogates")
-    for _ in range(turns):
+    fresh = entities.select("kind", "canon", "mention", F.lit(0).alias("turn"), F.lit(0).alias("extra"))
+    state, path = store(_assigned(_seeded(fresh), key), "surrogates")
+    step = 0
+    while True:
         order = F.struct("turn", "canon")
         first = state.groupBy("kind", "made").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").select(
             F.col("kind").alias("fk"), F.col("made").alias("fm"), "first")
@@ -261,19 +306,81 @@ def colliding(entities: DataFrame, key: str, turns: int = 8) -> DataFrame:
         if bad.isEmpty():
             discard(spark, bad_path)
             break
-        redo = state.join(bad, ["kind", "canon"], "left_semi").withColumn("turn", F.col("turn") + 1)
+        step += 1
         keep = state.join(bad, ["kind", "canon"], "left_anti")
-        after, after_path = store(keep.unionByName(_assigned(redo.drop("made"), key)), "surrogates")
-        discard(spark, path, bad_path)
+        redo = state.join(bad, ["kind", "canon"], "left_semi").drop("made").withColumn("turn", F.col("turn") + 1)
+        spent = []
+        if step == turns + 1:
+            redo, spent = _free_values(redo, keep, real, key, draws)
+        elif step > turns:
+            redo = _seeded(redo.withColumn("extra", F.col("extra") + 1))
+        else:
+            redo = _seeded(redo)
+        after, after_path = store(keep.unionByName(_assigned(redo, key)), "surrogates")
+        discard(spark, path, bad_path, *spent)
         state, path = after, after_path
-    else:
-        raise RuntimeError(f"surrogates still collide after {turns} turns")
-    return state.where("turn > 0").select("kind", "canon", "turn")
+    return state.where("turn > 0").select("kind", "canon", "seed", "extra")
 
 
-def _assigned(entities: DataFrame, key: str) -> DataFrame:
-    made = surrogate(F.col("kind"), F.col("mention"), F.lit(key), F.col("turn"))
-    return entities.select("kind", "canon", "mention", "turn", canonical(F.col("kind"), made).alias("made"))
+def _seeded(things: DataFrame) -> DataFrame:
+    return things.withColumn("seed", _seed(F.col("kind"), F.col("canon"), F.col("turn")))
+
+
+def _assigned(things: DataFrame, key: str) -> DataFrame:
+    return things.select("kind", "canon", "mention", "turn", "extra", "seed", _canonical_surrogate(key).alias("made"))
+
+
+def _canonical_surrogate(key: str) -> Column:
+    made = surrogate(F.col("kind"), F.col("mention"), F.lit(key), F.col("seed"), F.col("extra"))
+    return _let(made, lambda m: canonical(F.col("kind"), m))
+
+
+def _format(kind: Column, canon: Column, mention: Column) -> Column:
+    """Equal only for things of which any seed makes one and the same surrogate."""
+    def classes(text: Column) -> Column:
+        for pattern, sign in [("[0-9]", "0"), ("[a-z]", "a"), ("[A-Z]", "A")] + [
+                (rf"[\p{{Is{script}}}&&\p{{L}}&&[^\p{{Lu}}]]", alphabet[0]) for script, alphabet in ALPHABETS.items()]:
+            text = F.regexp_replace(text, pattern, sign)
+        return text
+
+    mail = F.concat(classes(F.substring_index(canon, "@", 1)), F.lit("@"), F.substring_index(canon, "@", -1))
+    account = F.concat(F.substring(canon, 1, 2), classes(F.substring(canon, F.lit(3), F.length(canon))), _valid_account(canon).cast("string"))
+    card = F.concat(classes(canon), (_luhn(canon) % 10 == 0).cast("string"))
+    return (F.when(kind == "email", mail).when(kind == "account", account).when(kind == "card", card)
+            .when(kind == "name", mention).otherwise(classes(canon)))
+
+
+def _numbered(rows: DataFrame, by: str, purpose: str) -> tuple[DataFrame, str]:
+    """``rows`` with ``place``, from 1 within ``kind`` and ``format`` by ``by``; a format lies in as many tasks as it needs."""
+    dealt, path = store(rows.repartitionByRange("kind", "format", by).withColumn("task", F.spark_partition_id()), purpose)
+    group = ["kind", "format"]
+    ahead = dealt.groupBy(*group, "task").agg(F.count("*").alias("n")).select(*group, "task", F.coalesce(F.sum("n").over(
+        Window.partitionBy(*group).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    at = F.row_number().over(Window.partitionBy(*group, "task").orderBy(by))
+    return dealt.withColumn("at", at).join(ahead, [*group, "task"]).withColumn("place", F.col("at") + F.col("ahead")).drop("task", "at", "ahead"), path
+
+
+def _free_values(left: DataFrame, keep: DataFrame, real: DataFrame, key: str, draws: int) -> tuple[DataFrame, list[str]]:
+    """Seeds for the things ``left`` over, and scratch paths: the n-th of a format takes the n-th free value of that format.
+
+    The things of a format draw 16 values each, and ``draws`` together at least, so a format that they nearly fill or
+    that is small is drawn whole; values that are kept by others or occur are not free. Things beyond the free values
+    become longer by one.
+    """
+    kind = F.col("kind")
+    things, first = _numbered(left.withColumn("format", _format(kind, F.col("canon"), F.col("mention"))).drop("seed"), "canon", "colliding")
+    sizes = things.groupBy("kind", "format").agg(F.count("*").alias("m"))
+    each = F.ceil(F.greatest(F.lit(draws), 16 * F.col("m")) / F.col("m")).cast("int")
+    drawn = things.join(sizes, ["kind", "format"]).withColumn("n", F.explode(F.sequence(F.lit(1), each))).repartition("kind", "canon", "n").withColumn(
+        "seed", F.concat(kind, F.lit("|"), F.col("canon"), F.lit("|free|"), F.col("n").cast("string")))
+    values = drawn.withColumn("made", _canonical_surrogate(key)).groupBy("kind", "made").agg(F.min(F.struct("format", "seed")).alias("v"))
+    free = values.join(keep.select("kind", "made"), ["kind", "made"], "left_anti").join(
+        real, (kind == F.col("rk")) & (F.col("made") == F.col("rc")), "left_anti").select("kind", "v.format", "v.seed")
+    free, second = _numbered(free, "seed", "free-values")
+    own = things.join(free, ["kind", "format", "place"], "left")
+    full = F.col("seed").isNull()
+    return own.select("kind", "canon", "mention", "turn", F.when(full, F.col("extra") + 1).otherwise(F.col("extra")).alias("extra"),
+                      F.when(full, _seed(kind, F.col("canon"), F.col("turn"))).otherwise(F.col("seed")).alias("seed")), [first, second]
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
@@ -282,8 +389,9 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     Found are mail and network addresses, card, social-security, bank-account and phone numbers, access tokens in
     hexadecimal of either case, and names after a title, then also without one in the same text. Each gets a surrogate from a keyed hash: the same thing, however written,
     the same one in all documents (mail hosts keep together too); letters and digits by their kind, marks, length,
-    Luhn validity, script, letter case and the gender of the title stay. Surrogates are checked over the whole
-    corpus: different things have different ones, and none is a thing that occurs. Nulls stay null; texts
+    right check digits of cards and accounts, script, letter case and the gender of the title stay. Surrogates are checked over the whole
+    corpus: different things have different ones, and none is a thing that occurs; only where every value of a
+    format is taken a surrogate is longer than its thing. Nulls stay null; texts
     without finds stay as they are; all other columns pass through, an own ``n_entities`` is replaced.
     The lookup of collided things is a literal while they are few, else a join by mention.
     """
@@ -297,14 +405,21 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     if few > LITERAL_EXCEPTIONS:
         return _by_join(docs, again, key)
     rows = again.collect()
-    turns = F.create_map(*[F.lit(x) for r in rows for x in (f"{r['kind']}|{r['canon']}", r["turn"])]) if rows else None
+    drawn = F.create_map(*[x for r in rows for x in (F.lit(f"{r['kind']}|{r['canon']}"), F.struct(
+        F.lit(r["seed"]).alias("seed"), F.lit(r["extra"]).alias("extra")))]) if rows else None
 
     def replaced(s: Column) -> Column:
         m = s["mention"]
 
         def typed(k: Column) -> Column:
-            turn = F.lit(0) if turns is None else F.coalesce(F.try_element_at(turns, F.concat(k, F.lit("|"), canonical(k, m))), F.lit(0))
-            return _shown(surrogate(k, m, F.lit(key), turn), s["bare"])
+            def by(canon: Column) -> Column:
+                usual = F.struct(_seed(k, canon, F.lit(0)).alias("seed"), F.lit(0).alias("extra"))
+                if drawn is None:
+                    return _let(usual["seed"], lambda seed: surrogate(k, m, F.lit(key), seed, F.lit(0)))
+                return _let(F.coalesce(F.try_element_at(drawn, F.concat(k, F.lit("|"), canon)), usual),
+                            lambda d: surrogate(k, m, F.lit(key), d["seed"], d["extra"]))
+
+            return _shown(_let(canonical(k, m), by), s["bare"])
         return _let(entity_type(m), typed)
 
     return _rebuilt(_marked(docs), F.transform("__mentions", replaced))
@@ -320,11 +435,12 @@ def _rebuilt(marked: DataFrame, made: Column) -> DataFrame:
 
 
 def _by_join(docs: DataFrame, again: DataFrame, key: str) -> DataFrame:
-    """The same with the turns joined by mention; mentions of a text are put back in order."""
+    """The same with the seeds joined by mention; mentions of a text are put back in order."""
     rows, _ = store(_marked(docs).withColumn("__row", F.monotonically_increasing_id()), "marked")
     each = rows.select("__row", F.posexplode("__mentions").alias("pos", "m")).select("__row", "pos", "m.mention", "m.bare").withColumn("kind", entity_type(F.col("mention")))
     each = each.withColumn("canon", canonical(F.col("kind"), F.col("mention"))).join(again, ["kind", "canon"], "left")
-    made = _shown(surrogate(F.col("kind"), F.col("mention"), F.lit(key), F.coalesce("turn", F.lit(0))), F.col("bare"))
+    kind, seed = F.col("kind"), F.coalesce("seed", _seed(F.col("kind"), F.col("canon"), F.lit(0)))
+    made = _shown(surrogate(kind, F.col("mention"), F.lit(key), seed, F.coalesce("extra", F.lit(0))), F.col("bare"))
     made = each.select("__row", "pos", made.alias("made"))
     made = made.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "made"))).alias("__made"))
     joined = rows.join(made, "__row", "left").drop("__row")
