@@ -13,9 +13,10 @@ from hypothesis import strategies as st
 
 from tidemark.functions.numbers import rounded_texts
 from tidemark.operators import audit, match
+from tidemark.plans import inputs
 from tidemark.schemas import INDEX_HISTORY, INDEX_STATE
 from tidemark.session import scratch_dir
-from tidemark.sources import pages, tables
+from tidemark.sources import json_scan, pages, tables
 from tidemark.sources.json_scan import scan
 from tidemark.streaming import upsert as streams
 
@@ -45,6 +46,21 @@ def test_scan_equals_trying_every_opening(pieces):
     assert list(scan(text)) == naive_scan(text)
 
 
+def test_openings_that_nothing_may_follow_cost_no_call(monkeypatch):
+    calls, settle = [], json_scan._settle
+    monkeypatch.setattr(json_scan, "_settle", lambda *a: calls.append(1) or settle(*a))
+    text = "x [ x {x {1 [, " * 10_000 + '[ \n{"a":1}] { "b" : [ ]}'
+    assert list(scan(text)) == ['[ \n{"a":1}]', '{ "b" : [ ]}']
+    assert len(calls) < 10
+
+
+def test_rows_of_a_small_file_are_spread(spark, tmp_path):
+    spark.createDataFrame([(i,) for i in range(100)], "k long").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = inputs.spread(inputs.table(spark, str(tmp_path), "part"), "k")
+    assert sorted(r["k"] for r in rows.collect()) == list(range(100))
+    assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @pytest.mark.parametrize("unit", ["[", '{"a":', '["', '["[{', "[1,", '[[" '])
 def test_scan_is_linear_in_broken_text(unit):
     def took(n):

@@ -148,7 +148,7 @@ def json_blobs_pushed(spark, sf):
     script = F.concat(F.lit('<script type="application/ld+json">{"id": '), key, F.lit(', "id": [NaN]}</script><script type="application/json">{bad</script>'))
     pad = F.when(F.col("p_partkey") % 50 == 0, F.repeat(F.lit("x [ "), F.lit(30_000))).otherwise("")
     pushed = F.concat(F.lit('<script>self.__next_f.push([1,"1:'), pad, F.lit(r'[\"p\",{\"id\":'), key, F.lit(r'}] {\"n\":\"\\u3042\"}\n"])</script>'))
-    rows = I.table(spark, sf, "part").select("p_partkey", F.concat(F.lit("<html>"), script, pushed, F.lit("</html>")).alias("html"))
+    rows = I.spread(I.table(spark, sf, "part").select("p_partkey"), "p_partkey").select("p_partkey", F.concat(F.lit("<html>"), script, pushed, F.lit("</html>")).alias("html"))
     return jsondocs.extract_json_blobs(rows, ["p_partkey"]).select("p_partkey", "part", "blob_no", F.md5("json").alias("json_md5"))
 
 

@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The same rows over all shuffle partitions: a small file is one task, whatever is made of its rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def day(c: Column | str) -> Column:
     """Dates leave the workloads as text, the same in every engine."""
     return F.col(c).cast("string").alias(c) if isinstance(c, str) else c.cast("string")
