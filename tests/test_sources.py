@@ -212,3 +212,11 @@ def test_deep_and_broken_pages(spark):
     rows = spark.createDataFrame([(1, deep), (2, "<ul id=listView><li class=item><span class=name>B</span></li><li class=item></li></ul><![foo["), (3, None)], "page long, html string")
     assert {(r["page"], r["name"]) for r in P.extract_listing_items(rows, "https://x").collect()} == {(1, "A"), (2, "B")}
     assert html_nodes.tree(deep).text() == "A"
+
+
+def test_points_of_pages_go_to_all_partitions(spark):
+    text = json.dumps({"a": [{"date": f"2026-01-{d:02d}", "price": d} for d in range(1, 9)]})
+    docs = spark.createDataFrame([(str(i), "api", 0, text) for i in range(50)], "page string, kind string, doc_no int, json string")
+    found = J.series_candidates(docs)
+    assert found.count() == 400
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -143,8 +143,8 @@ def series_candidates(docs: DataFrame, page: str = "page", top: int | None = V.S
     ``docs``: page, kind (api, embedded, decoded), doc_no, json and, if there is one, the ``url`` a
     document came from, which becomes part of the source and so may tell the condition. Wide charts
     are read from decoded documents only. Output: page, rank, source, n_points, idx, date, price, trade_count.
-    The limit is applied in every task before the shuffle, so a page with any number of
-    documents sends on few series. ``top=None`` gives all series, without a rank.
+    Pages go to all shuffle partitions, so the memory of a task is its share of the points.
+    ``top=None`` gives all series, without a rank.
     """
     keys = [page, "kind", "doc_no", *(["url"] if "url" in docs.columns else [])]
     origin = ["kind", *keys[3:]]
@@ -160,6 +160,8 @@ def series_candidates(docs: DataFrame, page: str = "page", top: int | None = V.S
     columns = ["source", "n_points", "idx", "date", "price", "trade_count"]
     if top is None:
         return found.select(page, *columns)
+    # points are many and compress well: partitions merged by their shuffled size would be far too large in memory
+    found = found.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), page)
     ranked = Window.partitionBy(page).orderBy(
         F.col("n_points").desc(), "_kind", "doc_no", "_chart", "series_no", "_cond")
     return (found.withColumn("rank", F.dense_rank().over(ranked)).filter(F.col("rank") <= top)
