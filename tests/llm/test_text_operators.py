@@ -371,3 +371,10 @@ def test_archive_layout_and_damage():
     for bad in (record[:-1], record.replace(b"Content-Length: 1", b"Content-Length: 2", 1), record.replace(b"common", b"uncomm"), record.replace(b"WARC-Date", b"X-Date"), b"x"):
         with pytest.raises(ValueError):
             warc.parse_record(bad)
+
+
+def test_subsequences_come_in_bounded_blocks():
+    words = ["abcdefghijklmnopqrst"[:n] for n in (3, 12, 20) for _ in range(1000)]
+    blocks = list(toxicity.features(words))
+    assert max(ids.size for _, ids, _ in blocks) <= toxicity.BLOCK
+    assert sorted(p for places, _, _ in blocks for p in places.tolist()) == list(range(len(words)))

@@ -22,6 +22,8 @@ LETTERS = 64
 LONGEST = 20
 LANDMARKS = 160
 SAMPLE = 3000
+#: Subsequences looked at together; they bound the memory of a task.
+BLOCK = 250_000
 
 
 @lru_cache(maxsize=20_000)
@@ -64,8 +66,9 @@ def features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         at, weight = _triples(n)
         if not len(at):
             continue
-        for lo in range(0, len(group), 4096):
-            places = np.array(group[lo:lo + 4096])
+        step = max(1, min(4096, BLOCK // len(at)))
+        for lo in range(0, len(group), step):
+            places = np.array(group[lo:lo + step])
             codes = _codes([words[i] for i in places])
             ids = (codes[:, at[:, 0]] * LETTERS + codes[:, at[:, 1]]) * LETTERS + codes[:, at[:, 2]]
             yield places, ids, weight / np.sqrt(_self_kernel(codes))[:, None]
