@@ -3,7 +3,7 @@ from datetime import date, timedelta
 
 from tests.test_sources import BASE, LISTING
 from tidemark.plans import flows as W
-from tidemark.schemas import BUYLIST, CARD_HISTORY, CARD_STATUS, INDEX_HISTORY, MARKET_SNAPSHOT, TREND, WATCHLIST
+from tidemark.schemas import BUYLIST, CARD_HISTORY, CARD_STATUS, GROUP_HISTORY, INDEX_HISTORY, MARKET_SNAPSHOT, TREND, WATCHLIST
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import read_table, upsert_table
 from tidemark.streaming import upsert as U
@@ -119,3 +119,20 @@ def test_refreshed_card_trends_keep_their_labels(spark):
     upsert_table(spark, history, rows, CARD_HISTORY)
     U.refresh_card_trends(spark, history, trends, rows, "2026-12-31")
     assert [r["label"] for r in stored(spark, root, TREND).collect()] == ["アカ [001/100] 美品"]
+
+
+def test_group_refresh_reads_the_card_history_once(spark, monkeypatch):
+    root, plans = scratch_dir(spark, "flow"), []
+    schema = "date date, card_id string, card_name string, hinban string, condition string, price long, trade_count long, seq long"
+    load = lambda rows: spark.createDataFrame([(DAY0 + timedelta(i), c, "", code, "美品", p, 1, n) for n, (i, c, code, p) in enumerate(rows)], schema)
+    history, groups, trends = f"{root}/{CARD_HISTORY.name}", f"{root}/groups", f"{root}/{TREND.name}"
+    keep = U.written
+    monkeypatch.setattr(U, "written", lambda df, purpose: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, purpose))
+    for rows in ([(0, "a", "001/100", 5), (0, "b", "001/200", 7), (1, "a", "001/100", 6)], [(0, "b", "001/100", 9)]):
+        upsert_table(spark, history, load(rows), CARD_HISTORY)
+        U.refresh_group_trends(spark, history, groups, trends, load(rows), "2026-12-31")
+    # the second load moved the only card of set 200 away: the day stays, without a price
+    got = {(r["key"], r["date"].day): (r["price"], r["trade_count"]) for r in read_table(spark, groups, GROUP_HISTORY).collect()}
+    assert got == {("condition:美品", 1): (7.0, 2), ("condition:美品", 2): (6.0, 1), ("set:100", 1): (7.0, 2), ("set:100", 2): (6.0, 1),
+                   ("set:200", 1): (None, None)}
+    assert [p.count(f"{CARD_HISTORY.name}]") for p in plans] == [1, 1]

@@ -197,3 +197,14 @@ def test_undated_tables(spark):
     for v in ("1", "2"):
         S.upsert_table(spark, path, spark.createDataFrame([("a", v, 0)], "k string, v string, seq long"), t)
     assert S.read_table(spark, path, t).drop("_pos").collect() == [("a", "2")]
+
+
+def test_batch_and_missing_table_are_computed_once_or_not_at_all(spark):
+    path = scratch_dir(spark, "once")
+    index_rows(spark, range(0, 40), 1).write.parquet(path)
+    existing = index_rows(spark, range(0, 9), 1).withColumnRenamed("seq", "_pos")
+    plan = M.plan_upsert(existing, spark.read.parquet(path), INDEX_HISTORY.key)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    empty = S.read_table(spark, scratch_dir(spark, "nothing"), INDEX_HISTORY)
+    assert empty.columns == [*INDEX_HISTORY.schema.names, "_pos"] and empty.dtypes[-1] == ("_pos", "bigint")
+    assert "LocalRelation <empty>" in empty._jdf.queryExecution().optimizedPlan().toString()

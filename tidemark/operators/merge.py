@@ -57,28 +57,22 @@ def plan_upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], seq:
 
     new = last_of_batch(batch, keys, seq)
     # only keys and positions of the table take part in finding the targets
-    targets = (with_key(existing.select(*keys, "_pos"), keys)
-               .join(new.select("_key"), "_key", "left_semi")
-               .groupBy("_key").agg(F.min("_pos").alias("_pos")))
+    targets = with_key(existing.select(*keys, "_pos"), keys).groupBy("_key").agg(F.min("_pos").alias("_pos"))
     matched = new.join(targets, "_key", "left")
 
-    overlay = matched.filter(F.col("_pos").isNotNull()).select("_pos", "_key", "_new")
+    # one outer join gives kept, updated and new rows, so the batch is reduced and exchanged once; new ones have no position
     old = lambda c: F.col(f"`{c}`") if c in types else F.lit(None).cast(header[c])
     fresh = lambda c: F.col(f"_new.`{c}`").cast(header[c])
     hit = F.col("_new").isNotNull()
+    added_row = hit & F.col("_pos").isNull()
     changed = F.lit(False)
     for c in incoming:
         changed = changed | ~_same(old(c), fresh(c), header[c])
-    kept = (existing.withColumn("_key", _key(keys)).join(overlay, ["_pos", "_key"], "left").select(
-        *[(F.when(hit, fresh(c)).otherwise(old(c)) if c in incoming else old(c)).alias(c) for c in header],
-        "_pos", F.when(hit & changed, UPDATE).otherwise(UNCHANGED).alias("_action")))
-
     last_pos = existing.agg(F.coalesce(F.max("_pos"), F.lit(-1)).alias("p")).scalar()
-    appended = matched.filter(F.col("_pos").isNull()).select(
-        *[(fresh(c) if c in incoming else F.lit(None).cast(header[c])).alias(c) for c in header],
-        (last_pos + 1 + F.col("_first")).cast("bigint").alias("_pos"),
-        F.lit(APPEND).alias("_action"))
-    return kept.unionByName(appended)
+    return existing.withColumn("_key", _key(keys)).join(matched, ["_pos", "_key"], "full_outer").select(
+        *[(F.when(hit, fresh(c)).otherwise(old(c)) if c in incoming else old(c)).alias(c) for c in header],
+        F.when(added_row, last_pos + 1 + F.col("_first")).otherwise(F.col("_pos")).cast("bigint").alias("_pos"),
+        F.when(added_row, APPEND).when(hit & changed, UPDATE).otherwise(UNCHANGED).alias("_action"))
 
 
 def upsert_stats(plan: DataFrame) -> DataFrame:

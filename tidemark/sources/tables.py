@@ -149,7 +149,9 @@ def stored_months(spark: SparkSession, path: str) -> list[str]:
 def _read(spark: SparkSession, path: str, table: Table, months: Sequence[str] | None = None) -> DataFrame:
     header, folders = _sources(spark, path)
     if not folders:
-        return spark.createDataFrame([], T.StructType([*table.schema.fields, T.StructField("_pos", T.LongType())]))
+        # known to be empty when planned: joins with it go, and no task runs for it
+        fields = [*table.schema.fields, T.StructField("_pos", T.LongType())]
+        return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
     reader = spark.read if header is None else spark.read.schema(header)
     parts = []
     for folder, held in folders:

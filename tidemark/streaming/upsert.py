@@ -109,15 +109,16 @@ def refresh_index_trends(spark: SparkSession, history_path: str, trend_path: str
 def refresh_card_trends(spark: SparkSession, history_path: str, trend_path: str, batch: DataFrame,
                         as_of: Column | str, limits: TrendLimits = TrendLimits()) -> None:
     """Recompute the trend rows of the card series a batch touched, and no others."""
-    touched = batch.select("card_id", blank("condition").alias("condition")).distinct()
-    history = (read_table(spark, history_path, CARD_HISTORY).withColumn("condition", blank("condition"))
-               .join(touched, ["card_id", "condition"], "left_semi"))
-    history = history.withColumn("key", F.concat("card_id", F.lit("|"), "condition"))
+    # one text is the key of the join, the metrics and the labels, so history is exchanged once for each use
+    key = F.concat("card_id", F.lit("|"), blank("condition"))
+    touched = batch.select(key.alias("key")).distinct()
+    history = (read_table(spark, history_path, CARD_HISTORY).withColumn("key", key).withColumn("condition", blank("condition"))
+               .join(touched, "key", "left_semi"))
     points = history.select(
         F.lit("card").alias("scope"), "key", "date", F.col("price").cast("double").alias("price"), "trade_count")
     # rows are for people as well: the label goes with them, else the merge would replace it by the key
     labels = carried(history.withColumnRenamed("_pos", "seq"), ["key", "condition"], ["card_name", "hinban"], ["date", "seq"]).select(
-        F.lit("card").alias("scope"), "key", card_label(F.col("card_name"), F.col("hinban"), F.col("condition")).alias("label"))
+        "key", card_label(F.col("card_name"), F.col("hinban"), F.col("condition")).alias("label"))
     _merge_trends(spark, points, trend_path, as_of, limits, labels)
 
 
@@ -133,12 +134,12 @@ def refresh_group_trends(spark: SparkSession, history_path: str, group_path: str
     if not months:
         return
     cards = read_table(spark, history_path, CARD_HISTORY, months).filter(blank("card_id") != "")
-    fresh = group_scopes(cards.join(days, "date", "left_semi"))
+    # days are few whatever the size of the batch, so the history stays where it is
+    fresh = group_scopes(cards.join(F.broadcast(days), "date", "left_semi"))
     keys = ["date", "scope", "key"]
-    stored = read_table(spark, group_path, GROUP_HISTORY, months).join(days, "date", "left_semi")
-    gone = stored.select(*keys).join(fresh.select(*keys), keys, "left_anti").select(
-        *keys, F.lit(None).cast("double").alias("price"), F.lit(None).cast("bigint").alias("trade_count"))
-    rows = fresh.select(*keys, "price", "trade_count").unionByName(gone).withColumn("seq", F.monotonically_increasing_id())
+    stored = read_table(spark, group_path, GROUP_HISTORY, months).join(F.broadcast(days), "date", "left_semi").select(*keys).distinct()
+    # the outer join takes the history once; a stored group without a fresh row has no price
+    rows = stored.join(fresh.select(*keys, "price", "trade_count"), keys, "full_outer").withColumn("seq", F.monotonically_increasing_id())
     with written(rows, "groups") as changed:
         upsert_table(spark, group_path, changed, GROUP_HISTORY)
         touched = changed.select("scope", "key").distinct()
@@ -151,7 +152,7 @@ def _merge_trends(spark, points, trend_path, as_of, limits, labels=None) -> None
     # the history is keyed by date, so the metrics need a single shuffle
     metrics = series_metrics(points, ["scope", "key"], unique_dates=True)
     if labels is not None:
-        metrics = metrics.join(labels, ["scope", "key"], "left")
+        metrics = metrics.join(labels, "key", "left")
     rows = trend_rows(metrics, as_of, limits, F.current_timestamp()).withColumn("seq", F.monotonically_increasing_id())
     rows = rows.persist()  # the merge looks at its batch more than once
     try:
