@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bottomk import BROADCAST_ROWS, near_duplicates, text_mark
-from tidemark.llm.common import apart, discard, store, table
+from tidemark.llm.common import apart, discard, small_batches, store, table
 from tidemark.llm.decontaminate import without_contaminated
 from tidemark.llm.line_runs import deduplicate_lines
 from tidemark.llm.packing import pack_documents
@@ -82,8 +82,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left in sequences of 1024 tokens: a row per piece. Null texts are empty, repeated rows are packed each."""
-    return pack_documents(docs)
+    """What is left in sequences of 1024 tokens: a row per piece. Null texts are empty, repeated rows are packed each.
+
+    The pieces are stored here, made from small batches: executors that ran the other stages have little memory left.
+    """
+    with small_batches(spark):
+        return store(pack_documents(docs), "packed")[0]
 
 
 STAGES = [("toxicity", toxicity), ("line dedup", line_dedup), ("near duplicates", near_duplicate_groups),

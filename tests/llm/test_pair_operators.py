@@ -1,6 +1,7 @@
 """Near duplicates, paragraphs, line runs, vectors, components and the pipeline: brute force and odd input."""
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -325,3 +326,29 @@ def test_short_items_remove_nothing_from_the_corpus(spark):
     items = spark.createDataFrame([("i", "the"), ("j", "x y z a b c")], "item_id string, text string")
     assert without_contaminated(docs, items).count() == 2
     assert without_contaminated(docs, spark.createDataFrame([("i", "b c d e f")], "item_id string, text string")).count() == 1
+
+
+def test_shuffle_files_of_a_stored_table_go_before_the_next(spark):
+    place = spark._jsc.sc().env().blockManager().diskBlockManager()
+    held = lambda: {f for f in place.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before, df = held(), spark.range(5000).repartition(3).groupBy((common.F.col("id") % 7).alias("k")).count()
+    stored, path = common.store(df, "shuffled")
+    for _ in range(20):  # what the last query left is let go with a delay
+        common.discard(spark, common.store(spark.range(1), "next")[1])
+        left = held() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert sum(r["count"] for r in stored.collect()) == sum(r["count"] for r in df.collect()) == 5000
+    common.discard(spark, path)
+
+
+def test_pieces_of_the_pipeline_are_made_from_small_batches(spark, monkeypatch):
+    sizes, name = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    keep, before = corpus_pipeline.store, spark.conf.get(name)
+    monkeypatch.setattr(corpus_pipeline, "store", lambda df, purpose: sizes.append(int(spark.conf.get(name))) or keep(df, purpose))
+    docs = spark.createDataFrame([(1, "one two three"), (2, None)], "doc_id long, text string")
+    pieces = corpus_pipeline.packing(spark, docs, "").collect()
+    assert sizes == [1000] and spark.conf.get(name) == before
+    assert sorted(r["doc_id"] for r in pieces if r["start"] == 0) == [1, 2]
