@@ -158,6 +158,21 @@ def test_paragraphs_against_brute_force(spark):
     assert paragraphs.repeated_paragraphs(df.limit(0)).count() == 0
 
 
+def test_paragraphs_that_begin_alone_are_not_kept(spark, monkeypatch):
+    rows, keep = {}, paragraphs.store
+
+    def counted(df, purpose):
+        stored = keep(df, purpose)
+        rows[purpose] = stored[0].count()
+        return stored
+
+    monkeypatch.setattr(paragraphs, "store", counted)
+    texts = [" ".join(running_words(i, 200)) for i in range(20)]
+    df = spark.createDataFrame([*enumerate(texts), (50, texts[3])], "doc_id long, text string")
+    found = {(r["doc"], r["start"]) for r in paragraphs.repeated_paragraphs(df).collect()}
+    assert {d for d, _ in found} == {3, 50} and rows["paragraphs"] == len(found) < rows["all-paragraphs"] / 5
+
+
 def test_passages_go_and_clean_texts_stay(spark):
     docs = paragraph_rows()
     df = spark.createDataFrame(docs, "doc_id long, text string")
