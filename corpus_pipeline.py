@@ -17,12 +17,14 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half. The model learns from the labelled rows of ``docs``.
 
     Null texts and texts without words have the score of the model's bias; every row is decided by its own text.
+    The rows left are stored here, made from small batches, as whole rows go through the Python workers and back.
     """
     model = train(*training_rows(docs, table(spark, sf_dir, "labels")))
     score = "_toxicity"
     while score in docs.columns:
         score += "_"
-    return score_texts(docs, model, score).where(F.col(score) < 0.5).select(*docs.columns)
+    with small_batches(spark):
+        return store(score_texts(docs, model, score).where(F.col(score) < 0.5).select(*docs.columns), "not-toxic")[0]
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,8 +79,12 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item of five words or more; null texts stay, repeated rows are treated alike."""
-    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without a window of a benchmark item of five words or more; null texts stay, repeated rows are treated alike.
+
+    They are stored here, made from small batches, as in ``toxicity``.
+    """
+    with small_batches(spark):
+        return store(without_contaminated(docs, table(spark, sf_dir, "benchmark")), "uncontaminated")[0]
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

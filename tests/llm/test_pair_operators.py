@@ -367,3 +367,16 @@ def test_pieces_of_the_pipeline_are_made_from_small_batches(spark, monkeypatch):
     pieces = corpus_pipeline.packing(spark, docs, "").collect()
     assert sizes == [1000] and spark.conf.get(name) == before
     assert sorted(r["doc_id"] for r in pieces if r["start"] == 0) == [1, 2]
+
+
+def test_stages_that_hand_whole_rows_to_python_use_small_batches(spark, monkeypatch, tmp_path):
+    sizes, keep = {}, corpus_pipeline.store
+    monkeypatch.setattr(corpus_pipeline, "store", lambda df, purpose: sizes.update(
+        {purpose: int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))}) or keep(df, purpose))
+    docs = spark.createDataFrame([(1, "one two a b c d e"), (2, None), (2, "one")], "doc_id long, text string")
+    spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([("i", "a b c d e")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.toxicity(spark, docs, str(tmp_path))
+    left = corpus_pipeline.decontamination(spark, clean, str(tmp_path))
+    assert sizes == {"not-toxic": 1000, "uncontaminated": 1000}
+    assert clean.count() == 3 and sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(2, ""), (2, "one")]
