@@ -55,6 +55,18 @@ def test_encoder_forgets_and_learns_again():
             assert tool([t])[0] == tool.whole(t)
 
 
+def test_encoder_calls_little_for_each_new_word():
+    import cProfile
+    import pstats
+
+    random.seed(4)
+    words = list({"".join(random.choice("abcdefgh") for _ in range(9)) + end for _ in range(3000) for end in ("", "-4", "!!")})
+    tool, profile = tokens.Encoder(tokens.tokenizer_path(), limit=5000), cProfile.Profile()
+    got = [profile.runcall(tool, [" ".join(words[i:i + 3000])])[0] for i in range(0, len(words), 3000)]
+    assert got == [tool.whole(" ".join(words[i:i + 3000])) for i in range(0, len(words), 3000)]
+    assert pstats.Stats(profile).total_calls < 9 * len(words)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 300), max_size=40))
 def test_balanced_packing_covers_everything_without_padding(lengths):

@@ -29,22 +29,16 @@ class Memory:
 
     def missing(self, keys: set) -> list:
         """Keys that are not known; known ones are in ``new`` afterwards."""
-        new = self.new
-        unseen = [k for k in keys if k not in new]
-        if len(new) + len(unseen) > self.limit:
-            self.old, self.new = new, {}
+        unseen = keys.difference(self.new)
+        if len(self.new) + len(unseen) > self.limit:
+            self.old, self.new = self.new, {}
             self.old_flagged, self.flagged = self.flagged, set()
             unseen = keys
-        out, old, flagged = [], self.old, self.old_flagged
-        for key in unseen:
-            value = old.get(key, False)
-            if value is False:
-                out.append(key)
-            else:
-                self.new[key] = value
-                if key in flagged:
-                    self.flagged.add(key)
-        return out
+        out = unseen.difference(self.old)
+        again = unseen.difference(out)
+        self.new.update(zip(again, map(self.old.__getitem__, again)))
+        self.flagged |= again & self.old_flagged
+        return list(out)
 
 
 class Encoder:
@@ -81,14 +75,14 @@ class Encoder:
         text = lead + (lead or "\n").join(words)
         ids = np.array(self.tool.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         if lead:
-            at = np.flatnonzero(self.leads[ids])
-            cuts = list(zip((4 * at).tolist(), (4 * np.append(at[1:], len(ids))).tolist()))
+            first = np.flatnonzero(self.leads[ids])
+            end = np.append(first[1:], len(ids))
         else:
             at = np.flatnonzero(ids == self.newline)
-            cuts = list(zip((4 * np.append(0, at + 1)).tolist(), (4 * np.append(at, len(ids))).tolist()))
+            first, end = np.append(0, at + 1), np.append(at, len(ids))
         raw = ids.tobytes()
-        if len(cuts) == len(words):
-            self.memory.new.update((k, raw[a:b]) for k, (a, b) in zip(keys, cuts))
+        if len(first) == len(words):
+            self.memory.new.update(zip(keys, map(raw.__getitem__, map(slice, (4 * first).tolist(), (4 * end).tolist()))))
         else:
             self.memory.new.update((k, self.whole(lead + w)) for k, w in zip(keys, words))
 
@@ -138,8 +132,9 @@ class Encoder:
 
     def _run(self, texts: list[str]) -> list[bytes]:
         cut = [_cut(t) if t else () for t in texts]
-        self._learn_parts({c for parts in cut if parts for c in parts})
-        known, flagged, out, entire = self.memory.new, self.memory.flagged, [], []
+        every = set().union(*filter(None, cut))
+        self._learn_parts(every)
+        known, flagged, out, entire = self.memory.new, self.memory.flagged & every, [], []
         for i, parts in enumerate(cut):
             if parts and flagged and not flagged.isdisjoint(parts) and any(
                     b[:2] in ("\0.", "\0,") and a in flagged for a, b in zip(parts, parts[1:])):
@@ -163,7 +158,7 @@ def _cut(text: str) -> list[str] | None:
 
 def _stands_alone(part: str) -> bool:
     """Whether a part is no sign of white space next to other white space; if it ends with a mark, what follows counts too."""
-    return part in _SIGNS or part not in ("", "\1") and not any(c.isspace() for c in part)
+    return part in _SIGNS or part != "\1" and part.split() == [part]
 
 
 _encoders: dict[str, Encoder] = {}
