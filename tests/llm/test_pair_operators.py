@@ -158,6 +158,24 @@ def test_paragraphs_against_brute_force(spark):
     assert paragraphs.repeated_paragraphs(df.limit(0)).count() == 0
 
 
+def test_sets_are_taken_only_of_paragraphs_that_can_be_linked(spark, monkeypatch):
+    rows, keep = {}, paragraphs.store
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        rows[purpose] = out[0].count()
+        return out
+
+    monkeypatch.setattr(paragraphs, "store", counted)
+    random.seed(9)
+    docs = []
+    for i in range(40):
+        base = [f"w{random.randrange(10**6)}" for _ in range(70)]
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:35] + [f"edit{i}"] + base[36:]))]
+    found = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string")).count()
+    assert found and rows["paragraph-sets"] * 3 < rows["paragraph-heads"]
+
+
 def test_paragraphs_that_begin_alone_are_not_kept(spark, monkeypatch):
     rows, keep = {}, paragraphs.store
 
